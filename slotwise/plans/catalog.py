@@ -90,3 +90,32 @@ def pod_fill(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     return dict(CATALOG)
+
+
+# --- landing -------------------------------------------------------------------
+from slotwise.operators import landing  # noqa: E402
+
+
+@register("land_classify")
+def land_classify(spark, sf_dir):
+    """V1-V18 on defect-injected raw lines: status and broken rule ids per line."""
+    return landing.classify(fixtures.drop_lines(spark, sf_dir)).select("e", "status", "error")
+
+
+@register("land_counts")
+def land_counts(spark, sf_dir):
+    """Ok / bad counts per arrival day (blank lines are in neither)."""
+    from pyspark.sql import functions as F
+
+    landed = landing.classify(fixtures.drop_lines(spark, sf_dir))
+    return landed.groupBy("dt").agg(
+        F.count_if(F.col("status") == "ok").alias("n_ok"),
+        F.count_if(F.col("status") == "bad").alias("n_bad"),
+    )
+
+
+@register("quarantine_rows")
+def quarantine_rows(spark, sf_dir):
+    """Rejected lines keep their raw text and rule ids."""
+    landed = landing.classify(fixtures.drop_lines(spark, sf_dir))
+    return landing.quarantine(landed).select("e", "raw", "error", "dt")

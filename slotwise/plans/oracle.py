@@ -220,3 +220,75 @@ ORACLE["pod_fill"] = _with(POD_FILL_CTE, "SELECT * FROM pod_fill")
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ---------------------------------------------------------------------------
+# Landing: request beacons as JSON lines with one defect per `e % 40`.
+# The expected class of each defect is known by construction (FIXTURES §4).
+# ---------------------------------------------------------------------------
+def _landing_oracle() -> None:
+    from slotwise.sources.fixtures import DEFECT_MODULUS, DEFECT_OUTCOME, DEFECTS
+
+    ts = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+    base = (
+        "'{\"event_id\":\"bcn-req-' || CAST(e AS VARCHAR) || '\",\"event_type\":\"ad_request\",\"event_ts\":\"' || "
+        + ts
+        + " || '\",\"ingest_ts\":\"' || "
+        + ts
+        + " || '\",\"session_id\":\"sess_' || CAST(u AS VARCHAR) || '\",\"content_id\":\"cnt_' || CAST(p % 40 AS VARCHAR)"
+        " || '\",\"pod_id\":\"pod_' || CAST(p AS VARCHAR) || '\",\"slot_index\":' || CAST(e % 3 AS VARCHAR)"
+        " || ',\"break_type\":\"' || break_type || '\",\"platform\":\"' || platform || '\",\"market\":\"' || market"
+        " || '\",\"campaign_id\":\"cmp_' || CAST(p % 7 AS VARCHAR) || '\",\"creative_id\":null,\"advertiser_id\":null,"
+        "\"quartile\":null,\"error_code\":null,\"bid_floor_micros\":' || CAST(floor_micros AS VARCHAR)"
+        " || ',\"clearing_price_micros\":null,\"is_late\":false}'"
+    )
+
+    def lit(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def scalar(key: str) -> str:
+        return lit(f'"{key}":("[^"]*"|null|true|false|-?[0-9.eE+]+)')
+
+    def apply(defect) -> str:
+        form, arg = defect
+        if form == "cut_last_char":
+            return "substring(base, 1, length(base) - 1)"
+        if form == "whole_line":
+            return lit(arg)
+        if form == "replace":
+            return f"replace(base, {lit(arg[0])}, {lit(arg[1])})"
+        if form == "drop_key":
+            return f"regexp_replace(base, ',' || {scalar(arg)}, '')"
+        if form == "extra_key":
+            return f"substring(base, 1, length(base) - 1) || {lit(',' + arg + '}')}"
+        key, val = arg
+        return f"regexp_replace(base, {scalar(key)}, {lit(f'\"{key}\":' + val)})"
+
+    line_case = "CASE d " + " ".join(f"WHEN {i} THEN {apply(x)}" for i, x in enumerate(DEFECTS)) + " ELSE base END"
+    blank = [i for i, o in enumerate(DEFECT_OUTCOME) if o is None]
+    status_case = (
+        "CASE d "
+        + " ".join(f"WHEN {i} THEN {lit(o[0])}" for i, o in enumerate(DEFECT_OUTCOME) if o is not None)
+        + " ELSE 'ok' END"
+    )
+    error_case = (
+        "CASE d "
+        + " ".join(f"WHEN {i} THEN {lit(o[1])}" for i, o in enumerate(DEFECT_OUTCOME) if o is not None and o[1])
+        + " END"
+    )
+    cte = SLOTS_CTE + f""",
+l0 AS (SELECT e, CAST(event_ts AS DATE) AS dt, e % {DEFECT_MODULUS} AS d, {base} AS base FROM slots),
+lines AS (
+  SELECT e, dt, d, {line_case} AS raw, {status_case} AS status, {error_case} AS error
+  FROM l0 WHERE d NOT IN ({", ".join(str(i) for i in blank)})
+)"""
+    ORACLE["land_classify"] = _with(cte, "SELECT e, status, error FROM lines")
+    ORACLE["land_counts"] = _with(
+        cte,
+        """SELECT dt, CAST(count_if(status = 'ok') AS BIGINT) AS n_ok, CAST(count_if(status = 'bad') AS BIGINT) AS n_bad
+FROM lines GROUP BY dt""",
+    )
+    ORACLE["quarantine_rows"] = _with(cte, "SELECT e, raw, error, dt FROM lines WHERE status = 'bad'")
+
+
+_landing_oracle()

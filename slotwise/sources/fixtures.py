@@ -259,7 +259,9 @@ def drop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     stem), ``value`` (the raw line). Derived row by row from ``events``.
     """
     s = _slot_columns(read_table(spark, sf_dir, "events"))
-    base = request_json(s)
+    # the clean line is its own column so each defect branch reads it, not re-builds it
+    s = s.select("e", "event_ts", request_json(s).alias("__base"))
+    base = F.col("__base")
     d = F.col("e") % DEFECT_MODULUS
     line = base
     for i in reversed(range(len(DEFECTS))):
