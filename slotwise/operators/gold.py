@@ -26,9 +26,9 @@ def _count(pred: Column) -> Column:
     return F.count_if(pred)
 
 
-def campaign_metrics(silver: DataFrame) -> DataFrame:
-    """Counts and revenue per campaign grain (every key with any event)."""
-    return silver.groupBy(*CAMPAIGN_KEYS).agg(
+def grain_counts(silver: DataFrame, keys) -> DataFrame:
+    """A1-A6 at any grain: five conditional counts and the revenue sum."""
+    return silver.groupBy(*keys).agg(
         _count(_is("ad_request")).alias("requests"),
         _count(_is("ad_impression")).alias("impressions"),
         _count(_is("ad_click")).alias("clicks"),
@@ -40,6 +40,25 @@ def campaign_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
+def campaign_metrics(silver: DataFrame) -> DataFrame:
+    """Counts and revenue per campaign grain (every key with any event)."""
+    return grain_counts(silver, CAMPAIGN_KEYS)
+
+
+def _rollup(counts: DataFrame, keys, measures) -> DataFrame:
+    return counts.groupBy(*keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])
+
+
+def campaign_daily_from_counts(counts: DataFrame) -> DataFrame:
+    """The campaign mart from counts at a finer grain (counts are additive)."""
+    return with_campaign_rates(_rollup(counts, CAMPAIGN_KEYS, COUNT_COLUMNS + ("revenue_micros",)))
+
+
+def pod_fill_from_counts(counts: DataFrame) -> DataFrame:
+    """The pod mart from counts at a finer grain."""
+    return _pod_columns(_rollup(counts, POD_KEYS, ("requests", "impressions", "errors")))
+
+
 def with_campaign_rates(metrics: DataFrame) -> DataFrame:
     """X1-X7 on top of the metrics."""
     return metrics.select(
@@ -121,6 +140,10 @@ def pod_fill(silver: DataFrame) -> DataFrame:
         _count(_is("ad_impression")).alias("impressions"),
         _count(_is("ad_error")).alias("errors"),
     )
+    return _pod_columns(base)
+
+
+def _pod_columns(base: DataFrame) -> DataFrame:
     return base.select(
         *POD_KEYS,
         "requests",

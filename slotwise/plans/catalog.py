@@ -119,3 +119,127 @@ def quarantine_rows(spark, sf_dir):
     """Rejected lines keep their raw text and rule ids."""
     landed = landing.classify(fixtures.drop_lines(spark, sf_dir))
     return landing.quarantine(landed).select("e", "raw", "error", "dt")
+
+
+# --- reads, reports, analysis questions ----------------------------------------------
+from slotwise.operators import quality, reads  # noqa: E402
+
+
+def _marts(spark, sf_dir):
+    s = _silver_all(spark, sf_dir)
+    return gold.campaign_daily(s), gold.pod_fill(s)
+
+
+@register("campaigns_top")
+def campaigns_top(spark, sf_dir):
+    """R1 / T1 with defaults: newest day, highest revenue, 100 rows."""
+    return reads.campaigns_daily(_marts(spark, sf_dir)[0])
+
+
+@register("campaigns_top_filtered")
+def campaigns_top_filtered(spark, sf_dir):
+    """One campaign in one market, 50 rows."""
+    return reads.campaigns_daily(_marts(spark, sf_dir)[0], campaign_id="cmp_3", market="IN", limit=50)
+
+
+@register("pods_top")
+def pods_top(spark, sf_dir):
+    """R2 / T2 with defaults."""
+    return reads.pods_fill(_marts(spark, sf_dir)[1])
+
+
+@register("pods_top_midroll")
+def pods_top_midroll(spark, sf_dir):
+    """Midroll pods only, 200 rows."""
+    return reads.pods_fill(_marts(spark, sf_dir)[1], break_type="midroll", limit=200)
+
+
+@register("day_summary")
+def day_summary(spark, sf_dir):
+    """R3 / A13-A15 for every day."""
+    return reads.day_summaries(_marts(spark, sf_dir)[0])
+
+
+@register("report_cards")
+def report_cards(spark, sf_dir):
+    """Six formatted summary cards per day."""
+    return reads.report_cards(reads.day_summaries(_marts(spark, sf_dir)[0]))
+
+
+@register("report_campaigns")
+def report_campaigns(spark, sf_dir):
+    """Formatted top-25 campaign table."""
+    return reads.report_campaigns(_marts(spark, sf_dir)[0])
+
+
+@register("report_pods")
+def report_pods(spark, sf_dir):
+    """Formatted top-20 pod table."""
+    return reads.report_pods(_marts(spark, sf_dir)[1])
+
+
+@register("report_snapshot")
+def report_snapshot(spark, sf_dir):
+    """Per-day JSON document (summary, top-40 campaigns, top-30 pods)."""
+    camp, pods = _marts(spark, sf_dir)
+    return reads.report_snapshot(camp, pods)
+
+
+@register("fill_by_slice")
+def fill_by_slice(spark, sf_dir):
+    """Ratio-of-sums fill rate and eCPM over break types."""
+    return reads.fill_by_slice(_marts(spark, sf_dir)[0])
+
+
+@register("midroll_break_rate")
+def midroll_break_rate(spark, sf_dir):
+    """Per-day share of midroll pods that requested but never filled."""
+    return reads.midroll_break_rate(_marts(spark, sf_dir)[1])
+
+
+@register("midroll_broken_pods")
+def midroll_broken_pods(spark, sf_dir):
+    """The broken midroll pods themselves."""
+    return reads.midroll_broken_pods(_marts(spark, sf_dir)[1])
+
+
+@register("completion_reconcile")
+def completion_reconcile(spark, sf_dir):
+    """Slots with an impression, a completion, or both, per day."""
+    return reads.completion_reconcile(_silver_all(spark, sf_dir))
+
+
+@register("publish_payload")
+def publish_payload(spark, sf_dir):
+    """K8: topic records of silver rows, parsed back to check the round trip."""
+    from pyspark.sql import functions as F
+
+    rec = reads.publish_payload(_silver_all(spark, sf_dir))
+    schema = "event_id string, event_type string, event_ts timestamp, campaign_id string, quartile int, clearing_price_micros bigint, is_late boolean"
+    parsed = rec.select("key", F.from_json("value", schema, {"timestampFormat": reads.TS_TEXT}).alias("j"))
+    return parsed.select("key", "j.*")
+
+
+# --- quality --------------------------------------------------------------------------
+
+
+@register("gate_report")
+def gate_report(spark, sf_dir):
+    """Q1-Q7, Q12 per day: per-dt silver against the campaign mart."""
+    beacons = fixtures.beacons(spark, sf_dir)
+    per_dt = silver.silver(beacons, by=("dt", "event_id"))
+    mart = gold.campaign_daily(silver.silver(beacons, by=("event_id",)))
+    return quality.gate_report(per_dt, mart)
+
+
+@register("gate_verdicts")
+def gate_verdicts(spark, sf_dir):
+    """Q8: per day, pass flag and the first failed rule's message."""
+    return quality.gate_verdicts(gate_report(spark, sf_dir))
+
+
+@register("not_null_report")
+def not_null_report(spark, sf_dir):
+    """Q9-Q11: not-null, uniqueness, type and range checks over the tables."""
+    s = _silver_all(spark, sf_dir)
+    return quality.not_null_report(gold.campaign_daily(s), gold.pod_fill(s), s)

@@ -292,3 +292,230 @@ FROM lines GROUP BY dt""",
 
 
 _landing_oracle()
+
+
+# ---------------------------------------------------------------------------
+# Reads, reports, analysis questions, publishing, quality
+# ---------------------------------------------------------------------------
+MARTS_CTE = CAMPAIGN_DAILY_CTE + """,
+pod_base AS (
+  SELECT event_date, pod_id, break_type, content_id, platform, market,
+    CAST(count_if(event_type = 'ad_request') AS BIGINT) AS requests,
+    CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions,
+    CAST(count_if(event_type = 'ad_error') AS BIGINT) AS errors
+  FROM silver
+  GROUP BY 1, 2, 3, 4, 5, 6
+),
+pod_fill AS (
+  SELECT *,
+    CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled,
+    CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS pod_fill_rate
+  FROM pod_base
+)"""
+
+CAMPAIGN_ORDER = (
+    "event_date DESC NULLS LAST, revenue_micros DESC NULLS LAST, campaign_id ASC NULLS FIRST, "
+    "market ASC NULLS FIRST, platform ASC NULLS FIRST, break_type ASC NULLS FIRST"
+)
+POD_ORDER = (
+    "event_date DESC NULLS LAST, requests DESC NULLS LAST, pod_id ASC NULLS FIRST, break_type ASC NULLS FIRST, "
+    "content_id ASC NULLS FIRST, platform ASC NULLS FIRST, market ASC NULLS FIRST"
+)
+
+SUMMARY_SELECT = """SELECT event_date AS ds,
+  CAST(sum(requests) AS BIGINT) AS requests,
+  CAST(sum(impressions) AS BIGINT) AS impressions,
+  CAST(sum(clicks) AS BIGINT) AS clicks,
+  round(CAST(sum(revenue_micros) AS DOUBLE) / 1000000, 6) AS revenue,
+  round(CAST(sum(impressions) AS DOUBLE) / greatest(sum(requests), 1), 4) AS fill_rate,
+  CAST(count(DISTINCT campaign_id) AS BIGINT) AS campaigns
+FROM campaign_daily GROUP BY event_date"""
+
+
+def fixed_sql(x: str, decimals: int, shift: int = 0) -> str:
+    """Half-up fixed-decimal text from the value at 6 stored decimals (integer math)."""
+    drop = 6 - shift - decimals
+    step, unit = 10**drop, 10**decimals
+    n = f"CAST(round(({x}) * 1000000) AS BIGINT)"
+    q = f"((abs({n}) + {step // 2}) // {step})" if drop else f"abs({n})"
+    text = f"CAST({q} // {unit} AS VARCHAR) || '.' || lpad(CAST({q} % {unit} AS VARCHAR), {decimals}, '0')"
+    return f"(CASE WHEN {n} < 0 THEN '-' || {text} ELSE {text} END)"
+
+
+def pct_sql(x: str) -> str:
+    return f"coalesce({fixed_sql(x, 1, 2)} || '%', '—')"
+
+
+def num_sql(x: str, d: int) -> str:
+    return f"coalesce({fixed_sql(x, d)}, '—')"
+
+
+ORACLE["campaigns_top"] = _with(MARTS_CTE, f"SELECT * FROM campaign_daily ORDER BY {CAMPAIGN_ORDER} LIMIT 100")
+ORACLE["campaigns_top_filtered"] = _with(
+    MARTS_CTE,
+    f"SELECT * FROM campaign_daily WHERE campaign_id = 'cmp_3' AND market = 'IN' ORDER BY {CAMPAIGN_ORDER} LIMIT 50",
+)
+ORACLE["pods_top"] = _with(MARTS_CTE, f"SELECT * FROM pod_fill ORDER BY {POD_ORDER} LIMIT 100")
+ORACLE["pods_top_midroll"] = _with(
+    MARTS_CTE, f"SELECT * FROM pod_fill WHERE break_type = 'midroll' ORDER BY {POD_ORDER} LIMIT 200"
+)
+ORACLE["day_summary"] = _with(MARTS_CTE, SUMMARY_SELECT)
+ORACLE["report_cards"] = _with(
+    MARTS_CTE + f""",
+summary AS ({SUMMARY_SELECT})""",
+    f"""SELECT ds, 1 AS position, 'Day' AS label, CAST(ds AS VARCHAR) AS value FROM summary
+UNION ALL SELECT ds, 2, 'Requests', CAST(requests AS VARCHAR) FROM summary
+UNION ALL SELECT ds, 3, 'Impressions', CAST(impressions AS VARCHAR) FROM summary
+UNION ALL SELECT ds, 4, 'Fill rate', {pct_sql('fill_rate')} FROM summary
+UNION ALL SELECT ds, 5, 'Clicks', CAST(clicks AS VARCHAR) FROM summary
+UNION ALL SELECT ds, 6, 'Revenue', {num_sql('revenue', 3)} FROM summary""",
+)
+ORACLE["report_campaigns"] = _with(
+    MARTS_CTE,
+    f"""SELECT CAST(event_date AS VARCHAR) AS event_date, campaign_id, market, platform, break_type,
+  requests, impressions, {pct_sql('fill_rate')} AS fill_rate, {num_sql('ecpm', 2)} AS ecpm,
+  {num_sql('revenue', 3)} AS revenue
+FROM campaign_daily ORDER BY {CAMPAIGN_ORDER} LIMIT 25""",
+)
+ORACLE["report_pods"] = _with(
+    MARTS_CTE,
+    f"""SELECT CAST(event_date AS VARCHAR) AS event_date, substring(pod_id, 1, 14) AS pod, break_type, platform,
+  market, requests, impressions, CASE WHEN filled <> 0 THEN 'yes' ELSE 'no' END AS filled,
+  {pct_sql('pod_fill_rate')} AS pod_fill_rate
+FROM pod_fill ORDER BY {POD_ORDER} LIMIT 20""",
+)
+ORACLE["fill_by_slice"] = _with(
+    MARTS_CTE,
+    """SELECT event_date, campaign_id, platform, market,
+  CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(impressions) AS BIGINT) AS impressions,
+  CAST(sum(revenue_micros) AS BIGINT) AS revenue_micros,
+  CASE WHEN sum(requests) > 0 THEN round(CAST(sum(impressions) AS DOUBLE) / sum(requests), 6) END AS fill_rate,
+  CASE WHEN sum(impressions) > 0 THEN round(CAST(sum(revenue_micros) AS DOUBLE) / (sum(impressions) * 1000), 4) END
+    AS ecpm
+FROM campaign_daily GROUP BY event_date, campaign_id, platform, market""",
+)
+ORACLE["midroll_break_rate"] = _with(
+    MARTS_CTE,
+    """SELECT event_date, CAST(count(*) AS BIGINT) AS pods,
+  CAST(count_if(requests > 0 AND impressions = 0) AS BIGINT) AS broken_pods,
+  round(avg(1 - filled), 6) AS break_rate
+FROM pod_fill WHERE break_type = 'midroll' GROUP BY event_date""",
+)
+ORACLE["midroll_broken_pods"] = _with(
+    MARTS_CTE, "SELECT * FROM pod_fill WHERE break_type = 'midroll' AND requests > 0 AND impressions = 0"
+)
+ORACLE["completion_reconcile"] = _with(
+    GOLD_SILVER
+    + """,
+imp AS (SELECT session_id, pod_id, slot_index, min(event_date) AS d FROM silver
+        WHERE event_type = 'ad_impression' GROUP BY ALL),
+done AS (SELECT session_id, pod_id, slot_index, min(event_date) AS d FROM silver
+         WHERE event_type = 'ad_quartile' AND quartile = 100 GROUP BY ALL),
+slots_j AS (
+  SELECT least(imp.d, done.d) AS event_date, imp.d IS NOT NULL AS has_imp, done.d IS NOT NULL AS has_done
+  FROM imp FULL JOIN done
+    ON imp.session_id = done.session_id AND imp.pod_id = done.pod_id AND imp.slot_index = done.slot_index
+)""",
+    """SELECT event_date,
+  CAST(count_if(has_imp AND has_done) AS BIGINT) AS both,
+  CAST(count_if(NOT has_imp AND has_done) AS BIGINT) AS completion_only,
+  CAST(count_if(has_imp AND NOT has_done) AS BIGINT) AS impression_only
+FROM slots_j GROUP BY event_date""",
+)
+ORACLE["publish_payload"] = _with(
+    GOLD_SILVER,
+    """SELECT event_id AS key, event_id, event_type, event_ts, campaign_id, quartile, clearing_price_micros, is_late
+FROM silver""",
+)
+
+GATE_CTE = (
+    silver_cte("dt, event_id").replace("silver AS (", "silver_dt AS (", 1)
+    + """,
+ranked_all AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY """
+    + WINNER_ORDER
+    + """) AS rn_all FROM typed
+),
+silver AS (SELECT * FROM ranked_all WHERE rn_all = 1 AND event_type IN """
+    + EVENT_TYPES_SQL
+    + """),
+campaign_daily AS (
+  SELECT event_date, campaign_id, market, platform, break_type,
+    CAST(count_if(event_type = 'ad_request') AS BIGINT) AS requests,
+    CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions
+  FROM silver GROUP BY 1, 2, 3, 4, 5
+),
+camp AS (
+  SELECT *, CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS fill_rate,
+    CAST(0 AS BIGINT) AS revenue_micros
+  FROM campaign_daily
+),
+s_day AS (
+  SELECT dt AS ds, count(*) AS silver_rows, count_if(event_type = 'ad_request') AS requests,
+    count_if(event_type = 'ad_impression') AS impressions
+  FROM silver_dt GROUP BY dt
+),
+g_day AS (
+  SELECT event_date AS ds, count(*) AS gold_rows, count_if(revenue_micros < 0) AS neg, avg(fill_rate) AS fill
+  FROM camp GROUP BY event_date
+),
+day AS (
+  SELECT coalesce(s_day.ds, g_day.ds) AS ds, coalesce(silver_rows, 0) AS n, coalesce(requests, 0) AS req,
+    coalesce(impressions, 0) AS imp, coalesce(gold_rows, 0) AS g, coalesce(neg, 0) AS neg, fill
+  FROM s_day FULL JOIN g_day ON s_day.ds = g_day.ds
+),
+checks AS (
+  SELECT ds, 1 AS check_no, 'silver_exists' AS "check", 'error' AS severity, CAST(n AS DOUBLE) AS observed,
+    '>= 1' AS threshold, n > 0 AS passed, 'gate: no silver for dt=' || CAST(ds AS VARCHAR) AS msg FROM day
+  UNION ALL SELECT ds, 2, 'silver_min_rows', 'error', n, '>= 50', n >= 50,
+    'gate: silver too small (' || CAST(n AS VARCHAR) || ' rows) for dt=' || CAST(ds AS VARCHAR) FROM day
+  UNION ALL SELECT ds, 3, 'requests_present', 'error', req, '> 0', req > 0, 'gate: zero ad_request rows' FROM day
+  UNION ALL SELECT ds, 4, 'impressions_vs_requests', 'error', imp, '<= requests * 1.15', imp <= req * 1.15,
+    'gate: impressions (' || CAST(imp AS VARCHAR) || ') >> requests (' || CAST(req AS VARCHAR) || ')' FROM day
+  UNION ALL SELECT ds, 5, 'gold_rows_for_day', 'error', g, '> 0', g > 0,
+    'gate: no gold campaign rows for ' || CAST(ds AS VARCHAR) FROM day
+  UNION ALL SELECT ds, 6, 'no_negative_revenue', 'error', neg, '= 0', neg = 0, 'gate: negative revenue_micros'
+    FROM day
+  UNION ALL SELECT ds, 7, 'mean_fill_rate_band', 'error', fill, '[0.2, 0.99]',
+    fill IS NULL OR (fill BETWEEN 0.2 AND 0.99), 'gate: suspicious mean fill_rate=' || printf('%.3f', fill) FROM day
+  UNION ALL SELECT ds, 12, 'mean_fill_rate_soft_band', 'warn', fill, '[0.55, 0.95]',
+    fill IS NULL OR (fill BETWEEN 0.55 AND 0.95),
+    'gate: mean fill_rate=' || printf('%.3f', fill) || ' outside the usual band' FROM day
+)"""
+)
+ORACLE["gate_report"] = _with(
+    GATE_CTE,
+    """SELECT ds, check_no, "check", severity, observed, threshold, passed,
+  CASE WHEN NOT passed THEN msg END AS message FROM checks""",
+)
+ORACLE["gate_verdicts"] = _with(
+    GATE_CTE,
+    """SELECT ds, bool_and(passed) AS passed, arg_min(CASE WHEN NOT passed THEN msg END,
+  CASE WHEN NOT passed THEN check_no END) AS message
+FROM checks WHERE severity = 'error' GROUP BY ds""",
+)
+ORACLE["not_null_report"] = _with(
+    MARTS_CTE,
+    """SELECT 'fct_campaign_daily' AS "table", 'not_null(event_date)' AS "check",
+  CAST(count_if(event_date IS NULL) AS BIGINT) AS failures FROM campaign_daily
+UNION ALL SELECT 'fct_campaign_daily', 'not_null(campaign_id)', count_if(campaign_id IS NULL) FROM campaign_daily
+UNION ALL SELECT 'fct_campaign_daily', 'revenue_micros >= 0', count_if(revenue_micros < 0) FROM campaign_daily
+UNION ALL SELECT 'fct_campaign_daily', 'sum(requests) > 0', CASE WHEN sum(requests) > 0 THEN 0 ELSE 1 END
+  FROM campaign_daily
+UNION ALL SELECT 'fct_campaign_daily', 'sum(impressions) > 0', CASE WHEN sum(impressions) > 0 THEN 0 ELSE 1 END
+  FROM campaign_daily
+UNION ALL SELECT 'fct_campaign_daily', '0 <= fill_rate <= 1.15',
+  count_if(requests > 0 AND NOT (fill_rate BETWEEN 0 AND 1.15)) FROM campaign_daily
+UNION ALL SELECT 'fct_pod_fill', 'not_null(pod_id)', count_if(pod_id IS NULL) FROM pod_fill
+UNION ALL SELECT 'fct_pod_fill', 'not_null(filled)', count_if(filled IS NULL) FROM pod_fill
+UNION ALL SELECT 'silver', 'unique(event_id)', coalesce(sum(n - 1), 0)
+  FROM (SELECT event_id, count(*) AS n FROM silver GROUP BY event_id HAVING count(*) > 1)
+UNION ALL SELECT 'silver', 'event_type in contract', count_if(event_type NOT IN """
+    + EVENT_TYPES_SQL
+    + """) FROM silver""",
+)
+ORACLE["not_null_report"] = (
+    "SELECT \"table\", \"check\", CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM ("
+    + ORACLE["not_null_report"]
+    + ")"
+)
