@@ -152,3 +152,11 @@ def _pod_columns(base: DataFrame) -> DataFrame:
         F.when(F.col("impressions") > 0, 1).otherwise(0).alias("filled"),
         safe_rate("impressions", "requests").alias("pod_fill_rate"),
     )
+
+
+def campaign_daily_columns() -> list[str]:
+    return [*CAMPAIGN_KEYS, *COUNT_COLUMNS, "revenue_micros", "revenue", "fill_rate", "ctr", "completion_rate", "ecpm"]
+
+
+def pod_fill_columns() -> list[str]:
+    return [*POD_KEYS, "requests", "impressions", "errors", "filled", "pod_fill_rate"]

@@ -519,3 +519,10 @@ ORACLE["not_null_report"] = (
     + ORACLE["not_null_report"]
     + ")"
 )
+
+
+# written-table queries: the full rebuild / the per-dt silver, read back
+ORACLE["staging_projection"] = _with(silver_cte("dt, event_id"), f"SELECT {SILVER_COLS} FROM silver")
+ORACLE["latest_partition"] = _with(silver_cte("dt, event_id"), "SELECT max(dt) AS latest_dt FROM silver")
+ORACLE["gold_replace_day"] = ORACLE["campaign_daily"]
+ORACLE["gold_refresh_touched"] = ORACLE["pod_fill"]
