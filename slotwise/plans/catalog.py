@@ -296,3 +296,50 @@ def gold_refresh_touched(spark, sf_dir):
     for ds in _latest_dts(spark, lake, 2):
         flow.run_day(spark, lake, rows, ds, gate=False)
     return flow.read_table(spark, lake.pod_fill, "pod_fill").select(*gold.pod_fill_columns())
+
+
+# --- streaming ----------------------------------------------------------------------------
+from slotwise.session import scratch_path  # noqa: E402
+from slotwise.streaming import jobs as streams  # noqa: E402
+
+STREAM_RUNS = 4  # arrival days are fed in this many successive availableNow runs
+
+
+@register("stream_landing")
+def stream_landing(spark, sf_dir):
+    """ST1: drop files streamed through the contract into ``landed``."""
+    root = scratch_path(spark, "stream-landing")
+    lines = fixtures.drop_lines(spark, sf_dir)
+    lines.select("dt", "value").write.partitionBy("dt").text(f"{root}/drops")
+    streams.landing_stream(spark, f"{root}/drops", f"{root}/landed", f"{root}/_checkpoint")
+    landed = spark.read.parquet(f"{root}/landed")
+    return landed.select("dt", "status", "error", landed["value"].alias("raw"))
+
+
+@register("stream_dedup_lww")
+def stream_dedup_lww(spark, sf_dir):
+    """ST2 / ST3: last-write-wins silver kept current across successive arrivals."""
+    root = scratch_path(spark, "stream-repair")
+    rows = fixtures.beacons(spark, sf_dir)
+    for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
+        streams.arrive(rows, f"{root}/bronze", chunk)
+        streams.repair_stream(
+            spark, f"{root}/bronze", f"{root}/raw", f"{root}/silver", f"{root}/too_late", f"{root}/_checkpoint"
+        )
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_OUT)
+
+
+@register("stream_daily_counts")
+def stream_daily_counts(spark, sf_dir):
+    """ST4: finalised (watermark-closed) day counts, duplicates counted once."""
+    root = scratch_path(spark, "stream-counts")
+    rows = fixtures.beacons(spark, sf_dir)
+    for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
+        streams.arrive(rows, f"{root}/bronze", chunk)
+        streams.daily_counts_stream(spark, f"{root}/bronze", f"{root}/counts", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/counts")
+
+
+from slotwise.functions.contract import SILVER_COLUMNS  # noqa: E402
+
+SILVER_OUT = [*SILVER_COLUMNS, "too_late"]

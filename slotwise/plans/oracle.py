@@ -289,6 +289,7 @@ lines AS (
 FROM lines GROUP BY dt""",
     )
     ORACLE["quarantine_rows"] = _with(cte, "SELECT e, raw, error, dt FROM lines WHERE status = 'bad'")
+    ORACLE["stream_landing"] = _with(cte, "SELECT dt, status, error, raw FROM lines")
 
 
 _landing_oracle()
@@ -526,3 +527,21 @@ ORACLE["staging_projection"] = _with(silver_cte("dt, event_id"), f"SELECT {SILVE
 ORACLE["latest_partition"] = _with(silver_cte("dt, event_id"), "SELECT max(dt) AS latest_dt FROM silver")
 ORACLE["gold_replace_day"] = ORACLE["campaign_daily"]
 ORACLE["gold_refresh_touched"] = ORACLE["pod_fill"]
+
+# streaming: the same rows as the batch rules
+ORACLE["stream_dedup_lww"] = _with(
+    GOLD_SILVER, f"SELECT {SILVER_COLS}, (ingest_ts - event_ts) > INTERVAL 36 HOUR AS too_late FROM silver"
+)
+ORACLE["stream_daily_counts"] = _with(
+    GOLD_SILVER,
+    """SELECT event_date, campaign_id, market, platform, break_type,
+  CAST(count_if(event_type = 'ad_request') AS BIGINT) AS requests,
+  CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions,
+  CAST(count_if(event_type = 'ad_click') AS BIGINT) AS clicks,
+  CAST(count_if(event_type = 'ad_error') AS BIGINT) AS errors,
+  CAST(count_if(event_type = 'ad_quartile' AND quartile = 100) AS BIGINT) AS completions
+FROM silver
+WHERE CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY
+      <= (SELECT max(event_ts) FROM silver) - INTERVAL 36 HOUR
+GROUP BY 1, 2, 3, 4, 5""",
+)
