@@ -149,7 +149,11 @@ def validate(df: DataFrame, line: str = "value", strict_timestamps: bool = False
     # concat_ws skips nulls and stays in generated code (a lambda filter would not)
     text = F.concat_ws(",", *checks)
     errors = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
-    with_errors = staged.withColumn("errors", errors)
+    # The rule list comes out of a one-row-per-input generator: a later filter on
+    # it (e.g. quarantine = non-empty) cannot be pushed below the generator, so
+    # the rules are evaluated once instead of being copied into that filter.
+    keep = [c for c in staged.columns]
+    with_errors = staged.select(*keep, F.inline(F.array(F.struct(errors.alias("errors")))))
     fields = {}
     for name, kind in FIELDS:
         if kind.startswith("string"):

@@ -14,7 +14,24 @@ from slotwise.functions.contract import BEACON_SCHEMA
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one provided table.
+
+    A table stored as one small file scans as a single split, which would put
+    everything before the first shuffle into one task. Only then is it spread
+    round-robin over the session's parallelism; a large table (many splits)
+    is scanned as is, with no extra exchange.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark, df)
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    try:
+        splits = df.rdd.getNumPartitions()  # file splits, computed from metadata (no job)
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _slot_columns(events: DataFrame) -> DataFrame:
@@ -151,7 +168,7 @@ def request_json(s: DataFrame) -> Column:
 
 
 # The defect applied to a request line, by `e % 40`, as
-# (find, replace) on the JSON text; special forms are handled in `_apply`.
+# (form, argument) on the clean JSON text; see `defect_rewrite`.
 DEFECTS = (
     ("cut_last_char", None),
     ("whole_line", "[1,2]"),
@@ -233,39 +250,57 @@ def _value_pattern(key: str) -> str:
     return f'"{key}":("[^"]*"|null|true|false|-?[0-9.eE+]+)'
 
 
-def _apply(line: Column, defect: tuple) -> Column:
+def _java_replacement(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("$", "\\$")
+
+
+def defect_rewrite(defect: tuple) -> tuple[str, str]:
+    """A defect as one (regex, replacement) pair on the clean line."""
     form, arg = defect
     if form == "cut_last_char":
-        return F.substring(line, F.lit(1), F.char_length(line) - 1)
+        return ".$", ""
     if form == "whole_line":
-        return F.lit(arg)
+        return "^.*$", _java_replacement(arg)
     if form == "replace":
-        return F.replace(line, F.lit(arg[0]), F.lit(arg[1]))
+        return _re_quote(arg[0]), _java_replacement(arg[1])
     if form == "drop_key":
         # remove `,"key":value` (no key is first, event_id is never dropped)
-        return F.regexp_replace(line, "," + _value_pattern(arg), "")
+        return "," + _value_pattern(arg), ""
     if form == "extra_key":
-        return F.concat(F.substring(line, F.lit(1), F.char_length(line) - 1), F.lit("," + arg + "}"))
+        return "}$", _java_replacement("," + arg + "}")
     if form == "set":
         key, val = arg
-        return F.regexp_replace(line, _value_pattern(key), f'"{key}":' + val.replace("\\", "\\\\").replace("$", "\\$"))
+        return _value_pattern(key), _java_replacement(f'"{key}":' + val)
     raise ValueError(form)
 
 
+def _re_quote(text: str) -> str:
+    import re
+
+    return re.escape(text)
+
+
 def drop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request beacons as raw JSON lines with injected defects.
 
     Columns: ``e`` (slot number, kept for checking), ``dt``, ``src`` (drop file
-    stem), ``value`` (the raw line). Derived row by row from ``events``.
+    stem), ``value`` (the raw line). Derived row by row from ``events``: the
+    defect of a row is looked up by ``e % 40`` in a literal array of
+    (regex, replacement) pairs and applied with one ``regexp_replace``.
     """
     s = _slot_columns(read_table(spark, sf_dir, "events"))
-    # the clean line is its own column so each defect branch reads it, not re-builds it
-    s = s.select("e", "event_ts", request_json(s).alias("__base"))
-    base = F.col("__base")
-    d = F.col("e") % DEFECT_MODULUS
-    line = base
-    for i in reversed(range(len(DEFECTS))):
-        line = F.when(d == i, _apply(base, DEFECTS[i])).otherwise(line)
+    rewrites = [defect_rewrite(d) for d in DEFECTS]
+    patterns = F.array(*[F.lit(p) for p, _ in rewrites])
+    replacements = F.array(*[F.lit(r) for _, r in rewrites])
+    d = (F.col("e") % DEFECT_MODULUS).cast("int")
+    s = s.select("e", "event_ts", d.alias("__d"), request_json(s).alias("__base"))
+    has_defect = F.col("__d") < len(DEFECTS)
+    line = F.when(
+        has_defect,
+        F.regexp_replace(
+            F.col("__base"), F.element_at(patterns, F.col("__d") + 1), F.element_at(replacements, F.col("__d") + 1)
+        ),
+    ).otherwise(F.col("__base"))
     return s.select(
         F.col("e"),
         F.to_date(F.col("event_ts")).alias("dt"),
