@@ -34,90 +34,74 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.repartition(cores) if splits < cores else df
 
 
-def _slot_columns(events: DataFrame) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    p = F.floor(e / 3).cast("bigint")
-    break_type = (
-        F.when(p % 20 < 5, "preroll").when(p % 20 < 17, "midroll").otherwise("postroll")
-    )
-    platform = F.element_at(F.array(*[F.lit(x) for x in ("android", "ios", "web", "tv")]), (p % 4 + 1).cast("int"))
-    market = F.when(p % 10 < 7, "IN").when(p % 10 == 7, "US").when(p % 10 == 8, "GB").otherwise("AE")
-    return events.select(
-        e.alias("e"),
-        u.alias("u"),
-        p.alias("p"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        (F.round(F.col("value") * 10000).cast("bigint") + 80000).alias("floor_micros"),
-        break_type.alias("break_type"),
-        platform.alias("platform"),
-        market.alias("market"),
-        ((e * 13 + u) % 100).alias("q"),
-    ).withColumn(
-        "filled",
-        (F.col("e") * 37 + F.col("u")) % 100
-        < F.when(F.col("break_type") == "preroll", 92).when(F.col("break_type") == "midroll", 78).otherwise(85),
-    )
+# The mapping is written as SQL expression text: it is parsed once on the JVM
+# instead of being assembled from thousands of Column calls.
+SLOT_SQL = (
+    "event_id AS e",
+    "user_id AS u",
+    "CAST(FLOOR(event_id / 3) AS BIGINT) AS p",
+    "CAST(ts AS TIMESTAMP) AS event_ts",
+    "CAST(ROUND(value * 10000) AS BIGINT) + 80000 AS floor_micros",
+    "(event_id * 13 + user_id) % 100 AS q",
+)
+SLOT_ATTRS_SQL = (
+    "*",
+    "CASE WHEN p % 20 < 5 THEN 'preroll' WHEN p % 20 < 17 THEN 'midroll' ELSE 'postroll' END AS break_type",
+    "CASE p % 4 WHEN 0 THEN 'android' WHEN 1 THEN 'ios' WHEN 2 THEN 'web' ELSE 'tv' END AS platform",
+    "CASE WHEN p % 10 < 7 THEN 'IN' WHEN p % 10 = 7 THEN 'US' WHEN p % 10 = 8 THEN 'GB' ELSE 'AE' END AS market",
+)
+FILLED_SQL = "(e * 37 + u) % 100 < CASE break_type WHEN 'preroll' THEN 92 WHEN 'midroll' THEN 78 ELSE 85 END"
+
+# one struct per beacon kind: (kind, event_type, quartile, keep-condition)
+KINDS_SQL = """inline(filter(array(
+    named_struct('kind', 'req',  'event_type', 'ad_request',    'quartile', CAST(NULL AS INT), 'keep', true),
+    named_struct('kind', 'err',  'event_type', 'ad_error',      'quartile', CAST(NULL AS INT), 'keep', NOT filled),
+    named_struct('kind', 'imp',  'event_type', 'ad_impression', 'quartile', CAST(NULL AS INT), 'keep', filled),
+    named_struct('kind', 'late', 'event_type', 'ad_impression', 'quartile', CAST(NULL AS INT),
+                 'keep', filled AND e % 50 = 0),
+    named_struct('kind', 'clk',  'event_type', 'ad_click',      'quartile', CAST(NULL AS INT),
+                 'keep', filled AND platform <> 'tv' AND e % 23 = 0),
+    named_struct('kind', 'q25',  'event_type', 'ad_quartile',   'quartile', 25,  'keep', filled),
+    named_struct('kind', 'q50',  'event_type', 'ad_quartile',   'quartile', 50,  'keep', filled AND q >= 18),
+    named_struct('kind', 'q75',  'event_type', 'ad_quartile',   'quartile', 75,  'keep', filled AND q >= 35),
+    named_struct('kind', 'q100', 'event_type', 'ad_quartile',   'quartile', 100, 'keep', filled AND q >= 48)
+  ), k -> k.keep))"""
+
+BEACON_SQL = (
+    "concat('bcn-', CASE WHEN kind = 'late' THEN 'imp' ELSE kind END, '-', CAST(e AS STRING)) AS event_id",
+    "event_type",
+    "event_ts",
+    "CASE WHEN kind = 'late' THEN event_ts + INTERVAL 12 HOURS ELSE event_ts END AS ingest_ts",
+    "concat('sess_', CAST(u AS STRING)) AS session_id",
+    "concat('cnt_', CAST(p % 40 AS STRING)) AS content_id",
+    "concat('pod_', CAST(p AS STRING)) AS pod_id",
+    "CAST(e % 3 AS INT) AS slot_index",
+    "break_type",
+    "platform",
+    "market",
+    "concat('cmp_', CAST(p % 7 AS STRING)) AS campaign_id",
+    "CASE WHEN kind NOT IN ('req', 'err') THEN concat('cr_', CAST(p % 7 AS STRING)) END AS creative_id",
+    "CASE WHEN kind NOT IN ('req', 'err') THEN concat('adv_', CAST(p % 7 AS STRING)) END AS advertiser_id",
+    "CAST(quartile AS INT) AS quartile",
+    "CASE WHEN kind = 'err' THEN element_at(array('NO_AD', 'TIMEOUT', 'VAST_ERROR'), CAST(e % 3 AS INT) + 1) END"
+    " AS error_code",
+    "CAST(CASE WHEN kind = 'req' THEN floor_micros END AS BIGINT) AS bid_floor_micros",
+    "CAST(CASE WHEN kind = 'imp' THEN floor_micros + (e % 7) * 1000 WHEN kind = 'late' THEN floor_micros + 500 END"
+    " AS BIGINT) AS clearing_price_micros",
+    "kind = 'late' AS is_late",
+)
 
 
-def _kind(kind: str, event_type: str, keep: Column, quartile: int | None = None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        F.lit(event_type).alias("event_type"),
-        F.lit(quartile).cast("int").alias("quartile"),
-        keep.alias("keep"),
-    )
+def _slot_columns(events: DataFrame) -> DataFrame:
+    """One row per slot with its derived attributes (FIXTURES.md §2)."""
+    return events.selectExpr(*SLOT_SQL).selectExpr(*SLOT_ATTRS_SQL).selectExpr("*", f"{FILLED_SQL} AS filled")
 
 
 def beacons_from_events(events: DataFrame) -> DataFrame:
     """Typed beacons (contract columns + arrival partition ``dt``)."""
-    s = _slot_columns(events)
-    filled, e, q = F.col("filled"), F.col("e"), F.col("q")
-    kinds = F.array(
-        _kind("req", "ad_request", F.lit(True)),
-        _kind("err", "ad_error", ~filled),
-        _kind("imp", "ad_impression", filled),
-        _kind("late", "ad_impression", filled & (e % 50 == 0)),
-        _kind("clk", "ad_click", filled & (F.col("platform") != "tv") & (e % 23 == 0)),
-        _kind("q25", "ad_quartile", filled, 25),
-        _kind("q50", "ad_quartile", filled & (q >= 18), 50),
-        _kind("q75", "ad_quartile", filled & (q >= 35), 75),
-        _kind("q100", "ad_quartile", filled & (q >= 48), 100),
-    )
-    x = s.select("*", F.inline(F.filter(kinds, lambda k: k["keep"])))
-    kind = F.col("kind")
-    p = F.col("p")
-    creative_ok = ~kind.isin("req", "err")
-    ingest = F.when(kind == "late", F.col("event_ts") + F.expr("INTERVAL 12 HOURS")).otherwise(F.col("event_ts"))
-    price = (
-        F.when(kind == "imp", F.col("floor_micros") + (e % 7) * 1000)
-        .when(kind == "late", F.col("floor_micros") + 500)
-    )
-    error_code = F.when(kind == "err", F.element_at(F.array(F.lit("NO_AD"), F.lit("TIMEOUT"), F.lit("VAST_ERROR")), (e % 3 + 1).cast("int")))
-    out = x.select(
-        F.concat(F.lit("bcn-"), F.when(kind == "late", "imp").otherwise(kind), F.lit("-"), e.cast("string")).alias("event_id"),
-        F.col("event_type"),
-        F.col("event_ts"),
-        ingest.alias("ingest_ts"),
-        F.concat(F.lit("sess_"), F.col("u").cast("string")).alias("session_id"),
-        F.concat(F.lit("cnt_"), (p % 40).cast("string")).alias("content_id"),
-        F.concat(F.lit("pod_"), p.cast("string")).alias("pod_id"),
-        (e % 3).cast("int").alias("slot_index"),
-        F.col("break_type"),
-        F.col("platform"),
-        F.col("market"),
-        F.concat(F.lit("cmp_"), (p % 7).cast("string")).alias("campaign_id"),
-        F.when(creative_ok, F.concat(F.lit("cr_"), (p % 7).cast("string"))).alias("creative_id"),
-        F.when(creative_ok, F.concat(F.lit("adv_"), (p % 7).cast("string"))).alias("advertiser_id"),
-        F.col("quartile"),
-        error_code.alias("error_code"),
-        F.when(kind == "req", F.col("floor_micros")).alias("bid_floor_micros"),
-        price.cast("bigint").alias("clearing_price_micros"),
-        (kind == "late").alias("is_late"),
-    )
-    return out.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BEACON_SCHEMA.fields],
-        F.to_date(F.col("ingest_ts")).alias("dt"),
-    )
+    kinds = _slot_columns(events).selectExpr("*", KINDS_SQL)
+    out = kinds.selectExpr(*BEACON_SQL)
+    return out.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in BEACON_SCHEMA.fields], "CAST(ingest_ts AS DATE) AS dt")
 
 
 def beacons(spark: SparkSession, sf_dir: str) -> DataFrame:
