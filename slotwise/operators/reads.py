@@ -280,3 +280,11 @@ def publish_payload(rows: DataFrame) -> DataFrame:
 def json_records(df: DataFrame) -> DataFrame:
     """One JSON text per row (nulls kept as null)."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def drop_records(lines: DataFrame) -> DataFrame:
+    """A drop file as topic records — blank lines skipped, each line parsed
+    and re-serialised as compact JSON (lines that are not JSON are kept out)."""
+    trimmed = lines.select(F.trim(F.col("value")).alias("line")).where(F.col("line") != "")
+    parsed = trimmed.select(F.try_parse_json("line").alias("v")).where(F.col("v").isNotNull())
+    return parsed.select(F.to_json(F.col("v")).alias("value"))

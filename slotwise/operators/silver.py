@@ -75,35 +75,52 @@ def conform(df: DataFrame) -> DataFrame:
     return typed.withColumn("event_date", F.to_date(F.col("event_ts")))
 
 
+TIE = "__tie"
+
+
+def _tie_columns(by: Sequence[str]) -> list[str]:
+    return [c for c in SILVER_COLUMNS if c not in ("ingest_ts", "is_late", "event_date") and c not in by]
+
+
+def row_tie(by: Sequence[str]) -> Column:
+    """One 64-bit digest of the rest of the row, the last tie-breaker.
+
+    It is computed before the exchange and replaces the row's columns in the
+    sort key, so columns the caller does not use are pruned below the shuffle.
+    Null flags are hashed too (a null contributes nothing to ``xxhash64``).
+    """
+    cols = _tie_columns(by)
+    return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+
+
 def winner_order(by: Sequence[str]) -> list[Column]:
-    """Latest ingest wins; ties go to the late copy, then to the larger row."""
-    rest = [c for c in SILVER_COLUMNS if c not in ("ingest_ts", "is_late", "event_date") and c not in by]
-    return [F.col("ingest_ts").desc_nulls_last(), F.col("is_late").desc_nulls_last()] + [
-        F.col(c).desc_nulls_last() for c in rest
-    ]
+    """Latest ingest wins (null loses); ties go to the late copy, then to the
+    larger row digest — a deterministic total order, whatever the input order."""
+    return [F.col("ingest_ts").desc_nulls_last(), F.col("is_late").desc_nulls_last(), F.col(TIE).desc()]
 
 
 def _winner_fields(by: Sequence[str]) -> list[str]:
-    rest = [c for c in SILVER_COLUMNS if c not in ("ingest_ts", "is_late", "event_date") and c not in by]
-    return ["ingest_ts", "is_late"] + rest
+    return ["ingest_ts", "is_late", TIE]
 
 
 def dedup_window(df: DataFrame, by: Sequence[str] = ("event_id",)) -> DataFrame:
     """``row_number() = 1`` per key under the winner order."""
     w = Window.partitionBy(*by).orderBy(*winner_order(by))
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    ranked = df.withColumn(TIE, row_tie(by)).withColumn("__rn", F.row_number().over(w))
+    return ranked.where(F.col("__rn") == 1).drop("__rn", TIE)
 
 
 def dedup_max(df: DataFrame, by: Sequence[str] = ("event_id",)) -> DataFrame:
-    """W2 alternative: ``max(struct(order fields...))`` per key.
+    """W2 alternative: ``max(struct(ingest_ts, is_late, digest, row...))`` per key.
 
     Struct comparison is field by field with nulls smallest, which is exactly
-    the winner order (every field descending, nulls last).
+    the winner order (each field descending, nulls last). The struct carries the
+    whole row, so this form cannot prune columns below its exchange.
     """
     fields = _winner_fields(by)
     carried = [c for c in df.columns if c not in fields and c not in by]
-    agg = df.groupBy(*by).agg(F.max(F.struct(*fields, *carried)).alias("__w"))
-    return agg.select(*by, *[F.col("__w")[c].alias(c) for c in fields + carried])
+    agg = df.withColumn(TIE, row_tie(by)).groupBy(*by).agg(F.max(F.struct(*fields, *carried)).alias("__w"))
+    return agg.select(*by, *[F.col("__w")[c].alias(c) for c in fields + carried if c != TIE])
 
 
 def keep_contract_types(df: DataFrame) -> DataFrame:

@@ -343,3 +343,44 @@ def stream_daily_counts(spark, sf_dir):
 from slotwise.functions.contract import SILVER_COLUMNS  # noqa: E402
 
 SILVER_OUT = [*SILVER_COLUMNS, "too_late"]
+
+
+# --- SQL route, views, full refresh, topic records --------------------------------------
+from slotwise.operators import silver_sql  # noqa: E402
+
+
+@register("silver_sql")
+def silver_sql_route(spark, sf_dir):
+    """The silver step as one Spark SQL statement over a temp view
+    of the beacons (timestamps as received ISO text, as bronze holds them)."""
+    from pyspark.sql import functions as F
+
+    rows = fixtures.beacons(spark, sf_dir)
+    text = rows.withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") for c in ("event_ts", "ingest_ts")}
+    )
+    text.createOrReplaceTempView("bronze_ad_events")
+    return silver_sql.silver_from_view(spark, "bronze_ad_events")
+
+
+@register("full_refresh")
+def full_refresh(spark, sf_dir):
+    """Marts rebuilt whole from all written silver, read through the
+    catalog view name."""
+    lake, _ = _backfilled(spark, sf_dir)
+    flow.full_refresh(spark, lake)
+    flow.register_views(spark, lake)
+    return spark.table("fct_campaign_daily").select(*gold.campaign_daily_columns())
+
+
+@register("drop_records")
+def drop_records(spark, sf_dir):
+    """Drop lines re-serialised as topic records, parsed back to check fields."""
+    from pyspark.sql import functions as F
+
+    recs = reads.drop_records(fixtures.drop_lines(spark, sf_dir).select("value"))
+    return recs.select(
+        F.get_json_object("value", "$.event_id").alias("event_id"),
+        F.get_json_object("value", "$.market").alias("market"),
+        F.get_json_object("value", "$.event_type").alias("event_type"),
+    )

@@ -127,6 +127,51 @@ def bronze_rows(spark: SparkSession, lake: Lake, dts: list[str]) -> DataFrame:
     return bronze(landed)
 
 
+def read_bronze_day(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
+    """S3 for one day: no landed table -> ``FileNotFoundError``; no valid rows ->
+    ``ValueError`` (checked with a one-row job)."""
+    rows = bronze_rows(spark, lake, [ds])
+    if rows.isEmpty():
+        raise ValueError(f"empty bronze dt={ds}")
+    return rows
+
+
+def silver_day_from_landed(spark: SparkSession, lake: Lake, ds: str) -> list[str]:
+    """G1 from landing: bronze of ``ds`` -> per-dt silver partition (typed here)."""
+    return write_silver(spark, lake, read_bronze_day(spark, lake, ds))
+
+
+def full_refresh(spark: SparkSession, lake: Lake) -> None:
+    """Rebuild both marts from all silver, replacing the whole tables."""
+    configure(spark)
+    every = read_table(spark, lake.silver, "silver")
+    w3 = silver.dedup_window(every, by=("event_id",))
+    fine = gold.grain_counts(w3, list(dict.fromkeys(CAMPAIGN_KEYS + POD_KEYS))).persist()
+    try:
+        gold.campaign_daily_from_counts(fine).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy("event_date").parquet(lake.campaign_daily)
+        gold.pod_fill_from_counts(fine).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "event_date"
+        ).parquet(lake.pod_fill)
+    finally:
+        fine.unpersist()
+
+
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Temp views over the written tables, under the catalog names."""
+    names = []
+    for name, path in (
+        ("ad_events_silver", lake.silver),
+        ("fct_campaign_daily", lake.campaign_daily),
+        ("fct_pod_fill", lake.pod_fill),
+    ):
+        if table_exists(spark, path):
+            spark.read.parquet(path).createOrReplaceTempView(name)
+            names.append(name)
+    return names
+
+
 # --- gold (G2, K6, D8) ---------------------------------------------------------------
 
 

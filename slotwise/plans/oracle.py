@@ -73,6 +73,10 @@ b0 AS (
 ),
 beacons AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0)"""
 
+# Latest ingest wins, then the late copy. The Spark side breaks any remaining tie
+# on a 64-bit row digest; here the rest of the row is compared column by
+# column. Both are deterministic total orders and agree whenever (event_id,
+# ingest_ts, is_late) identifies a row, as it does in the fixture mapping.
 WINNER_ORDER = (
     "ingest_ts DESC NULLS LAST, is_late DESC NULLS LAST, event_type DESC NULLS LAST, event_ts DESC NULLS LAST, "
     "session_id DESC NULLS LAST, content_id DESC NULLS LAST, pod_id DESC NULLS LAST, slot_index DESC NULLS LAST, "
@@ -290,6 +294,12 @@ FROM lines GROUP BY dt""",
     )
     ORACLE["quarantine_rows"] = _with(cte, "SELECT e, raw, error, dt FROM lines WHERE status = 'bad'")
     ORACLE["stream_landing"] = _with(cte, "SELECT dt, status, error, raw FROM lines")
+    ORACLE["drop_records"] = _with(
+        cte,
+        """SELECT json_extract_string(raw, '$.event_id') AS event_id, json_extract_string(raw, '$.market') AS market,
+  json_extract_string(raw, '$.event_type') AS event_type
+FROM lines WHERE error IS DISTINCT FROM 'V1'""",
+    )
 
 
 _landing_oracle()
@@ -545,3 +555,6 @@ WHERE CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY
       <= (SELECT max(event_ts) FROM silver) - INTERVAL 36 HOUR
 GROUP BY 1, 2, 3, 4, 5""",
 )
+
+ORACLE["silver_sql"] = _with(GOLD_SILVER, f"SELECT {SILVER_COLS} FROM silver")
+ORACLE["full_refresh"] = ORACLE["campaign_daily"]

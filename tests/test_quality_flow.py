@@ -201,3 +201,27 @@ def test_repair_batch_replay_is_harmless(spark):
     out = spark.read.parquet(f"{root}/silver").collect()
     prices = sorted((r["event_type"], r["clearing_price_micros"]) for r in out)
     assert prices == [("ad_impression", 600), ("ad_request", None)]
+
+
+def test_end_to_end_from_drop_lines(spark):
+    """land (strict timestamps) -> bronze -> silver -> gold -> gate, for one day."""
+    from slotwise.operators import landing
+
+    lines = fixtures.drop_lines(spark, SF_SMALL)
+    ds = str(lines.agg(F.min("dt")).first()[0])
+    lake = flow.Lake.fresh(spark, "e2e")
+    with pytest.raises(flow.MartNotBuilt):
+        flow.read_bronze_day(spark, lake, ds)
+    day = lines.where(F.col("dt") == F.lit(ds).cast("date")).select("value", "dt", "src")
+    n_ok, n_bad = landing.land(day, lake.landed, strict_timestamps=True)
+    assert n_ok > 0 and n_bad > 0
+    flow.silver_day_from_landed(spark, lake, ds)
+    touched = flow.refresh_gold(spark, lake, [ds])
+    assert touched == [ds]
+    s = flow.read_table(spark, lake.silver).collect()
+    assert len(s) == n_ok and all(r["event_type"] == "ad_request" for r in s)
+    with pytest.raises(ValueError, match="empty bronze"):
+        flow.read_bronze_day(spark, lake, "1999-01-01")
+    names = flow.register_views(spark, lake)
+    assert set(names) == {"ad_events_silver", "fct_campaign_daily", "fct_pod_fill"}
+    assert spark.table("fct_campaign_daily").agg(F.sum("requests")).first()[0] == n_ok
