@@ -32,112 +32,93 @@ def parsed(line: Column) -> Column:
     return F.try_parse_json(line)
 
 
+# The rules are SQL expression text over staged helper columns: the JVM parses
+# them in a few calls instead of Python assembling thousands of Column objects.
 V, KEYS = "__v", "__keys"
+INTEGER_FIELDS = tuple(name for name, kind in FIELDS if kind.startswith("integer"))
+CHECKED_TEXT = ("event_id", "event_type", "event_ts", "ingest_ts", "break_type", "platform", "market")
 
 
-def _t(name: str) -> str:
-    return f"__t_{name}"
-
-
-def _n(name: str) -> str:
-    return f"__n_{name}"
-
-
-def _s(name: str) -> str:
-    return f"__s_{name}"
-
-
-def _get(name: str, to: str) -> Column:
-    return F.try_variant_get(F.col(V), f"$.{name}", to)
+def _get(name: str, to: str) -> str:
+    return f"try_variant_get({V}, '$.{name}', '{to}')"
 
 
-INTEGER_FIELDS = tuple(name for name, kind in FIELDS if kind.startswith("integer"))
-CHECKED_TEXT = ("event_id", "event_type", "event_ts", "ingest_ts", "break_type", "platform", "market")
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
 def _stage_parse(df: DataFrame, line: str) -> DataFrame:
     # parsed once; later stages read the variant column instead of re-parsing
-    return df.withColumns({V: parsed(F.col(line)), KEYS: F.json_object_keys(F.col(line))})
+    return df.selectExpr("*", f"try_parse_json({line}) AS {V}", f"json_object_keys({line}) AS {KEYS}")
 
 
 def _stage_types(df: DataFrame) -> DataFrame:
     """Per key: variant type name (NULL absent, 'VOID' null), and the numeric /
     text values the rules compare."""
-    cols: dict[str, Column] = {}
-    for name, _ in FIELDS:
-        cols[_t(name)] = F.schema_of_variant(_get(name, "variant"))
-    for name in INTEGER_FIELDS:
-        cols[_n(name)] = F.struct(_get(name, "double").alias("d"), _get(name, "bigint").alias("l"))
-    for name in CHECKED_TEXT:
-        cols[_s(name)] = _get(name, "string")
-    return df.withColumns(cols)
+    exprs = [f"schema_of_variant({_get(name, 'variant')}) AS __t_{name}" for name, _ in FIELDS]
+    exprs += [f"{_get(name, 'double')} AS __d_{name}" for name in INTEGER_FIELDS]
+    exprs += [f"{_get(name, 'bigint')} AS __l_{name}" for name in INTEGER_FIELDS]
+    exprs += [f"{_get(name, 'string')} AS __s_{name}" for name in CHECKED_TEXT]
+    return df.selectExpr("*", *exprs)
 
 
-def _is_integer(name: str) -> Column:
+def _is_integer(name: str) -> str:
     """JSON-Schema integer: a number with no fraction (1.0 counts) that fits a long."""
-    t = F.col(_t(name))
-    d, lng = F.col(_n(name))["d"], F.col(_n(name))["l"]
-    numeric = t.isin(*INT_TYPES) | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
-    return numeric & (d == F.floor(d)) & lng.isNotNull()
+    t = f"__t_{name}"
+    numeric = f"({t} IN ({_sql_list(INT_TYPES)}) OR {t} LIKE 'DECIMAL%' OR {t} IN ('DOUBLE', 'FLOAT'))"
+    return f"({numeric} AND __d_{name} = floor(__d_{name}) AND __l_{name} IS NOT NULL)"
+
 
+def rule_sql(strict_timestamps: bool = False) -> list[tuple[str, str]]:
+    """(rule id, SQL condition that is true when the rule is broken)."""
 
-def rule_columns(strict_timestamps: bool = False) -> list[tuple[str, Column]]:
-    """(rule id, failed?) pairs over the staged columns."""
-    v, keys = F.col(V), F.col(KEYS)
-    is_object = v.isNotNull() & keys.isNotNull()
-    types = {name: F.col(_t(name)) for name, _ in FIELDS}
-    present = {name: t.isNotNull() for name, t in types.items()}
+    def present(name: str) -> str:
+        return f"__t_{name} IS NOT NULL"
 
-    def string(name: str) -> Column:
-        return types[name] == "STRING"
+    def string(name: str) -> str:
+        return f"__t_{name} = 'STRING'"
 
-    wrong_string = F.lit(False)
-    wrong_integer = F.lit(False)
+    wrong_string, wrong_integer = [], []
     for name, kind in FIELDS:
-        t = types[name]
         if kind == "string":
-            wrong_string = wrong_string | (present[name] & (t != "STRING"))
+            wrong_string.append(f"({present(name)} AND __t_{name} <> 'STRING')")
         elif kind == "string?":
-            wrong_string = wrong_string | (present[name] & ~t.isin("STRING", "VOID"))
+            wrong_string.append(f"({present(name)} AND __t_{name} NOT IN ('STRING', 'VOID'))")
         elif kind == "integer":
-            wrong_integer = wrong_integer | (present[name] & ~_is_integer(name))
+            wrong_integer.append(f"({present(name)} AND NOT {_is_integer(name)})")
         elif kind == "integer?":
-            wrong_integer = wrong_integer | (present[name] & (t != "VOID") & ~_is_integer(name))
-
-    def enum_bad(name: str, allowed: tuple) -> Column:
-        return string(name) & ~F.col(_s(name)).isin(*allowed)
+            wrong_integer.append(f"({present(name)} AND __t_{name} <> 'VOID' AND NOT {_is_integer(name)})")
 
-    def value(name: str) -> Column:
-        return F.col(_n(name))["l"]
+    def enum_bad(name: str, allowed) -> str:
+        return f"({string(name)} AND __s_{name} NOT IN ({_sql_list(allowed)}))"
 
     rules = [
-        ("V1", v.isNull()),
-        ("V2", v.isNotNull() & keys.isNull()),
-        ("V3", F.size(F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), keys)) > 0),
-        ("V4", F.size(F.array_except(keys, F.array(*[F.lit(k) for k in ALLOWED_KEYS]))) > 0),
-        ("V5", wrong_string),
-        ("V6", wrong_integer),
-        ("V7", present["is_late"] & (types["is_late"] != "BOOLEAN")),
+        ("V1", f"{V} IS NULL"),
+        ("V2", f"{V} IS NOT NULL AND {KEYS} IS NULL"),
+        ("V3", f"size(array_except(array({_sql_list(REQUIRED)}), {KEYS})) > 0"),
+        ("V4", f"size(array_except({KEYS}, array({_sql_list(ALLOWED_KEYS)}))) > 0"),
+        ("V5", " OR ".join(wrong_string)),
+        ("V6", " OR ".join(wrong_integer)),
+        ("V7", f"({present('is_late')} AND __t_is_late <> 'BOOLEAN')"),
         ("V8", enum_bad("event_type", EVENT_TYPES)),
         ("V9", enum_bad("break_type", BREAK_TYPES)),
         ("V10", enum_bad("platform", PLATFORMS)),
-        ("V11", _is_integer("quartile") & ~value("quartile").isin(*QUARTILES)),
-        ("V12", string("event_id") & (F.char_length(F.col(_s("event_id"))) < EVENT_ID_MIN_LENGTH)),
-        ("V13", string("market") & (F.char_length(F.col(_s("market"))) != MARKET_LENGTH)),
-        ("V14", _is_integer("slot_index") & (value("slot_index") < 0)),
+        ("V11", f"({_is_integer('quartile')} AND __l_quartile NOT IN ({_sql_list(QUARTILES)}))"),
+        ("V12", f"({string('event_id')} AND char_length(__s_event_id) < {EVENT_ID_MIN_LENGTH})"),
+        ("V13", f"({string('market')} AND char_length(__s_market) <> {MARKET_LENGTH})"),
+        ("V14", f"({_is_integer('slot_index')} AND __l_slot_index < 0)"),
         (
             "V15",
-            (_is_integer("bid_floor_micros") & (value("bid_floor_micros") < 0))
-            | (_is_integer("clearing_price_micros") & (value("clearing_price_micros") < 0)),
+            f"({_is_integer('bid_floor_micros')} AND __l_bid_floor_micros < 0)"
+            f" OR ({_is_integer('clearing_price_micros')} AND __l_clearing_price_micros < 0)",
         ),
     ]
     if strict_timestamps:
-        bad_ts = F.lit(False)
-        for name in ("event_ts", "ingest_ts"):
-            bad_ts = bad_ts | (string(name) & F.try_to_timestamp(F.col(_s(name))).isNull())
-        rules.append(("V16", bad_ts))
+        bad = [f"({string(n)} AND try_to_timestamp(__s_{n}) IS NULL)" for n in ("event_ts", "ingest_ts")]
+        rules.append(("V16", " OR ".join(bad)))
     # V3-V16 only speak about objects; a non-object reports V1 or V2 alone
-    return [(rid, cond if rid in ("V1", "V2") else (is_object & cond)) for rid, cond in rules]
+    is_object = f"({V} IS NOT NULL AND {KEYS} IS NOT NULL)"
+    return [(rid, cond if rid in ("V1", "V2") else f"{is_object} AND ({cond})") for rid, cond in rules]
 
 
 def validate(df: DataFrame, line: str = "value", strict_timestamps: bool = False) -> DataFrame:
@@ -145,23 +126,21 @@ def validate(df: DataFrame, line: str = "value", strict_timestamps: bool = False
     and the contract fields read from the line (timestamps as received text).
     Other columns pass through."""
     staged = _stage_types(_stage_parse(df, line))
-    checks = [F.when(F.coalesce(cond, F.lit(False)), F.lit(rid)) for rid, cond in rule_columns(strict_timestamps)]
     # concat_ws skips nulls and stays in generated code (a lambda filter would not)
-    text = F.concat_ws(",", *checks)
-    errors = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
+    checks = ", ".join(f"CASE WHEN coalesce({cond}, false) THEN '{rid}' END" for rid, cond in rule_sql(strict_timestamps))
+    text = f"concat_ws(',', {checks})"
+    errors = f"CASE WHEN {text} = '' THEN CAST(array() AS array<string>) ELSE split({text}, ',') END"
     # The rule list comes out of a one-row-per-input generator: a later filter on
     # it (e.g. quarantine = non-empty) cannot be pushed below the generator, so
     # the rules are evaluated once instead of being copied into that filter.
-    keep = [c for c in staged.columns]
-    with_errors = staged.select(*keep, F.inline(F.array(F.struct(errors.alias("errors")))))
-    fields = {}
+    with_errors = staged.selectExpr("*", f"inline(array(named_struct('errors', {errors})))")
+    fields = []
     for name, kind in FIELDS:
         if kind.startswith("string"):
-            fields[name] = _get(name, "string")
+            fields.append(f"{_get(name, 'string')} AS {name}")
         elif kind.startswith("integer"):
-            fields[name] = _get(name, "int" if name in ("slot_index", "quartile") else "bigint")
+            fields.append(f"{_get(name, 'int' if name in ('slot_index', 'quartile') else 'bigint')} AS {name}")
         else:
-            fields[name] = _get(name, "boolean")
-    out = with_errors.withColumns(fields)
-    helpers = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*helpers)
+            fields.append(f"{_get(name, 'boolean')} AS {name}")
+    keep = [f"`{c}`" for c in df.columns if c not in {n for n, _ in FIELDS}]
+    return with_errors.selectExpr(*keep, "errors", *fields)
