@@ -323,9 +323,7 @@ def stream_dedup_lww(spark, sf_dir):
     rows = fixtures.beacons(spark, sf_dir)
     for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
         streams.arrive(rows, f"{root}/bronze", chunk)
-        streams.repair_stream(
-            spark, f"{root}/bronze", f"{root}/raw", f"{root}/silver", f"{root}/too_late", f"{root}/_checkpoint"
-        )
+        streams.repair_stream(spark, f"{root}/bronze", f"{root}/raw", f"{root}/silver", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/silver").select(*SILVER_OUT)
 
 

@@ -4,7 +4,7 @@ Layout under one root in the shared folder::
 
     landed/dt=…/src=…/        raw lines + rule ids + parsed fields (landing)
     silver/dt=…/              typed, per-dt last-write-wins rows
-    silver_dates/dt=…/        (dt, event_date, rows): which event dates each dt holds
+    silver_dates/dt=…/        (dt, event_date): which event dates each dt holds
     gold/campaign_daily/event_date=…/
     gold/pod_fill/event_date=…/
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -95,12 +95,16 @@ def write_silver(spark: SparkSession, lake: Lake, rows: DataFrame) -> list[str]:
     """Per-dt last-write-wins silver for every ``dt`` present in ``rows``; returns those dts.
 
     One job for any number of days (a backfill is one multi-partition write).
-    The date map is read back from the written partitions (two columns), so the
-    dedup is not computed twice.
+    The input's days and the (dt, event_date) pairs written are gathered by
+    observations on that same job — no second pass over the input or silver.
+    A day whose rows all dropped out is cleared explicitly: a dynamic overwrite
+    only replaces partitions that receive rows.
     """
     configure(spark)
-    dts = _dates(rows, "dt")
-    out = silver.silver(rows, by=("dt", "event_id"))
+    seen, made = Observation("silver_in"), Observation("silver_out")
+    observed = rows.observe(seen, F.collect_set("dt").alias("dts"))
+    out = silver.silver(observed, by=("dt", "event_id"))
+    out = out.observe(made, F.collect_set(F.struct("dt", "event_date")).alias("pairs"))
     (
         out.sortWithinPartitions("dt", "event_id")
         .write.mode("overwrite")
@@ -108,17 +112,32 @@ def write_silver(spark: SparkSession, lake: Lake, rows: DataFrame) -> list[str]:
         .partitionBy("dt")
         .parquet(lake.silver)
     )
-    written = spark.read.parquet(lake.silver).where(_in_dates("dt", dts))
-    dates = written.groupBy("dt", "event_date").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-    (
-        dates.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(lake.silver_dates)
-    )
+    dts = sorted(str(d) for d in (seen.get.get("dts") or []) if d is not None)
+    pairs = [(p["dt"], p["event_date"]) for p in (made.get.get("pairs") or [])]
+    for gone in sorted(set(dts) - {str(d) for d, _ in pairs}):
+        drop_partition(spark, lake.silver, "dt", gone)
+        drop_partition(spark, lake.silver_dates, "dt", gone)
+    if pairs:
+        dates = spark.createDataFrame(pairs, "dt date, event_date date")  # a few rows per day
+        (
+            dates.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("dt")
+            .parquet(lake.silver_dates)
+        )
     return dts
 
 
+def drop_partition(spark: SparkSession, table: str, col: str, value: str) -> None:
+    """Delete one partition folder of a written table (through the Hadoop file system)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except AttributeError as exc:  # a remote session has no JVM handle
+        raise RuntimeError(f"cannot clear {table}/{col}={value} from this session") from exc
+    path = jvm.org.apache.hadoop.fs.Path(f"{table}/{col}={value}")
+    path.getFileSystem(conf).delete(path, True)
+
+
 def bronze_rows(spark: SparkSession, lake: Lake, dts: list[str]) -> DataFrame:
     """S3: valid landed rows of some days (timestamps still text; silver types them)."""
     from slotwise.operators.landing import bronze

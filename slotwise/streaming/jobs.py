@@ -23,7 +23,7 @@ has arrived since the last run, then stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -76,17 +76,25 @@ def lateness(df: DataFrame, hours: int = LATE_WINDOW_HOURS) -> DataFrame:
     return df.withColumn("too_late", (F.col("ingest_ts") - F.col("event_ts")) > limit)
 
 
-def _rebuild(spark: SparkSession, raw_path: str, silver_path: str, late_path: str):
+def too_late(spark: SparkSession, raw_path: str) -> DataFrame:
+    """ST2: every received copy that arrived beyond the accepted lateness."""
+    return spark.read.parquet(raw_path).where(F.col("too_late"))
+
+
+def _rebuild(spark: SparkSession, raw_path: str, silver_path: str):
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         typed = lateness(silver.conform(batch))
+        seen = Observation(f"batch_{batch_id}")
         (
             typed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .observe(seen, F.collect_set("event_date").alias("dates"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date", "batch_id")
             .parquet(raw_path)
         )
-        touched = sorted(str(r[0]) for r in typed.select("event_date").distinct().collect() if r[0] is not None)
+        # the event dates this batch touched, gathered on the raw write itself
+        touched = sorted(str(d) for d in (seen.get.get("dates") or []) if d is not None)
         if not touched:
             return
         dates = [F.lit(d).cast("date") for d in touched]
@@ -99,25 +107,16 @@ def _rebuild(spark: SparkSession, raw_path: str, silver_path: str, late_path: st
             .partitionBy("event_date")
             .parquet(silver_path)
         )
-        (
-            typed.where(F.col("too_late")).select(*SILVER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(late_path)
-        )
 
     return each_batch
 
 
-def repair_stream(
-    spark: SparkSession, bronze: str, raw_path: str, silver_path: str, late_path: str, checkpoint: str
-) -> StreamingQuery:
+def repair_stream(spark: SparkSession, bronze: str, raw_path: str, silver_path: str, checkpoint: str) -> StreamingQuery:
     """ST3 (one run): last-write-wins silver kept current from a stream of beacons."""
     configure(spark)
     stream = spark.readStream.schema(ARRIVAL_SCHEMA).parquet(bronze)
     query = (
-        stream.writeStream.foreachBatch(_rebuild(spark, raw_path, silver_path, late_path))
+        stream.writeStream.foreachBatch(_rebuild(spark, raw_path, silver_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -194,13 +194,16 @@ def test_repair_batch_replay_is_harmless(spark):
     orig = {"event_id": "dup-00000009", "event_type": "ad_impression", "clearing_price_micros": 100,
             "ingest_ts": "2026-09-18T10:00:00Z"}
     late = {**orig, "clearing_price_micros": 600, "ingest_ts": "2026-09-18T22:00:00Z", "is_late": True}
-    step = _rebuild(spark, f"{root}/raw", f"{root}/silver", f"{root}/late")
+    step = _rebuild(spark, f"{root}/raw", f"{root}/silver")
     step(beacons_df(spark, [orig, {}]), 0)
     step(beacons_df(spark, [late]), 1)
     step(beacons_df(spark, [late]), 1)  # replayed batch
     out = spark.read.parquet(f"{root}/silver").collect()
     prices = sorted((r["event_type"], r["clearing_price_micros"]) for r in out)
     assert prices == [("ad_impression", 600), ("ad_request", None)]
+    from slotwise.streaming.jobs import too_late
+
+    assert too_late(spark, f"{root}/raw").count() == 0
 
 
 def test_end_to_end_from_drop_lines(spark):
@@ -225,3 +228,12 @@ def test_end_to_end_from_drop_lines(spark):
     names = flow.register_views(spark, lake)
     assert set(names) == {"ad_events_silver", "fct_campaign_daily", "fct_pod_fill"}
     assert spark.table("fct_campaign_daily").agg(F.sum("requests")).first()[0] == n_ok
+
+
+def test_rerun_day_that_lost_all_rows_clears_its_partition(spark):
+    lake = flow.Lake.fresh(spark, "cleared")
+    flow.write_silver(spark, lake, beacons_df(spark, [{}, {"event_type": "ad_impression"}]))
+    assert flow.read_table(spark, lake.silver).count() == 2
+    flow.write_silver(spark, lake, beacons_df(spark, [{"event_type": "ad_weird"}]))
+    assert not flow.table_exists(spark, f"{lake.silver}/dt=2026-09-18")
+    assert flow.touched_scope(spark, lake, ["2026-09-18"]) == ([], [])
