@@ -196,7 +196,10 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
 
 def touched_scope(spark: SparkSession, lake: Lake, dts: list[str]) -> tuple[list[str], list[str]]:
     """(event dates touched by ``dts``, every dt holding rows of those dates)."""
-    dmap = read_table(spark, lake.silver_dates, "silver_dates")
+    try:
+        dmap = spark.read.schema("event_date date, dt date").parquet(lake.silver_dates)
+    except AnalysisException:  # nothing written yet
+        return [], []
     touched = _dates(dmap.where(_in_dates("dt", dts)), "event_date")
     holders = _dates(dmap.where(_in_dates("event_date", touched)), "dt")
     return touched, holders
