@@ -26,18 +26,21 @@ def _count(pred: Column) -> Column:
     return F.count_if(pred)
 
 
+# measures as SQL text (parsed once on the JVM)
+MEASURES_SQL = {
+    "requests": "count_if(event_type = 'ad_request')",
+    "impressions": "count_if(event_type = 'ad_impression')",
+    "clicks": "count_if(event_type = 'ad_click')",
+    "errors": "count_if(event_type = 'ad_error')",
+    "completions": "count_if(event_type = 'ad_quartile' AND quartile = 100)",
+    "revenue_micros": "CAST(coalesce(sum(CASE WHEN event_type = 'ad_impression' THEN clearing_price_micros END), 0)"
+    " AS BIGINT)",
+}
+
+
 def grain_counts(silver: DataFrame, keys) -> DataFrame:
     """A1-A6 at any grain: five conditional counts and the revenue sum."""
-    return silver.groupBy(*keys).agg(
-        _count(_is("ad_request")).alias("requests"),
-        _count(_is("ad_impression")).alias("impressions"),
-        _count(_is("ad_click")).alias("clicks"),
-        _count(_is("ad_error")).alias("errors"),
-        _count(_is("ad_quartile") & (F.col("quartile") == 100)).alias("completions"),
-        F.coalesce(F.sum(F.when(_is("ad_impression"), F.col("clearing_price_micros"))), F.lit(0))
-        .cast("bigint")
-        .alias("revenue_micros"),
-    )
+    return silver.groupBy(*keys).agg(*[F.expr(sql).alias(name) for name, sql in MEASURES_SQL.items()])
 
 
 def campaign_metrics(silver: DataFrame) -> DataFrame:
@@ -59,18 +62,18 @@ def pod_fill_from_counts(counts: DataFrame) -> DataFrame:
     return _pod_columns(_rollup(counts, POD_KEYS, ("requests", "impressions", "errors")))
 
 
+RATES_SQL = (
+    "round(CAST(revenue_micros AS DOUBLE) / 1000000, 6) AS revenue",
+    "CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS fill_rate",
+    "CASE WHEN impressions > 0 THEN round(CAST(clicks AS DOUBLE) / impressions, 6) END AS ctr",
+    "CASE WHEN impressions > 0 THEN round(CAST(completions AS DOUBLE) / impressions, 6) END AS completion_rate",
+    "CASE WHEN impressions > 0 THEN round(CAST(revenue_micros AS DOUBLE) / (impressions * 1000), 4) END AS ecpm",
+)
+
+
 def with_campaign_rates(metrics: DataFrame) -> DataFrame:
-    """X1-X7 on top of the metrics."""
-    return metrics.select(
-        *CAMPAIGN_KEYS,
-        *COUNT_COLUMNS,
-        "revenue_micros",
-        micros_to_currency("revenue_micros").alias("revenue"),
-        safe_rate("impressions", "requests").alias("fill_rate"),
-        safe_rate("clicks", "impressions").alias("ctr"),
-        safe_rate("completions", "impressions").alias("completion_rate"),
-        ecpm("revenue_micros", "impressions").alias("ecpm"),
-    )
+    """X1-X7 on top of the metrics (same rules as ``functions.money``, as SQL text)."""
+    return metrics.selectExpr(*CAMPAIGN_KEYS, *COUNT_COLUMNS, "revenue_micros", *RATES_SQL)
 
 
 def campaign_daily(silver: DataFrame, active_only: bool = False) -> DataFrame:
@@ -136,21 +139,19 @@ def campaign_daily_raw_rates(silver: DataFrame) -> DataFrame:
 def pod_fill(silver: DataFrame) -> DataFrame:
     """Pod grain, null keys kept as their own group."""
     base = silver.groupBy(*POD_KEYS).agg(
-        _count(_is("ad_request")).alias("requests"),
-        _count(_is("ad_impression")).alias("impressions"),
-        _count(_is("ad_error")).alias("errors"),
+        *[F.expr(MEASURES_SQL[m]).alias(m) for m in ("requests", "impressions", "errors")]
     )
     return _pod_columns(base)
 
 
 def _pod_columns(base: DataFrame) -> DataFrame:
-    return base.select(
+    return base.selectExpr(
         *POD_KEYS,
         "requests",
         "impressions",
         "errors",
-        F.when(F.col("impressions") > 0, 1).otherwise(0).alias("filled"),
-        safe_rate("impressions", "requests").alias("pod_fill_rate"),
+        "CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled",
+        "CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS pod_fill_rate",
     )
 
 

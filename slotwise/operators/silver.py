@@ -29,22 +29,23 @@ def check_required(df: DataFrame) -> DataFrame:
     return df
 
 
-def _timestamp(df: DataFrame, name: str) -> Column:
+def _timestamp_sql(df: DataFrame, name: str) -> str:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampType):
-        return F.col(name)
+        return f"`{name}`"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"CAST(`{name}` AS TIMESTAMP)"
     # ANSI on: unparsable text raises instead of turning into null
-    return F.to_timestamp(F.col(name).cast("string")) if not isinstance(dtype, T.TimestampNTZType) else F.col(name).cast("timestamp")
+    return f"to_timestamp(CAST(`{name}` AS STRING))"
 
 
-def _integer(df: DataFrame, name: str, to: str) -> Column:
+def _integer_sql(df: DataFrame, name: str, to: str) -> str:
     """Numeric coercion; text such as '12.0' is read through double, junk -> null."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return F.col(name).cast(to)
-    as_double = F.col(name).try_cast("double")
-    whole = as_double == F.floor(as_double)
-    return F.when(whole, as_double.try_cast(to))
+        return f"CAST(`{name}` AS {to})"
+    d = f"try_cast(`{name}` AS DOUBLE)"
+    return f"CASE WHEN {d} = floor({d}) THEN try_cast({d} AS {to}) END"
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -52,27 +53,27 @@ def conform(df: DataFrame) -> DataFrame:
 
     Optional columns that are absent get their default; the output has the
     beacon schema plus ``event_date`` (and keeps any extra columns such as ``dt``).
+    Written as SQL expression text (one JVM parse, not a Column per operator).
     """
     check_required(df)
     cols = set(df.columns)
-    event_ts = _timestamp(df, "event_ts")
-    ingest_ts = F.coalesce(_timestamp(df, "ingest_ts"), event_ts) if "ingest_ts" in cols else event_ts
-    exprs: dict[str, Column] = {
+    event_ts = _timestamp_sql(df, "event_ts")
+    exprs = {
         "event_ts": event_ts,
-        "ingest_ts": ingest_ts,
-        "slot_index": F.coalesce(_integer(df, "slot_index", "int"), F.lit(0)) if "slot_index" in cols else F.lit(0),
-        "is_late": F.coalesce(F.col("is_late").cast("boolean"), F.lit(False)) if "is_late" in cols else F.lit(False),
+        "ingest_ts": f"coalesce({_timestamp_sql(df, 'ingest_ts')}, {event_ts})" if "ingest_ts" in cols else event_ts,
+        "slot_index": f"coalesce({_integer_sql(df, 'slot_index', 'INT')}, 0)" if "slot_index" in cols else "0",
+        "is_late": "coalesce(CAST(is_late AS BOOLEAN), false)" if "is_late" in cols else "false",
     }
-    for name, to in (("quartile", "int"), ("bid_floor_micros", "bigint"), ("clearing_price_micros", "bigint")):
-        exprs[name] = _integer(df, name, to) if name in cols else F.lit(None)
+    for name, to in (("quartile", "INT"), ("bid_floor_micros", "BIGINT"), ("clearing_price_micros", "BIGINT")):
+        exprs[name] = _integer_sql(df, name, to) if name in cols else "NULL"
     out = []
     for f in BEACON_SCHEMA.fields:
-        c = exprs.get(f.name, F.col(f.name) if f.name in cols else F.lit(None))
-        out.append(c.cast(f.dataType).alias(f.name))
-    extra = [c for c in df.columns if c not in {f.name for f in BEACON_SCHEMA.fields} and c != "event_date"]
-    typed = df.select(*out, *extra)
+        e = exprs.get(f.name, f"`{f.name}`" if f.name in cols else "NULL")
+        out.append(f"CAST({e} AS {f.dataType.simpleString()}) AS {f.name}")
+    beacon = {f.name for f in BEACON_SCHEMA.fields}
+    extra = [f"`{c}`" for c in df.columns if c not in beacon and c != "event_date"]
     # The UTC calendar date of the instant (session time zone is UTC)
-    return typed.withColumn("event_date", F.to_date(F.col("event_ts")))
+    return df.selectExpr(*out, *extra).selectExpr("*", "to_date(event_ts) AS event_date")
 
 
 TIE = "__tie"
@@ -82,15 +83,18 @@ def _tie_columns(by: Sequence[str]) -> list[str]:
     return [c for c in SILVER_COLUMNS if c not in ("ingest_ts", "is_late", "event_date") and c not in by]
 
 
-def row_tie(by: Sequence[str]) -> Column:
-    """One 64-bit digest of the rest of the row, the last tie-breaker.
+def row_tie(by: Sequence[str]) -> str:
+    """One 64-bit digest of the rest of the row, the last tie-breaker (SQL text).
 
     It is computed before the exchange and replaces the row's columns in the
     sort key, so columns the caller does not use are pruned below the shuffle.
     Null flags are hashed too (a null contributes nothing to ``xxhash64``).
     """
     cols = _tie_columns(by)
-    return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+    return "xxhash64(" + ", ".join([f"`{c}`" for c in cols] + [f"`{c}` IS NULL" for c in cols]) + ")"
+
+
+WINNER_ORDER_SQL = f"ingest_ts DESC NULLS LAST, is_late DESC NULLS LAST, {TIE} DESC"
 
 
 def winner_order(by: Sequence[str]) -> list[Column]:
@@ -105,9 +109,10 @@ def _winner_fields(by: Sequence[str]) -> list[str]:
 
 def dedup_window(df: DataFrame, by: Sequence[str] = ("event_id",)) -> DataFrame:
     """``row_number() = 1`` per key under the winner order."""
-    w = Window.partitionBy(*by).orderBy(*winner_order(by))
-    ranked = df.withColumn(TIE, row_tie(by)).withColumn("__rn", F.row_number().over(w))
-    return ranked.where(F.col("__rn") == 1).drop("__rn", TIE)
+    keys = ", ".join(f"`{k}`" for k in by)
+    rank = f"row_number() OVER (PARTITION BY {keys} ORDER BY {WINNER_ORDER_SQL}) AS __rn"
+    ranked = df.selectExpr("*", f"{row_tie(by)} AS {TIE}").selectExpr("*", rank)
+    return ranked.where("__rn = 1").drop("__rn", TIE)
 
 
 def dedup_max(df: DataFrame, by: Sequence[str] = ("event_id",)) -> DataFrame:
@@ -119,13 +124,13 @@ def dedup_max(df: DataFrame, by: Sequence[str] = ("event_id",)) -> DataFrame:
     """
     fields = _winner_fields(by)
     carried = [c for c in df.columns if c not in fields and c not in by]
-    agg = df.withColumn(TIE, row_tie(by)).groupBy(*by).agg(F.max(F.struct(*fields, *carried)).alias("__w"))
+    agg = df.selectExpr("*", f"{row_tie(by)} AS {TIE}").groupBy(*by).agg(F.max(F.struct(*fields, *carried)).alias("__w"))
     return agg.select(*by, *[F.col("__w")[c].alias(c) for c in fields + carried if c != TIE])
 
 
 def keep_contract_types(df: DataFrame) -> DataFrame:
     """event-type filter, applied after dedup (a bad-typed latest copy drops the event)."""
-    return df.where(F.col("event_type").isin(*EVENT_TYPES))
+    return df.where("event_type IN (" + ", ".join(f"'{t}'" for t in EVENT_TYPES) + ")")
 
 
 def silver(df: DataFrame, by: Sequence[str] = ("dt", "event_id"), method: str = "window") -> DataFrame:
