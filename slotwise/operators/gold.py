@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.contract import CAMPAIGN_KEYS, POD_KEYS
-from slotwise.functions.money import ecpm, micros_to_currency, raw_ecpm, raw_fill_rate, safe_rate
+from slotwise.functions.money import raw_ecpm, raw_fill_rate
 
 COUNT_COLUMNS = ("requests", "impressions", "clicks", "errors", "completions")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,15 +94,11 @@ def row_tie(by: Sequence[str]) -> str:
     return "xxhash64(" + ", ".join([f"`{c}`" for c in cols] + [f"`{c}` IS NULL" for c in cols]) + ")"
 
 
+# Latest ingest wins (null loses); ties go to the late copy, then to the
+# larger row digest — a deterministic total order, whatever the input order.
 WINNER_ORDER_SQL = f"ingest_ts DESC NULLS LAST, is_late DESC NULLS LAST, {TIE} DESC"
 
 
-def winner_order(by: Sequence[str]) -> list[Column]:
-    """Latest ingest wins (null loses); ties go to the late copy, then to the
-    larger row digest — a deterministic total order, whatever the input order."""
-    return [F.col("ingest_ts").desc_nulls_last(), F.col("is_late").desc_nulls_last(), F.col(TIE).desc()]
-
-
 def _winner_fields(by: Sequence[str]) -> list[str]:
     return ["ingest_ts", "is_late", TIE]
 
