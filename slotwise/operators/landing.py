@@ -78,7 +78,8 @@ def quarantine(landed: DataFrame) -> DataFrame:
 def land(lines: DataFrame, landed_path: str, landed_at: _dt.datetime | None = None, strict_timestamps: bool = False) -> tuple[int, int]:
     """K1-K3 + V19: write the classified lines, replacing only the ``(dt, src)``
     partitions present in ``lines``; return ``(n_ok, n_bad)`` observed on that
-    same write (no second scan)."""
+    same write (no second scan). The counts sit on the write's result stage, so
+    a retried task (lost executor) is counted once."""
     landed = classify(lines, landed_at, strict_timestamps)
     obs = Observation("landing")
     observed = landed.observe(

@@ -98,7 +98,8 @@ def write_silver(spark: SparkSession, lake: Lake, rows: DataFrame) -> list[str]:
     The input's days and the (dt, event_date) pairs written are gathered by
     observations on that same job — no second pass over the input or silver.
     A day whose rows all dropped out is cleared explicitly: a dynamic overwrite
-    only replaces partitions that receive rows.
+    only replaces partitions that receive rows. Both observations are sets, so
+    a map stage re-run after a lost executor cannot change them.
     """
     configure(spark)
     seen, made = Observation("silver_in"), Observation("silver_out")
