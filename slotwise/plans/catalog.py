@@ -9,10 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotwise.operators import gold, silver
-from slotwise.session import configure
+from slotwise.functions.contract import SILVER_COLUMNS
+from slotwise.operators import gold, landing, quality, reads, silver, silver_sql
+from slotwise.plans import flow
+from slotwise.session import configure, scratch_path
 from slotwise.sources import fixtures
+from slotwise.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -88,12 +92,7 @@ def pod_fill(spark, sf_dir):
     return gold.pod_fill(_silver_all(spark, sf_dir))
 
 
-def queries() -> dict[str, Query]:
-    return dict(CATALOG)
-
-
 # --- landing -------------------------------------------------------------------
-from slotwise.operators import landing  # noqa: E402
 
 
 @register("land_classify")
@@ -105,8 +104,6 @@ def land_classify(spark, sf_dir):
 @register("land_counts")
 def land_counts(spark, sf_dir):
     """Ok / bad counts per arrival day (blank lines are in neither)."""
-    from pyspark.sql import functions as F
-
     landed = landing.classify(fixtures.drop_lines(spark, sf_dir))
     return landed.groupBy("dt").agg(
         F.count_if(F.col("status") == "ok").alias("n_ok"),
@@ -122,7 +119,6 @@ def quarantine_rows(spark, sf_dir):
 
 
 # --- reads, reports, analysis questions ----------------------------------------------
-from slotwise.operators import quality, reads  # noqa: E402
 
 
 def _marts(spark, sf_dir):
@@ -212,8 +208,6 @@ def completion_reconcile(spark, sf_dir):
 @register("publish_payload")
 def publish_payload(spark, sf_dir):
     """K8: topic records of silver rows, parsed back to check the round trip."""
-    from pyspark.sql import functions as F
-
     rec = reads.publish_payload(_silver_all(spark, sf_dir))
     schema = "event_id string, event_type string, event_ts timestamp, campaign_id string, quartile int, clearing_price_micros bigint, is_late boolean"
     parsed = rec.select("key", F.from_json("value", schema, {"timestampFormat": reads.TS_TEXT}).alias("j"))
@@ -246,7 +240,6 @@ def not_null_report(spark, sf_dir):
 
 
 # --- written tables: backfill, day re-runs, partition scans ---------------------------
-from slotwise.plans import flow  # noqa: E402
 
 
 def _backfilled(spark, sf_dir):
@@ -258,8 +251,6 @@ def _backfilled(spark, sf_dir):
 
 
 def _latest_dts(spark, lake, n):
-    from pyspark.sql import functions as F
-
     dates = flow.read_table(spark, lake.silver_dates).select("dt").distinct().orderBy(F.col("dt").desc()).limit(n)
     return sorted(str(r[0]) for r in dates.collect())
 
@@ -299,10 +290,9 @@ def gold_refresh_touched(spark, sf_dir):
 
 
 # --- streaming ----------------------------------------------------------------------------
-from slotwise.session import scratch_path  # noqa: E402
-from slotwise.streaming import jobs as streams  # noqa: E402
 
 STREAM_RUNS = 4  # arrival days are fed in this many successive availableNow runs
+SILVER_OUT = [*SILVER_COLUMNS, "too_late"]
 
 
 @register("stream_landing")
@@ -338,21 +328,13 @@ def stream_daily_counts(spark, sf_dir):
     return spark.read.parquet(f"{root}/counts")
 
 
-from slotwise.functions.contract import SILVER_COLUMNS  # noqa: E402
-
-SILVER_OUT = [*SILVER_COLUMNS, "too_late"]
-
-
 # --- SQL route, views, full refresh, topic records --------------------------------------
-from slotwise.operators import silver_sql  # noqa: E402
 
 
 @register("silver_sql")
 def silver_sql_route(spark, sf_dir):
     """The silver step as one Spark SQL statement over a temp view
     of the beacons (timestamps as received ISO text, as bronze holds them)."""
-    from pyspark.sql import functions as F
-
     rows = fixtures.beacons(spark, sf_dir)
     text = rows.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") for c in ("event_ts", "ingest_ts")}
@@ -374,11 +356,13 @@ def full_refresh(spark, sf_dir):
 @register("drop_records")
 def drop_records(spark, sf_dir):
     """Drop lines re-serialised as topic records, parsed back to check fields."""
-    from pyspark.sql import functions as F
-
     recs = reads.drop_records(fixtures.drop_lines(spark, sf_dir).select("value"))
     return recs.select(
         F.get_json_object("value", "$.event_id").alias("event_id"),
         F.get_json_object("value", "$.market").alias("market"),
         F.get_json_object("value", "$.event_type").alias("event_type"),
     )
+
+
+def queries() -> dict[str, Query]:
+    return dict(CATALOG)

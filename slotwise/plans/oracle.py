@@ -496,7 +496,7 @@ checks AS (
 )
 ORACLE["gate_report"] = _with(
     GATE_CTE,
-    """SELECT ds, check_no, "check", severity, observed, threshold, passed,
+    """SELECT ds, check_no, "check", severity, round(observed, 6) AS observed, threshold, passed,
   CASE WHEN NOT passed THEN msg END AS message FROM checks""",
 )
 ORACLE["gate_verdicts"] = _with(
