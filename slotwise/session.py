@@ -44,6 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written tables and checkpoints.
 
@@ -52,14 +55,19 @@ def shared_dir(spark: SparkSession) -> str:
     machine-local folder would be invisible to the executors, so that is an error.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if sc.applicationId in _LOCAL_FOLDERS:
+        return _LOCAL_FOLDERS[sc.applicationId]
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="slotwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    sc.setCheckpointDir(folder)
+    sc.setCheckpointDir(folder)  # checkpoint() then works too
+    _LOCAL_FOLDERS[sc.applicationId] = folder
     return folder
 
 
