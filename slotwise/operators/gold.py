@@ -15,6 +15,8 @@ from slotwise.functions.contract import CAMPAIGN_KEYS, POD_KEYS
 from slotwise.functions.money import raw_ecpm, raw_fill_rate
 
 COUNT_COLUMNS = ("requests", "impressions", "clicks", "errors", "completions")
+# the union of both mart grains: counts here roll up into either mart
+FINE_KEYS = tuple(dict.fromkeys(CAMPAIGN_KEYS + POD_KEYS))
 
 
 def _is(event_type: str) -> Column:

@@ -165,11 +165,14 @@ def not_null_report(campaign_daily: DataFrame, pod_fill: DataFrame, silver: Data
         F.count_if(F.col("pod_id").isNull()).alias("p1"),
         F.count_if(F.col("filled").isNull()).alias("p2"),
     )
-    # uniqueness: ids seen more than once (partial counts per map task first)
-    dup = silver.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("s1")
+    # uniqueness and types in one pass: per id (partial counts per map task first), then totals
+    per_id = silver.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("event_type").isin(*EVENT_TYPES)).alias("bad")
+    )
+    ids = per_id.agg(
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("s1"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("s2"),
     )
-    types = silver.agg(F.count_if(~F.col("event_type").isin(*EVENT_TYPES)).alias("s2"))
 
     def unfold(one_row: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
         rows = F.array(
@@ -201,7 +204,11 @@ def not_null_report(campaign_daily: DataFrame, pod_fill: DataFrame, silver: Data
                 ],
             )
         )
-        .unionByName(unfold(dup, [("silver", "unique(event_id)", F.col("s1"))]))
-        .unionByName(unfold(types, [("silver", "event_type in contract", F.col("s2"))]))
+        .unionByName(
+            unfold(
+                ids,
+                [("silver", "unique(event_id)", F.col("s1")), ("silver", "event_type in contract", F.col("s2"))],
+            )
+        )
     )
     return out.withColumn("passed", F.col("failures") == 0)

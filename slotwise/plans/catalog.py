@@ -235,8 +235,8 @@ def gate_verdicts(spark, sf_dir):
 @register("not_null_report")
 def not_null_report(spark, sf_dir):
     """Q9-Q11: not-null, uniqueness, type and range checks over the tables."""
-    s = _silver_all(spark, sf_dir)
-    return quality.not_null_report(gold.campaign_daily(s), gold.pod_fill(s), s)
+    camp, pods = _marts(spark, sf_dir)
+    return quality.not_null_report(camp, pods, _silver_all(spark, sf_dir))
 
 
 # --- written tables: backfill, day re-runs, partition scans ---------------------------

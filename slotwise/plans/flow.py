@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from slotwise.functions.contract import CAMPAIGN_KEYS, POD_KEYS
 from slotwise.operators import gold, quality, silver
 from slotwise.session import configure, scratch_path
 
@@ -166,7 +165,7 @@ def full_refresh(spark: SparkSession, lake: Lake) -> None:
     configure(spark)
     every = read_table(spark, lake.silver, "silver")
     w3 = silver.dedup_window(every, by=("event_id",))
-    fine = gold.grain_counts(w3, list(dict.fromkeys(CAMPAIGN_KEYS + POD_KEYS))).persist()
+    fine = gold.grain_counts(w3, gold.FINE_KEYS).persist()
     try:
         gold.campaign_daily_from_counts(fine).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
@@ -219,8 +218,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, dts: list[str]) -> list[str]:
         return []
     scope = read_table(spark, lake.silver, "silver").where(_in_dates("dt", holders))
     w3 = silver.dedup_window(scope, by=("event_id",)).where(_in_dates("event_date", touched))
-    fine_keys = list(dict.fromkeys(CAMPAIGN_KEYS + POD_KEYS))
-    fine = gold.grain_counts(w3, fine_keys).persist()
+    fine = gold.grain_counts(w3, gold.FINE_KEYS).persist()
     try:
         camp = gold.campaign_daily_from_counts(fine)
         pods = gold.pod_fill_from_counts(fine)
