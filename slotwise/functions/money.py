@@ -12,25 +12,46 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def micros_to_currency(micros: Column | str) -> Column:
-    """Currency units from integer micros, 6 decimals."""
-    return F.round(_col(micros).cast("double") / MICROS_PER_UNIT, 6)
+def half_up_sql(num: str, den: str, scale: int) -> str:
+    """``round(num / den, scale)`` half-up on the exact rational, as SQL text.
 
+    For integer ``num >= 0`` and ``den > 0``: q = (2·num·10^s + den) div (2·den)
+    is the correctly rounded numerator, and q / 10^s is one IEEE division of
+    exact integers. Rounding the binary double instead (x·10^s, then round) gives
+    engine-dependent answers on decimal ties such as 626.08625.
+    """
+    k = 10**scale
+    n, d = f"CAST({num} AS BIGINT)", f"CAST({den} AS BIGINT)"
+    return f"CAST(({n} * {2 * k} + {d}) DIV ({d} * 2) AS DOUBLE) / {k}"
 
-def safe_rate(num: Column | str, den: Column | str, scale: int = 6) -> Column:
-    """num / den rounded half-up to ``scale`` places; null when den <= 0."""
-    num, den = _col(num), _col(den)
-    return F.when(den > 0, F.round(num.cast("double") / den, scale))
 
+def rate_sql(num: str, den: str, scale: int = 6) -> str:
+    """X2 ``safe_rate``: null unless den > 0, else the half-up ratio."""
+    return f"CASE WHEN {den} > 0 THEN {half_up_sql(num, den, scale)} END"
 
-def ecpm(revenue_micros: Column | str, impressions: Column | str) -> Column:
-    """Revenue per thousand impressions, 4 decimals; null without impressions.
 
-    One division (micros / (impressions * 1000)) so the rounding tie does not
-    depend on an intermediate currency value.
-    """
-    rev, imp = _col(revenue_micros), _col(impressions)
-    return F.when(imp > 0, F.round(rev.cast("double") / (imp * 1000), 4))
+def currency_sql(micros: str) -> str:
+    """Currency units from integer micros (exact to 6 decimals by construction)."""
+    return f"CAST({micros} AS DOUBLE) / {MICROS_PER_UNIT}"
+
+
+def ecpm_sql(revenue_micros: str, impressions: str) -> str:
+    """Revenue per thousand impressions, 4 decimals; null without impressions.
+    (revenue_micros / 10^6) / impressions * 1000 = revenue_micros / (impressions * 1000)."""
+    return f"CASE WHEN {impressions} > 0 THEN {half_up_sql(revenue_micros, f'({impressions}) * 1000', 4)} END"
+
+
+def micros_to_currency(micros: str) -> Column:
+    return F.expr(currency_sql(micros))
+
+
+def safe_rate(num: str, den: str, scale: int = 6) -> Column:
+    """num / den rounded half-up to ``scale`` places; null when den <= 0."""
+    return F.expr(rate_sql(num, den, scale))
+
+
+def ecpm(revenue_micros: str, impressions: str) -> Column:
+    return F.expr(ecpm_sql(revenue_micros, impressions))
 
 
 def raw_fill_rate(impressions: Column | str, requests: Column | str) -> Column:
@@ -45,6 +66,6 @@ def raw_ecpm(revenue_micros: Column | str, impressions: Column | str) -> Column:
     return F.when(imp > 0, rev.cast("double") / 1000000.0 / imp * 1000.0)
 
 
-def ratio_of_sums(num: Column | str, den: Column | str, scale: int = 4) -> Column:
-    """round(sum(num) / max(sum(den), 1), scale) — the day summary fill rate."""
-    return F.round(F.sum(_col(num)).cast("double") / F.greatest(F.sum(_col(den)), F.lit(1)), scale)
+def ratio_of_sums(num: str, den: str, scale: int = 4) -> Column:
+    """round(sum(num) / max(sum(den), 1), scale), half-up — the day summary fill rate."""
+    return F.expr(half_up_sql(f"sum({num})", f"greatest(sum({den}), 1)", scale))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.contract import CAMPAIGN_KEYS, POD_KEYS
-from slotwise.functions.money import raw_ecpm, raw_fill_rate
+from slotwise.functions.money import currency_sql, ecpm_sql, rate_sql, raw_ecpm, raw_fill_rate
 
 COUNT_COLUMNS = ("requests", "impressions", "clicks", "errors", "completions")
 # the union of both mart grains: counts here roll up into either mart
@@ -65,16 +65,16 @@ def pod_fill_from_counts(counts: DataFrame) -> DataFrame:
 
 
 RATES_SQL = (
-    "round(CAST(revenue_micros AS DOUBLE) / 1000000, 6) AS revenue",
-    "CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS fill_rate",
-    "CASE WHEN impressions > 0 THEN round(CAST(clicks AS DOUBLE) / impressions, 6) END AS ctr",
-    "CASE WHEN impressions > 0 THEN round(CAST(completions AS DOUBLE) / impressions, 6) END AS completion_rate",
-    "CASE WHEN impressions > 0 THEN round(CAST(revenue_micros AS DOUBLE) / (impressions * 1000), 4) END AS ecpm",
+    f"{currency_sql('revenue_micros')} AS revenue",
+    f"{rate_sql('impressions', 'requests')} AS fill_rate",
+    f"{rate_sql('clicks', 'impressions')} AS ctr",
+    f"{rate_sql('completions', 'impressions')} AS completion_rate",
+    f"{ecpm_sql('revenue_micros', 'impressions')} AS ecpm",
 )
 
 
 def with_campaign_rates(metrics: DataFrame) -> DataFrame:
-    """X1-X7 on top of the metrics (same rules as ``functions.money``, as SQL text)."""
+    """X1-X7 on top of the metrics (``functions.money`` rules, as SQL text)."""
     return metrics.selectExpr(*CAMPAIGN_KEYS, *COUNT_COLUMNS, "revenue_micros", *RATES_SQL)
 
 
@@ -153,7 +153,7 @@ def _pod_columns(base: DataFrame) -> DataFrame:
         "impressions",
         "errors",
         "CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled",
-        "CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS pod_fill_rate",
+        f"{rate_sql('impressions', 'requests')} AS pod_fill_rate",
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import formatting as fmt
 from slotwise.functions.contract import BEACON_SCHEMA, CAMPAIGN_KEYS, POD_KEYS
-from slotwise.functions.money import ecpm, micros_to_currency, ratio_of_sums, safe_rate
+from slotwise.functions.money import ecpm, micros_to_currency, rate_sql, ratio_of_sums, safe_rate
 
 MAX_LIMIT = 1000
 DEFAULT_LIMIT = 100
@@ -84,7 +84,7 @@ def _summary_aggs() -> list[Column]:
         F.sum("impressions").cast("bigint").alias("impressions"),
         F.sum("clicks").cast("bigint").alias("clicks"),
         # from the integer micros, so the value does not depend on addition order
-        micros_to_currency(F.sum("revenue_micros")).alias("revenue"),
+        micros_to_currency("sum(revenue_micros)").alias("revenue"),
         ratio_of_sums("impressions", "requests", 4).alias("fill_rate"),
         F.count_distinct("campaign_id").cast("bigint").alias("campaigns"),
     ]
@@ -227,7 +227,8 @@ def midroll_break_rate(pod_fill: DataFrame) -> DataFrame:
     return mid.groupBy("event_date").agg(
         F.count(F.lit(1)).cast("bigint").alias("pods"),
         F.count_if((F.col("requests") > 0) & (F.col("impressions") == 0)).cast("bigint").alias("broken_pods"),
-        F.round(F.avg(1 - F.col("filled")), 6).alias("break_rate"),
+        # the share of pods with filled = 0, rounded half-up on the exact ratio
+        F.expr(rate_sql("count_if(filled = 0)", "count(1)")).alias("break_rate"),
     )
 
 

@@ -8,6 +8,17 @@ from __future__ import annotations
 
 EVENT_TYPES_SQL = "('ad_request','ad_impression','ad_click','ad_quartile','ad_error')"
 
+
+def hu(num: str, den: str, scale: int) -> str:
+    """round(num / den, scale) half-up on the exact ratio of integers (num >= 0, den > 0)."""
+    k = 10**scale
+    n, d = f"CAST({num} AS BIGINT)", f"CAST({den} AS BIGINT)"
+    return f"CAST(({n} * {2 * k} + {d}) // ({d} * 2) AS DOUBLE) / {k}"
+
+
+def rate(num: str, den: str, scale: int = 6) -> str:
+    return f"CASE WHEN {den} > 0 THEN {hu(num, den, scale)} END"
+
 SILVER_COLS = (
     "event_id, event_type, event_ts, ingest_ts, event_date, session_id, content_id, pod_id, slot_index, "
     "break_type, platform, market, campaign_id, creative_id, advertiser_id, quartile, error_code, "
@@ -115,12 +126,12 @@ metrics AS (
   GROUP BY 1, 2, 3, 4, 5
 )"""
 
-CAMPAIGN_RATES = """
-  round(CAST(revenue_micros AS DOUBLE) / 1000000, 6) AS revenue,
-  CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS fill_rate,
-  CASE WHEN impressions > 0 THEN round(CAST(clicks AS DOUBLE) / impressions, 6) END AS ctr,
-  CASE WHEN impressions > 0 THEN round(CAST(completions AS DOUBLE) / impressions, 6) END AS completion_rate,
-  CASE WHEN impressions > 0 THEN round(CAST(revenue_micros AS DOUBLE) / (impressions * 1000), 4) END AS ecpm"""
+CAMPAIGN_RATES = f"""
+  CAST(revenue_micros AS DOUBLE) / 1000000 AS revenue,
+  {rate('impressions', 'requests')} AS fill_rate,
+  {rate('clicks', 'impressions')} AS ctr,
+  {rate('completions', 'impressions')} AS completion_rate,
+  {rate('revenue_micros', 'impressions * 1000', 4)} AS ecpm"""
 
 CAMPAIGN_DAILY_CTE = CAMPAIGN_METRICS_CTE + f""",
 campaign_daily AS (
@@ -141,7 +152,7 @@ pod_base AS (
 pod_fill AS (
   SELECT *,
     CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled,
-    CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS pod_fill_rate
+    """ + rate("impressions", "requests") + """ AS pod_fill_rate
   FROM pod_base
 )"""
 
@@ -320,7 +331,7 @@ pod_base AS (
 pod_fill AS (
   SELECT *,
     CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled,
-    CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS pod_fill_rate
+    """ + rate("impressions", "requests") + """ AS pod_fill_rate
   FROM pod_base
 )"""
 
@@ -337,8 +348,8 @@ SUMMARY_SELECT = """SELECT event_date AS ds,
   CAST(sum(requests) AS BIGINT) AS requests,
   CAST(sum(impressions) AS BIGINT) AS impressions,
   CAST(sum(clicks) AS BIGINT) AS clicks,
-  round(CAST(sum(revenue_micros) AS DOUBLE) / 1000000, 6) AS revenue,
-  round(CAST(sum(impressions) AS DOUBLE) / greatest(sum(requests), 1), 4) AS fill_rate,
+  CAST(sum(revenue_micros) AS DOUBLE) / 1000000 AS revenue,
+  """ + hu("sum(impressions)", "greatest(sum(requests), 1)", 4) + """ AS fill_rate,
   CAST(count(DISTINCT campaign_id) AS BIGINT) AS campaigns
 FROM campaign_daily GROUP BY event_date"""
 
@@ -400,16 +411,15 @@ ORACLE["fill_by_slice"] = _with(
     """SELECT event_date, campaign_id, platform, market,
   CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(impressions) AS BIGINT) AS impressions,
   CAST(sum(revenue_micros) AS BIGINT) AS revenue_micros,
-  CASE WHEN sum(requests) > 0 THEN round(CAST(sum(impressions) AS DOUBLE) / sum(requests), 6) END AS fill_rate,
-  CASE WHEN sum(impressions) > 0 THEN round(CAST(sum(revenue_micros) AS DOUBLE) / (sum(impressions) * 1000), 4) END
-    AS ecpm
+  """ + rate("sum(impressions)", "sum(requests)") + """ AS fill_rate,
+  """ + rate("sum(revenue_micros)", "sum(impressions) * 1000", 4) + """ AS ecpm
 FROM campaign_daily GROUP BY event_date, campaign_id, platform, market""",
 )
 ORACLE["midroll_break_rate"] = _with(
     MARTS_CTE,
     """SELECT event_date, CAST(count(*) AS BIGINT) AS pods,
   CAST(count_if(requests > 0 AND impressions = 0) AS BIGINT) AS broken_pods,
-  round(avg(1 - filled), 6) AS break_rate
+  """ + rate("count_if(filled = 0)", "count(*)") + """ AS break_rate
 FROM pod_fill WHERE break_type = 'midroll' GROUP BY event_date""",
 )
 ORACLE["midroll_broken_pods"] = _with(
@@ -457,7 +467,7 @@ campaign_daily AS (
   FROM silver GROUP BY 1, 2, 3, 4, 5
 ),
 camp AS (
-  SELECT *, CASE WHEN requests > 0 THEN round(CAST(impressions AS DOUBLE) / requests, 6) END AS fill_rate,
+  SELECT *, """ + rate("impressions", "requests") + """ AS fill_rate,
     CAST(0 AS BIGINT) AS revenue_micros
   FROM campaign_daily
 ),

@@ -161,3 +161,15 @@ def test_pod_and_campaign_totals_agree(spark):
 
 def test_ts_helper():
     assert ts("2026-09-18T10:00:00+05:30") == dt.datetime(2026, 9, 18, 4, 30)
+
+
+def test_decimal_tie_rounds_half_up_on_the_exact_ratio(spark):
+    # 50,086,900 micros over 80 impressions = 626.08625 exactly; the binary double sits just below
+    prices = [626_086] * 79 + [50_086_900 - 626_086 * 79]
+    rows = [{"event_type": "ad_impression", "clearing_price_micros": p} for p in prices]
+    r = _mart(spark, rows)[("cmp_a", "IN")]
+    assert r["ecpm"] == 626.0863
+    from slotwise.operators import reads
+
+    s = silver.silver(beacons_df(spark, rows), by=("event_id",))
+    assert reads.fill_by_slice(gold.campaign_daily(s)).first()["ecpm"] == 626.0863
