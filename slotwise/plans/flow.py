@@ -16,7 +16,6 @@ dates (found through ``silver_dates``), after the cross-partition dedup (W3).
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -286,7 +285,3 @@ def health(spark: SparkSession, lake: Lake) -> DataFrame:
     """Which gold tables exist."""
     rows = [(name, table_exists(spark, path)) for name, path in (("campaign_daily", lake.campaign_daily), ("pod_fill", lake.pod_fill))]
     return spark.createDataFrame(rows, "table string, available boolean")
-
-
-def today_utc() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).date().isoformat()

@@ -476,10 +476,16 @@ s_day AS (
     count_if(event_type = 'ad_impression') AS impressions
   FROM silver_dt GROUP BY dt
 ),
-g_day AS (
-  SELECT event_date AS ds, count(*) AS gold_rows, count_if(revenue_micros < 0) AS neg, avg(fill_rate) AS fill
+g0 AS (
+  SELECT event_date AS ds, count(*) AS gold_rows, count_if(revenue_micros < 0) AS neg,
+    sum(CAST(round(fill_rate * 1000000) AS BIGINT)) AS fs, count(fill_rate) AS fn
   FROM camp GROUP BY event_date
 ),
+g_day AS (
+  SELECT ds, gold_rows, neg,
+    CASE WHEN fn > 0 THEN CAST((CAST(fs AS BIGINT) * 2 + fn) // (fn * 2) AS DOUBLE) / 1000000 END AS fill
+  FROM g0
+),
 day AS (
   SELECT coalesce(s_day.ds, g_day.ds) AS ds, coalesce(silver_rows, 0) AS n, coalesce(requests, 0) AS req,
     coalesce(impressions, 0) AS imp, coalesce(gold_rows, 0) AS g, coalesce(neg, 0) AS neg, fill
@@ -498,10 +504,14 @@ checks AS (
   UNION ALL SELECT ds, 6, 'no_negative_revenue', 'error', neg, '= 0', neg = 0, 'gate: negative revenue_micros'
     FROM day
   UNION ALL SELECT ds, 7, 'mean_fill_rate_band', 'error', fill, '[0.2, 0.99]',
-    fill IS NULL OR (fill BETWEEN 0.2 AND 0.99), 'gate: suspicious mean fill_rate=' || printf('%.3f', fill) FROM day
+    fill IS NULL OR (fill BETWEEN 0.2 AND 0.99), 'gate: suspicious mean fill_rate=' || """
+    + num_sql("fill", 3)
+    + """ FROM day
   UNION ALL SELECT ds, 12, 'mean_fill_rate_soft_band', 'warn', fill, '[0.55, 0.95]',
     fill IS NULL OR (fill BETWEEN 0.55 AND 0.95),
-    'gate: mean fill_rate=' || printf('%.3f', fill) || ' outside the usual band' FROM day
+    'gate: mean fill_rate=' || """
+    + num_sql("fill", 3)
+    + """ || ' outside the usual band' FROM day
 )"""
 )
 ORACLE["gate_report"] = _with(
