@@ -181,6 +181,38 @@ def report_snapshot(spark, sf_dir):
     return reads.report_snapshot(camp, pods)
 
 
+SNAPSHOT_SCHEMA = (
+    "summary struct<ds string, requests bigint, impressions bigint, clicks bigint, revenue double, "
+    "fill_rate double, campaigns bigint>, "
+    "campaigns array<struct<campaign_id string, market string, platform string, break_type string, "
+    "revenue_micros bigint>>, "
+    "pods array<struct<pod_id string, break_type string, content_id string, platform string, market string, "
+    "requests bigint>>"
+)
+
+
+@register("report_snapshot_rows")
+def report_snapshot_rows(spark, sf_dir):
+    """R8 content check: the snapshot documents parsed back into ranked entries."""
+    camp, pods = _marts(spark, sf_dir)
+    doc = reads.report_snapshot(camp, pods).select("event_date", F.from_json("payload", SNAPSHOT_SCHEMA).alias("d"))
+    c = doc.selectExpr("event_date", "posexplode(d.campaigns) AS (pos, x)").selectExpr(
+        "event_date",
+        "'campaign' AS section",
+        "CAST(pos + 1 AS BIGINT) AS rank",
+        "concat_ws('|', x.campaign_id, x.market, x.platform, x.break_type) AS item",
+        "x.revenue_micros AS measure",
+    )
+    p = doc.selectExpr("event_date", "posexplode(d.pods) AS (pos, x)").selectExpr(
+        "event_date",
+        "'pod' AS section",
+        "CAST(pos + 1 AS BIGINT) AS rank",
+        "concat_ws('|', x.pod_id, x.break_type, x.content_id, x.platform, x.market) AS item",
+        "x.requests AS measure",
+    )
+    return c.unionByName(p)
+
+
 @register("fill_by_slice")
 def fill_by_slice(spark, sf_dir):
     """Ratio-of-sums fill rate and eCPM over break types."""

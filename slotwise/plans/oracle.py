@@ -578,3 +578,25 @@ GROUP BY 1, 2, 3, 4, 5""",
 
 ORACLE["silver_sql"] = _with(GOLD_SILVER, f"SELECT {SILVER_COLS} FROM silver")
 ORACLE["full_refresh"] = ORACLE["campaign_daily"]
+
+ORACLE["report_snapshot_rows"] = _with(
+    MARTS_CTE
+    + f""",
+c AS (
+  SELECT event_date, 'campaign' AS section,
+    ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY revenue_micros DESC, campaign_id ASC NULLS FIRST,
+      market ASC NULLS FIRST, platform ASC NULLS FIRST, break_type ASC NULLS FIRST) AS rank,
+    concat_ws('|', campaign_id, market, platform, break_type) AS item, revenue_micros AS measure
+  FROM campaign_daily
+),
+p AS (
+  SELECT event_date, 'pod' AS section,
+    ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY requests DESC, pod_id ASC NULLS FIRST,
+      break_type ASC NULLS FIRST, content_id ASC NULLS FIRST, platform ASC NULLS FIRST, market ASC NULLS FIRST)
+      AS rank,
+    concat_ws('|', pod_id, break_type, content_id, platform, market) AS item, requests AS measure
+  FROM pod_fill
+)""",
+    """SELECT event_date, section, CAST(rank AS BIGINT) AS rank, item, measure FROM c WHERE rank <= 40
+UNION ALL SELECT event_date, section, CAST(rank AS BIGINT) AS rank, item, measure FROM p WHERE rank <= 30""",
+)
