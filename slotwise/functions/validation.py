@@ -48,8 +48,10 @@ def _sql_list(values) -> str:
 
 
 def _stage_parse(df: DataFrame, line: str) -> DataFrame:
-    # parsed once; later stages read the variant column instead of re-parsing
-    return df.selectExpr("*", f"try_parse_json({line}) AS {V}", f"json_object_keys({line}) AS {KEYS}")
+    # Parsed once; later stages read the variant column instead of re-parsing the
+    # text. The keys come from the variant too (NULL when it is not an object).
+    parsed_df = df.selectExpr("*", f"try_parse_json({line}) AS {V}")
+    return parsed_df.selectExpr("*", f"map_keys(try_variant_get({V}, '$', 'map<string,variant>')) AS {KEYS}")
 
 
 def _stage_types(df: DataFrame) -> DataFrame:
@@ -70,7 +72,8 @@ def _is_integer(name: str) -> str:
 
 
 def rule_sql(strict_timestamps: bool = False) -> list[tuple[str, str]]:
-    """(rule id, SQL condition that is true when the rule is broken)."""
+    """(rule id, SQL condition that is true when the rule is broken). ``__keys`` is
+    NULL for a non-object, so V2 reads "parsed but not an object"."""
 
     def present(name: str) -> str:
         return f"__t_{name} IS NOT NULL"
