@@ -173,3 +173,50 @@ def test_decimal_tie_rounds_half_up_on_the_exact_ratio(spark):
 
     s = silver.silver(beacons_df(spark, rows), by=("event_id",))
     assert reads.fill_by_slice(gold.campaign_daily(s)).first()["ecpm"] == 626.0863
+
+
+def test_sql_route_reads_bronze_json_and_equals_dataframe_route(spark):
+    """Bronze JSON (explicit schema) -> temp view -> SQL -> overwrite, on edge rows."""
+    import json
+    import os
+
+    from slotwise.functions.contract import SILVER_COLUMNS
+    from slotwise.operators import silver_sql
+    from slotwise.session import scratch_path
+
+    rows = [
+        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2026-09-18T09:00:00Z",
+         "ingest_ts": "2026-09-18T10:00:00+05:30", "clearing_price_micros": 10},
+        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2026-09-18T09:00:00Z",
+         "ingest_ts": "2026-09-18T06:00:00Z", "clearing_price_micros": 20},
+        {"event_id": "evt-00000008", "event_type": "ad_request", "event_ts": "2026-09-18T23:30:00-05:00"},
+        {"event_id": "evt-00000009", "event_type": "ad_weird", "event_ts": "2026-09-18T01:00:00Z"},
+    ]
+    common = {"session_id": "s", "content_id": "c", "pod_id": "p", "break_type": "preroll", "platform": "web",
+              "market": "IN", "campaign_id": "cmp"}
+    root = scratch_path(spark, "sql-route")
+    os.makedirs(f"{root}/bronze", exist_ok=True)
+    with open(f"{root}/bronze/part-a.jsonl", "w") as f:
+        for r in rows:
+            f.write(json.dumps({**common, **r}) + "\n")
+    silver_sql.build_silver_sql(spark, f"{root}/bronze", f"{root}/silver")
+    got = spark.read.parquet(f"{root}/silver")
+    from slotwise.functions.contract import BRONZE_TEXT_SCHEMA
+
+    expected = silver.silver(spark.read.schema(BRONZE_TEXT_SCHEMA).json(f"{root}/bronze"), by=("event_id",))
+    key = lambda df: sorted(tuple(r) for r in df.select(*SILVER_COLUMNS).collect())
+    assert key(got) == key(expected)
+    by_id = {r["event_id"]: r for r in got.collect()}
+    assert set(by_id) == {"dup-00000007", "evt-00000008"}
+    assert by_id["dup-00000007"]["clearing_price_micros"] == 20
+    assert by_id["evt-00000008"]["event_date"] == dt.date(2026, 9, 19)
+
+
+def test_json_records_keep_nulls(spark):
+    import json
+
+    from slotwise.operators import reads
+
+    df = spark.createDataFrame([(1, None, 0.5)], "a int, b string, c double")
+    rec = json.loads(reads.json_records(df).first()["record"])
+    assert rec == {"a": 1, "b": None, "c": 0.5}
