@@ -67,6 +67,7 @@ def silver_cross_partition(spark, sf_dir):
 
 @register("campaign_metrics")
 def campaign_metrics(spark, sf_dir):
+    """Counts and revenue per campaign grain (the intermediate model)."""
     return gold.campaign_metrics(_silver_all(spark, sf_dir))
 
 
@@ -84,11 +85,13 @@ def campaign_daily_active(spark, sf_dir):
 
 @register("campaign_daily_raw_rates")
 def campaign_daily_raw_rates(spark, sf_dir):
+    """The JVM job's variant: three counts, revenue, unrounded fill rate and eCPM."""
     return gold.campaign_daily_raw_rates(_silver_all(spark, sf_dir))
 
 
 @register("pod_fill")
 def pod_fill(spark, sf_dir):
+    """The pod mart (null keys kept as their own group)."""
     return gold.pod_fill(_silver_all(spark, sf_dir))
 
 
