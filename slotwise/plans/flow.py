@@ -253,15 +253,34 @@ def run_day(spark: SparkSession, lake: Lake, rows: DataFrame, ds: str, gate: boo
     return touched
 
 
-def run_range(spark: SparkSession, lake: Lake, rows: DataFrame, start: str | None = None, end: str | None = None) -> list[str]:
-    """Backfill as one multi-dt job per table (not one job per day)."""
+def run_range(
+    spark: SparkSession,
+    lake: Lake,
+    rows: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    chunk_days: int | None = None,
+) -> list[str]:
+    """Backfill: silver for every arrival day in [start, end], then one gold refresh.
+
+    By default the silver is one multi-day job. ``chunk_days`` splits it into
+    jobs of that many consecutive days, which bounds the files each task writes
+    (one per day it holds) on very long ranges; the gold refresh still runs once
+    over every touched event date.
+    """
     scoped = rows
     if start:
         scoped = scoped.where(F.col("dt") >= F.lit(start).cast("date"))
     if end:
         scoped = scoped.where(F.col("dt") <= F.lit(end).cast("date"))
-    dts = write_silver(spark, lake, scoped)
-    return refresh_gold(spark, lake, dts)
+    if not chunk_days:
+        return refresh_gold(spark, lake, write_silver(spark, lake, scoped))
+    days = _dates(scoped, "dt")
+    written: list[str] = []
+    for i in range(0, len(days), chunk_days):
+        part = days[i : i + chunk_days]
+        written += write_silver(spark, lake, scoped.where(_in_dates("dt", part)))
+    return refresh_gold(spark, lake, written)
 
 
 def gate_report(spark: SparkSession, lake: Lake, dts: list[str] | None = None) -> DataFrame:

@@ -237,3 +237,10 @@ def test_rerun_day_that_lost_all_rows_clears_its_partition(spark):
     flow.write_silver(spark, lake, beacons_df(spark, [{"event_type": "ad_weird"}]))
     assert not flow.table_exists(spark, f"{lake.silver}/dt=2026-09-18")
     assert flow.touched_scope(spark, lake, ["2026-09-18"]) == ([], [])
+
+
+def test_chunked_backfill_equals_rebuild(spark, fixture_rows):
+    expected = _frame(gold.pod_fill(silver.silver(fixture_rows, by=("event_id",))))
+    lake = flow.Lake.fresh(spark, "chunked")
+    flow.run_range(spark, lake, fixture_rows, chunk_days=10)
+    assert _frame(flow.read_table(spark, lake.pod_fill).select(*gold.pod_fill_columns())) == expected
