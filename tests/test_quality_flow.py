@@ -244,3 +244,21 @@ def test_chunked_backfill_equals_rebuild(spark, fixture_rows):
     lake = flow.Lake.fresh(spark, "chunked")
     flow.run_range(spark, lake, fixture_rows, chunk_days=10)
     assert _frame(flow.read_table(spark, lake.pod_fill).select(*gold.pod_fill_columns())) == expected
+
+
+def test_reads_prune_partitions_and_push_filters(spark, fixture_rows):
+    lake = flow.Lake.fresh(spark, "pruning")
+    flow.run_range(spark, lake, fixture_rows)
+    mart = flow.read_table(spark, lake.campaign_daily)
+    day = str(mart.agg(F.max("event_date")).first()[0])
+    top = reads.campaigns_daily(mart, ds=day, campaign_id="cmp_3", market="IN", limit=10)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and day in plan  # only one day's folder is listed
+    assert "PushedFilters: [IsNotNull(campaign_id), IsNotNull(market), EqualTo(campaign_id,cmp_3)" in plan
+    assert "TakeOrderedAndProject" in plan
+    # a two-column question reads two columns
+    narrow = flow.read_table(spark, lake.silver).where(F.col("dt") == F.lit(day).cast("date")).groupBy(
+        "campaign_id"
+    ).count()
+    narrow_plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<campaign_id:string>" in narrow_plan
