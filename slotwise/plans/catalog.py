@@ -199,21 +199,14 @@ def report_snapshot_rows(spark, sf_dir):
     """R8 content check: the snapshot documents parsed back into ranked entries."""
     camp, pods = _marts(spark, sf_dir)
     doc = reads.report_snapshot(camp, pods).select("event_date", F.from_json("payload", SNAPSHOT_SCHEMA).alias("d"))
-    c = doc.selectExpr("event_date", "posexplode(d.campaigns) AS (pos, x)").selectExpr(
-        "event_date",
-        "'campaign' AS section",
-        "CAST(pos + 1 AS BIGINT) AS rank",
-        "concat_ws('|', x.campaign_id, x.market, x.platform, x.break_type) AS item",
-        "x.revenue_micros AS measure",
-    )
-    p = doc.selectExpr("event_date", "posexplode(d.pods) AS (pos, x)").selectExpr(
-        "event_date",
-        "'pod' AS section",
-        "CAST(pos + 1 AS BIGINT) AS rank",
-        "concat_ws('|', x.pod_id, x.break_type, x.content_id, x.platform, x.market) AS item",
-        "x.requests AS measure",
-    )
-    return c.unionByName(p)
+    # both sections become one array of (section, rank, item, measure): one generator, one pass over the document
+    entries = """concat(
+        transform(d.campaigns, (x, i) -> named_struct('section', 'campaign', 'rank', CAST(i + 1 AS BIGINT),
+            'item', concat_ws('|', x.campaign_id, x.market, x.platform, x.break_type), 'measure', x.revenue_micros)),
+        transform(d.pods, (x, i) -> named_struct('section', 'pod', 'rank', CAST(i + 1 AS BIGINT),
+            'item', concat_ws('|', x.pod_id, x.break_type, x.content_id, x.platform, x.market), 'measure', x.requests))
+    )"""
+    return doc.selectExpr("event_date", f"inline({entries})")
 
 
 @register("fill_by_slice")
