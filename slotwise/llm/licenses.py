@@ -173,7 +173,7 @@ WITH tt(template, license, term, ttf) AS (VALUES {values}),
 files AS (SELECT concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, doc_id, text FROM documents),
 n AS (SELECT count(DISTINCT path) AS n FROM files),
 raw AS (SELECT path, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM files),
-toks AS (SELECT path, pos, unnest(list_filter(string_split_regex(lower(line), '{SPLIT}'), x -> x <> '')) AS term FROM raw),
+toks AS (SELECT path, pos, unnest(list_filter(string_split_regex(lower(line), '{SPLIT}'), lambda x: x <> '')) AS term FROM raw),
 sizes AS (SELECT path, count(*) AS n_words FROM toks GROUP BY 1),
 vocab AS (SELECT DISTINCT term FROM tt),
 near AS (SELECT DISTINCT path, pos FROM toks WHERE term IN (SELECT term FROM vocab)),

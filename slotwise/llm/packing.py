@@ -25,6 +25,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -309,8 +310,6 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
 
 def _lookup(runs: list[tuple[int, int, int, int, int]]):
     """A column function ``(length, rank) -> (sequence_id, offset)`` over the plan's runs."""
-    import pandas as pd
-
     order = sorted(runs)
     table = np.array(order, np.int64).reshape(-1, 5)
     step = 1 << 44  # ranks stay below it

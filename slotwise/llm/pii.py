@@ -23,6 +23,7 @@ import re
 from collections import defaultdict
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -423,8 +424,6 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced; null stays null, all other columns stay."""
-    import pandas as pd
-
     weights = trained()
 
     @F.pandas_udf("string")

@@ -1,10 +1,11 @@
 """Operator 6: quality rules as weak supervision.
 
 Each rule looks at one figure of a text and votes good (+1), bad (-1) or abstains
-(0). Expectation-maximisation on the counts of all vote patterns estimates how
+(0); some rules can only blame, others only praise.
+Expectation-maximisation on the counts of all vote patterns estimates how
 often each rule is right on good and on bad texts, without labels, and every text
 gets the posterior probability of being good. The table of patterns has at most
-``3 ** rules`` rows whatever the corpus, so only that table reaches the driver.
+``2 ** rules`` rows whatever the corpus, so only that table reaches the driver.
 """
 
 from __future__ import annotations
@@ -20,16 +21,31 @@ from slotwise.llm.common import arrow_map, quoted, stored
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 WINDOW = 3
-#: Vote thresholds: (rule, bad if the figure is above, good if it is at most). Between the two the rule abstains.
-RULES = (
-    ("symbols_per_word", 0.25, 0.05),
-    ("duplicate_lines", 0.3, 0.05),
-    ("repeated_words", 0.3, 0.1),
-    ("upper_share", 0.3, 0.08),
-    ("marks_per_word", 0.6, 0.2),
-    ("word_length_off", 4.0, 2.5),
-    ("digit_share", 0.15, 0.03),
+#: Rules that can only blame: bad above the threshold, else abstain.
+BLAME = (
+    ("symbols_per_word", 0.25),
+    ("duplicate_lines", 0.3),
+    ("repeated_words", 0.3),
+    ("upper_share", 0.3),
+    ("marks_per_word", 0.6),
+    ("word_length_off", 4.0),
+    ("digit_share", 0.15),
 )
+#: Rules that can only praise: good if every named figure is at most its threshold, else abstain. One rule
+#: asks for all of them: praise for one figure must not outvote blame for another.
+PRAISE = (
+    {
+        "symbols_per_word": 0.02,
+        "duplicate_lines": 0.05,
+        "repeated_words": 0.1,
+        "upper_share": 0.08,
+        "marks_per_word": 0.3,
+        "word_length_off": 3.0,
+        "digit_share": 0.05,
+    },
+)
+#: Weight of the prior belief in the rules, as a share of the corpus.
+BELIEF = 0.5
 
 
 def text_figures(text: str) -> tuple[int, int, int, int, int]:
@@ -64,23 +80,22 @@ def repeated_words(words: list, window: int = WINDOW) -> int:
     return int(covered.sum())
 
 
-def votes(text: str, figures: tuple[int, int, int, int, int]) -> list[int]:
-    """The votes of ``RULES``; a text without words gets abstentions only."""
+def votes(text: str, figures: tuple[int, int, int, int, int]) -> str:
+    """One character per rule, ``-`` bad, ``+`` good, ``0`` abstains; a text without words gets abstentions only."""
     n_words, word_chars, n_symbols, n_dup, n_rep = figures
     if not n_words:
-        return [0] * len(RULES)
-    n_lines = max(text.count("\n") + 1, 1)
-    upper, letters = len(re.findall("[A-ZÀ-ÖØ-Þ]", text)), max(word_chars, 1)
-    got = (
-        n_symbols / n_words,
-        n_dup / n_lines,
-        n_rep / n_words,
-        upper / letters,
-        sum(map(text.count, "!?.,;:")) / n_words,
-        abs(word_chars / n_words - 6.0),
-        len(re.findall("[0-9]", text)) / letters,
-    )
-    return [-1 if x > bad else 1 if x <= good else 0 for x, (_, bad, good) in zip(got, RULES)]
+        return "0" * (len(BLAME) + len(PRAISE))
+    got = {
+        "symbols_per_word": n_symbols / n_words,
+        "duplicate_lines": n_dup / (text.count("\n") + 1),
+        "repeated_words": n_rep / n_words,
+        "upper_share": len(re.findall("[A-ZÀ-ÖØ-Þ]", text)) / word_chars,
+        "marks_per_word": sum(map(text.count, "!?.,;:")) / n_words,
+        "word_length_off": abs(word_chars / n_words - 6.0),
+        "digit_share": len(re.findall("[0-9]", text)) / word_chars,
+    }
+    bad = ["-" if got[name] > most else "0" for name, most in BLAME]
+    return "".join(bad + ["+" if all(got[k] <= most for k, most in rule.items()) else "0" for rule in PRAISE])
 
 
 def figures_and_votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -89,7 +104,7 @@ def figures_and_votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             texts = [t or "" for t in cols["text"]]
             figures = [text_figures(t) for t in texts]
             out = dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), zip(*figures) if figures else [()] * 5))
-            out["pattern"] = ["".join("-0+"[v + 1] for v in votes(t, f)) for t, f in zip(texts, figures)]
+            out["pattern"] = [votes(t, f) for t, f in zip(texts, figures)]
             return {"id": cols["id"]} | out
 
         return each
@@ -101,29 +116,27 @@ def figures_and_votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fit(counts: list[tuple[str, int]], rounds: int = 200) -> dict[str, float]:
     """Posterior probability of a good text for each vote pattern, by expectation-maximisation.
 
-    Naive Bayes with three outcomes per rule and class. It starts from rules that
-    are right 4 times in 5 when they vote, with add-one smoothing, so the classes
-    keep their meaning. No patterns give an empty table.
+    Two classes, and per class and rule the probability that the rule votes. The
+    prior says that a rule mostly votes on the class it speaks of and weighs as
+    much as ``BELIEF`` of all texts, so a defect that trips one rule alone is still
+    told from a habit of good texts. No patterns give an empty table.
     """
     if not counts:
         return {}
-    v = np.array([["-0+".index(c) for c in p] for p, _ in counts])
+    voted = np.array([[c != "0" for c in p] for p, _ in counts], float)
     n = np.array([c for _, c in counts], float)
-    rules = v.shape[1]
-    table = np.empty((2, rules, 3))  # class (bad, good), rule, outcome
-    table[0], table[1] = (0.64, 0.2, 0.16), (0.16, 0.2, 0.64)
-    prior = np.array([0.3, 0.7])
-    at = np.arange(rules)
+    blame, praise = [1.0] * len(BLAME), [1.0] * len(PRAISE)
+    belief = np.array([[0.5 * x for x in blame] + [0.3 * x for x in praise], [0.005 * x for x in blame] + [0.95 * x for x in praise]])
+    rate, prior, weight = belief, np.array([0.2, 0.8]), BELIEF * n.sum() + 1
     for _ in range(rounds):
-        log = np.log(prior)[:, None] + np.log(table[:, at, v]).sum(-1)
+        log = np.log(prior)[:, None] + np.log(rate) @ voted.T + np.log1p(-rate) @ (1 - voted).T
         post = np.exp(log - np.logaddexp(*log))
         mass = post * n
         prior = (mass.sum(1) + 1) / (n.sum() + 2)
-        new = np.stack([[np.bincount(v[:, r], mass[c], 3) + 1 for r in range(rules)] for c in (0, 1)])
-        new /= new.sum(-1, keepdims=True)
-        if np.abs(new - table).max() < 1e-9:
+        new = (mass @ voted + weight * belief) / (mass.sum(1)[:, None] + weight)
+        moved, rate = np.abs(new - rate).max(), new
+        if moved < 1e-9:
             break
-        table = new
     return {p: float(x) for (p, _), x in zip(counts, post[1])}
 
 
@@ -136,7 +149,7 @@ def rule_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     seen = stored(figures_and_votes(docs, id_col, text_col), "rule-votes")
-    counts = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3 ** rules rows
+    counts = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 ** rules rows
     model = fit(sorted((r["pattern"], r["n"]) for r in counts))
     table = spark.createDataFrame(list(model.items()), "pattern string, posterior double")
     failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
