@@ -37,3 +37,32 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def _mark(edges: DataFrame) -> tuple:
     total = F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
     return tuple(edges.agg(F.count(F.lit(1)), total).first())
+
+
+def copies_of(seen: DataFrame) -> DataFrame:
+    """``node, id, weight`` of ``seen(id, node)``: the smallest id and the number of rows of every node."""
+    return seen.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+
+
+def linked_rows(seen: DataFrame, links: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``id, node, class_id, n_links`` for every row of ``seen(id, node)``.
+
+    A node stands for equal contents, so its rows link with each other.
+    ``links(node, links)`` counts rows of other nodes, to be added up; ``edges(a, b)``
+    span the links between nodes. Nodes that share an id are joined as well. Rows
+    without a node are classes of their own.
+    """
+    known, copies = seen.where("node is not null"), copies_of(seen)
+    ids = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("id", "a")
+    same = known.join(ids, "id").where("node <> a").select("a", F.col("node").alias("b"))
+    classes = components(edges.select("a", "b").union(same), name).withColumnRenamed("id", "node")
+    counts = links.groupBy("node").agg(F.sum("links").alias("links"))
+    info = copies.join(counts, "node", "left").join(classes, "node", "left")
+    n_links = F.col("weight") - 1 + F.coalesce("links", F.lit(0))
+    info = info.select("node", "id", n_links.alias("n_links"), F.coalesce("component", "node").alias("class"), "weight")
+    info = stored(info, f"{name}-nodes")
+    named = info.groupBy("class").agg(F.min("id").alias("class_id"))
+    # nodes of one row without a link need no entry
+    info = info.join(named, "class").where("n_links > 0 or class_id <> id or weight > 1").select("node", "n_links", "class_id")
+    out = seen.select("id", "node").join(info, "node", "left")
+    return out.select("id", "node", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

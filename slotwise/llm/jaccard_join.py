@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import quoted, runs_of, stored
-from slotwise.llm.graph import components
+from slotwise.llm.graph import components, copies_of, linked_rows
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -302,7 +302,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
     seen = stored(_signatures(texts), "jaccard-signatures")
     known = seen.where("node is not null")
-    copies = known.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    copies = copies_of(seen)
     # one row per node carries its sketch: that of its smallest id, once
     nodes = known.join(copies.select("node", "id"), ["node", "id"]).dropDuplicates(["node"]).select("node", "sketch")
     nodes = stored(nodes, "jaccard-nodes")
@@ -320,25 +320,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     paired = paired.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     links = stored(_block_links(paired), "jaccard-links")
 
-    # texts under one id are one document
-    ids = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("id", "a")
-    same = known.join(ids, "id").where("node <> a").select("a", F.col("node").alias("b"))
-    edges = links.where("node <> a").select("a", F.col("node").alias("b")).union(same)
-    classes = components(edges, "jaccard-classes").withColumnRenamed("id", "node")
-    counts = links.groupBy("node").agg(F.sum("links").alias("links"))
-    info = copies.join(counts, "node", "left").join(classes, "node", "left").select(
-        "node", "id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("class")
-    )
-    info = stored(info, "jaccard-info")
-    named = info.groupBy("class").agg(F.min("id").alias("class_id"))
-    info = info.join(named, "class").where("n_links > 0 or class_id <> id or class <> node").select("node", "n_links", "class_id")
-    out = seen.select("id", "node").join(info, "node", "left")
-    return out.select(
-        F.col("id").alias(id_col),
-        F.coalesce("class_id", "id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        (F.coalesce("class_id", "id") == F.col("id")).alias("kept"),
-    )
+    edges = links.where("node <> a").select("a", F.col("node").alias("b"))
+    out = linked_rows(seen.select("id", "node"), links, edges, "jaccard-classes")
+    return out.select(F.col("id").alias(id_col), "class_id", "n_links", (F.col("class_id") == F.col("id")).alias("kept"))
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

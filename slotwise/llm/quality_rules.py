@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import arrow_map, quoted, stored
 
 SYMBOLS = b"#*$%&|<>"
+_SYMBOL_RUNS = re.compile("[#*$%&|<>]+")
 MIN_WORDS = 50
 WINDOW = 3
 #: Rules that can only blame: bad above the threshold, else abstain.
 BLAME = (
     ("symbols_per_word", 0.25),
-    ("duplicate_lines", 0.3),
+    ("symbol_runs_per_word", 0.2),
+    ("duplicate_lines", 0.5),
     ("repeated_words", 0.3),
     ("upper_share", 0.3),
     ("marks_per_word", 0.6),
@@ -44,8 +46,8 @@ PRAISE = (
         "digit_share": 0.05,
     },
 )
-#: Weight of the prior belief in the rules, as a share of the corpus.
-BELIEF = 0.5
+#: Weight of the prior belief in the rules, in corpora.
+BELIEF = 3.0
 
 
 def text_figures(text: str) -> tuple[int, int, int, int, int]:
@@ -87,6 +89,7 @@ def votes(text: str, figures: tuple[int, int, int, int, int]) -> str:
         return "0" * (len(BLAME) + len(PRAISE))
     got = {
         "symbols_per_word": n_symbols / n_words,
+        "symbol_runs_per_word": len(_SYMBOL_RUNS.findall(text)) / n_words,
         "duplicate_lines": n_dup / (text.count("\n") + 1),
         "repeated_words": n_rep / n_words,
         "upper_share": len(re.findall("[A-ZÀ-ÖØ-Þ]", text)) / word_chars,
@@ -118,7 +121,7 @@ def fit(counts: list[tuple[str, int]], rounds: int = 200) -> dict[str, float]:
 
     Two classes, and per class and rule the probability that the rule votes. The
     prior says that a rule mostly votes on the class it speaks of and weighs as
-    much as ``BELIEF`` of all texts, so a defect that trips one rule alone is still
+    much as ``BELIEF`` times all texts, so a defect that trips one rule alone is still
     told from a habit of good texts. No patterns give an empty table.
     """
     if not counts:

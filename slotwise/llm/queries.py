@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import html_text, jaccard_join, licenses, mixing, packing, pii, quality_model, quality_rules, sharding
+from slotwise.llm import html_text, jaccard_join, licenses, mixing, near_vectors, packing, pii, quality_model, quality_rules, sharding
 from slotwise.llm.common import table
 
 SHARDS = 24
@@ -15,7 +15,7 @@ SHARDS = 24
 
 def op1_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of equal label: links, component and whether the vector is kept."""
-    return table(spark, sf_dir, "embeddings")
+    return near_vectors.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op2_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
