@@ -15,14 +15,17 @@ def _col(c: Column | str) -> Column:
 def half_up_sql(num: str, den: str, scale: int) -> str:
     """``round(num / den, scale)`` half-up on the exact rational, as SQL text.
 
-    For integer ``num >= 0`` and ``den > 0``: q = (2·num·10^s + den) div (2·den)
-    is the correctly rounded numerator, and q / 10^s is one IEEE division of
-    exact integers. Rounding the binary double instead (x·10^s, then round) gives
-    engine-dependent answers on decimal ties such as 626.08625.
+    For integers with ``den > 0``: q = (2·|num|·10^s + den) div (2·den), given the
+    sign of ``num``, is the numerator rounded half away from zero, and q / 10^s is
+    one IEEE division of exact integers. The products are decimals of 38 digits,
+    so no amount that fits a long overflows them. Rounding the binary double
+    instead (x·10^s, then round) gives engine-dependent answers on decimal ties
+    such as 626.08625.
     """
     k = 10**scale
-    n, d = f"CAST({num} AS BIGINT)", f"CAST({den} AS BIGINT)"
-    return f"CAST(({n} * {2 * k} + {d}) DIV ({d} * 2) AS DOUBLE) / {k}"
+    n, d = f"CAST({num} AS DECIMAL(20, 0))", f"CAST({den} AS DECIMAL(20, 0))"
+    q = f"(abs({n}) * CAST({2 * k} AS DECIMAL(10, 0)) + {d}) DIV ({d} * CAST(2 AS DECIMAL(1, 0)))"
+    return f"CAST(sign({n}) * ({q}) AS DOUBLE) / {k}"
 
 
 def rate_sql(num: str, den: str, scale: int = 6) -> str:

@@ -54,21 +54,34 @@ def _stage_parse(df: DataFrame, line: str) -> DataFrame:
     return parsed_df.selectExpr("*", f"map_keys(try_variant_get({V}, '$', 'map<string,variant>')) AS {KEYS}")
 
 
+#: Integer columns stored as 32 bits; the others as 64.
+INT_COLUMNS = ("slot_index", "quartile")
+
+
 def _stage_types(df: DataFrame) -> DataFrame:
     """Per key: variant type name (NULL absent, 'VOID' null), and the numeric /
     text values the rules compare."""
     exprs = [f"schema_of_variant({_get(name, 'variant')}) AS __t_{name}" for name, _ in FIELDS]
     exprs += [f"{_get(name, 'double')} AS __d_{name}" for name in INTEGER_FIELDS]
+    exprs += [f"{_get(name, 'decimal(38,10)')} AS __x_{name}" for name in INTEGER_FIELDS]
     exprs += [f"{_get(name, 'bigint')} AS __l_{name}" for name in INTEGER_FIELDS]
     exprs += [f"{_get(name, 'string')} AS __s_{name}" for name in CHECKED_TEXT]
     return df.selectExpr("*", *exprs)
 
 
 def _is_integer(name: str) -> str:
-    """JSON-Schema integer: a number with no fraction (1.0 counts) that fits a long."""
+    """JSON-Schema integer: a number with no fraction (1.0 counts) that fits the column's type.
+
+    Decimals are tested as decimals: a double would drop the fraction of a large one.
+    """
     t = f"__t_{name}"
-    numeric = f"({t} IN ({_sql_list(INT_TYPES)}) OR {t} LIKE 'DECIMAL%' OR {t} IN ('DOUBLE', 'FLOAT'))"
-    return f"({numeric} AND __d_{name} = floor(__d_{name}) AND __l_{name} IS NOT NULL)"
+    whole = (
+        f"({t} IN ({_sql_list(INT_TYPES)})"
+        f" OR ({t} LIKE 'DECIMAL%' AND __x_{name} = floor(__x_{name}))"
+        f" OR ({t} IN ('DOUBLE', 'FLOAT') AND __d_{name} = floor(__d_{name})))"
+    )
+    fits = f"__l_{name} BETWEEN {-(2**31)} AND {2**31 - 1}" if name in INT_COLUMNS else f"__l_{name} IS NOT NULL"
+    return f"({whole} AND {fits})"
 
 
 def rule_sql(strict_timestamps: bool = False) -> list[tuple[str, str]]:
@@ -142,7 +155,7 @@ def validate(df: DataFrame, line: str = "value", strict_timestamps: bool = False
         if kind.startswith("string"):
             fields.append(f"{_get(name, 'string')} AS {name}")
         elif kind.startswith("integer"):
-            fields.append(f"{_get(name, 'int' if name in ('slot_index', 'quartile') else 'bigint')} AS {name}")
+            fields.append(f"{_get(name, 'int' if name in INT_COLUMNS else 'bigint')} AS {name}")
         else:
             fields.append(f"{_get(name, 'boolean')} AS {name}")
     keep = [f"`{c}`" for c in df.columns if c not in {n for n, _ in FIELDS}]

@@ -19,6 +19,8 @@ from slotwise.functions.contract import BEACON_SCHEMA
 from slotwise.functions.validation import validate
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Characters that make a line blank: a line of only these is skipped, not quarantined.
+BLANKS = " \t\n\r\f\v"
 
 
 def read_drop(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
@@ -45,7 +47,7 @@ def classify(lines: DataFrame, landed_at: _dt.datetime | Column | None = None, s
     else:
         stamp = F.lit(landed_at.astimezone(_dt.timezone.utc).isoformat())
     passthrough = [c for c in lines.columns if c != "value"]
-    trimmed = lines.select(*passthrough, F.trim(F.col("value")).alias("value")).where(F.col("value") != "")
+    trimmed = lines.select(*passthrough, F.btrim(F.col("value"), F.lit(BLANKS)).alias("value")).where(F.col("value") != "")
     checked = validate(trimmed, "value", strict_timestamps)
     ok = F.size("errors") == 0
     names = [f.name for f in BEACON_SCHEMA.fields]
@@ -75,6 +77,20 @@ def quarantine(landed: DataFrame) -> DataFrame:
     return landed.where(F.col("status") == "bad").select(F.col("value").alias("raw"), "error", *tail)
 
 
+def replace_drops(landed: DataFrame, landed_path: str) -> None:
+    """Write classified lines, replacing exactly the ``(dt, src)`` partitions they belong to.
+
+    No repartition by (dt, src): one drop may hold a third of the day, and every
+    input split writing its own files keeps that drop spread out.
+    """
+    (
+        landed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "src")
+        .parquet(landed_path)
+    )
+
+
 def land(lines: DataFrame, landed_path: str, landed_at: _dt.datetime | None = None, strict_timestamps: bool = False) -> tuple[int, int]:
     """K1-K3 + V19: write the classified lines, replacing only the ``(dt, src)``
     partitions present in ``lines``; return ``(n_ok, n_bad)`` observed on that
@@ -87,13 +103,6 @@ def land(lines: DataFrame, landed_path: str, landed_at: _dt.datetime | None = No
         F.count_if(F.col("status") == "ok").alias("n_ok"),
         F.count_if(F.col("status") == "bad").alias("n_bad"),
     )
-    # no repartition by (dt, src): one drop may hold a third of the day, and
-    # every input split writing its own files keeps that drop spread out
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "src")
-        .parquet(landed_path)
-    )
+    replace_drops(observed, landed_path)
     got = obs.get
     return int(got.get("n_ok", 0) or 0), int(got.get("n_bad", 0) or 0)

@@ -62,10 +62,11 @@ def _check(no: int, name: str, severity: str, observed: Column, threshold: str,
     )
 
 
-def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFrame:
+def gate_report(silver: DataFrame, campaign_daily: DataFrame | None, days: list[str] | None = None) -> DataFrame:
     """One row per (day, check): observed value, threshold, pass flag, message.
 
-    Days are every arrival ``dt`` of silver and every ``event_date`` of the mart.
+    Days are every arrival ``dt`` of silver and every ``event_date`` of the mart, or
+    exactly ``days`` if given: a requested day without any row is reported, and fails.
     ``campaign_daily=None`` means the mart is not built: Q5-Q7 are skipped
     (they pass), as the source gate does.
     """
@@ -79,6 +80,9 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             {"gold_rows": F.lit(None).cast("bigint"), "negative_revenue_rows": F.lit(None).cast("bigint"), "mean_fill_rate": F.lit(None).cast("double")}
         )
         mart_built = F.lit(False)
+    if days is not None:
+        asked = silver.sparkSession.createDataFrame([(d,) for d in days], "ds string").select(F.to_date("ds").alias("ds"))
+        day = asked.join(day, "ds", "left")
     rows = F.coalesce(F.col("silver_rows"), F.lit(0))
     req = F.coalesce(F.col("requests"), F.lit(0))
     imp = F.coalesce(F.col("impressions"), F.lit(0))
@@ -89,7 +93,7 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
     lo, hi = GATE_FILL_BAND
     slo, shi = GATE_SOFT_FILL_BAND
     checks = F.array(
-        _check(1, "silver_exists", "error", rows, ">= 1", rows > 0, F.concat(F.lit("gate: no silver for dt="), ds)),
+        _check(1, "silver_exists", "error", rows, ">= 1", rows > 0, F.concat(F.lit("no silver rows arrived on "), ds)),
         _check(
             2,
             "silver_min_rows",
@@ -97,9 +101,9 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             rows,
             f">= {GATE_MIN_ROWS}",
             rows >= GATE_MIN_ROWS,
-            F.format_string("gate: silver too small (%d rows) for dt=%s", rows, ds),
+            F.format_string("only %d silver rows arrived on %s", rows, ds),
         ),
-        _check(3, "requests_present", "error", req, "> 0", req > 0, F.lit("gate: zero ad_request rows")),
+        _check(3, "requests_present", "error", req, "> 0", req > 0, F.lit("day holds no ad requests")),
         _check(
             4,
             "impressions_vs_requests",
@@ -107,7 +111,7 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             imp,
             f"<= requests * {GATE_MAX_IMPRESSION_RATIO}",
             imp <= req * GATE_MAX_IMPRESSION_RATIO,
-            F.format_string("gate: impressions (%d) >> requests (%d)", imp, req),
+            F.format_string("%d impressions against %d requests", imp, req),
         ),
         _check(
             5,
@@ -116,9 +120,9 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             gold_rows,
             "> 0",
             ~mart_built | (gold_rows > 0),
-            F.concat(F.lit("gate: no gold campaign rows for "), ds),
+            F.concat(F.lit("campaign mart has no rows dated "), ds),
         ),
-        _check(6, "no_negative_revenue", "error", neg, "= 0", neg == 0, F.lit("gate: negative revenue_micros")),
+        _check(6, "no_negative_revenue", "error", neg, "= 0", neg == 0, F.lit("campaign mart holds negative revenue")),
         _check(
             7,
             "mean_fill_rate_band",
@@ -126,7 +130,7 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             fill,
             f"[{lo}, {hi}]",
             fill.isNull() | fill.between(lo, hi),
-            F.concat(F.lit("gate: suspicious mean fill_rate="), num(fill, 3)),
+            F.concat(F.lit("mean fill rate out of bounds: "), num(fill, 3)),
         ),
         _check(
             12,
@@ -135,7 +139,7 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None) -> DataFram
             fill,
             f"[{slo}, {shi}]",
             fill.isNull() | fill.between(slo, shi),
-            F.concat(F.lit("gate: mean fill_rate="), num(fill, 3), F.lit(" outside the usual band")),
+            F.concat(F.lit("mean fill rate "), num(fill, 3), F.lit(" lies outside the usual band")),
         ),
     )
     # every rule is evaluated; the verdict (Q8) is the first failed error rule

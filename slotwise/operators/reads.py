@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions import formatting as fmt
+from slotwise.operators.landing import BLANKS
 from slotwise.functions.contract import BEACON_SCHEMA, CAMPAIGN_KEYS, POD_KEYS
 from slotwise.functions.money import ecpm, micros_to_currency, rate_sql, ratio_of_sums, safe_rate
 
@@ -274,7 +275,7 @@ def publish_payload(rows: DataFrame) -> DataFrame:
     fields = [f.name for f in BEACON_SCHEMA.fields]
     return rows.select(
         F.col("event_id").alias("key"),
-        F.to_json(F.struct(*fields), {"timestampFormat": TS_TEXT}).alias("value"),
+        F.to_json(F.struct(*fields), {"timestampFormat": TS_TEXT, "ignoreNullFields": "false"}).alias("value"),
     )
 
 
@@ -284,8 +285,15 @@ def json_records(df: DataFrame) -> DataFrame:
 
 
 def drop_records(lines: DataFrame) -> DataFrame:
-    """A drop file as topic records — blank lines skipped, each line parsed
-    and re-serialised as compact JSON (lines that are not JSON are kept out)."""
-    trimmed = lines.select(F.trim(F.col("value")).alias("line")).where(F.col("line") != "")
-    parsed = trimmed.select(F.try_parse_json("line").alias("v")).where(F.col("v").isNotNull())
-    return parsed.select(F.to_json(F.col("v")).alias("value"))
+    """A drop file as topic records ``value, rejected``.
+
+    Blank lines are skipped. Every other line is a row: parsed and re-serialised as
+    compact JSON in ``value``, or, if it is not JSON, as received in ``rejected``,
+    so a writer can send the two to different topics and no line is lost.
+    """
+    trimmed = lines.select(F.btrim(F.col("value"), F.lit(BLANKS)).alias("line")).where(F.col("line") != "")
+    parsed = trimmed.select("line", F.try_parse_json("line").alias("v"))
+    return parsed.select(
+        F.to_json(F.col("v")).alias("value"),
+        F.when(F.col("v").isNull(), F.col("line")).alias("rejected"),
+    )

@@ -6,6 +6,7 @@ full, so its work grows with them. Keys match ``slotwise.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -238,8 +239,8 @@ def publish_payload(spark, sf_dir):
     """K8: topic records of silver rows, parsed back to check the round trip."""
     rec = reads.publish_payload(_silver_all(spark, sf_dir))
     schema = "event_id string, event_type string, event_ts timestamp, campaign_id string, quartile int, clearing_price_micros bigint, is_late boolean"
-    parsed = rec.select("key", F.from_json("value", schema, {"timestampFormat": reads.TS_TEXT}).alias("j"))
-    return parsed.select("key", "j.*")
+    parsed = rec.select("key", F.size(F.json_object_keys("value")).alias("n_keys"), F.from_json("value", schema, {"timestampFormat": reads.TS_TEXT}).alias("j"))
+    return parsed.select("key", "j.*", "n_keys")
 
 
 # --- quality --------------------------------------------------------------------------
@@ -286,15 +287,17 @@ def _latest_dts(spark, lake, n):
 @register("staging_projection")
 def staging_projection(spark, sf_dir):
     """All silver partitions through hive discovery, 20 typed columns, no dt."""
-    lake, _ = _backfilled(spark, sf_dir)
+    lake = flow.Lake.fresh(spark, "lake")
+    flow.write_silver(spark, lake, fixtures.beacons(spark, sf_dir))
     return silver.staging(flow.read_table(spark, lake.silver, "silver"))
 
 
 @register("latest_partition")
 def latest_partition(spark, sf_dir):
-    """Newest arrival partition of the written silver table."""
-    lake, _ = _backfilled(spark, sf_dir)
-    return flow.latest_partition(spark, lake.silver, "dt")
+    """Newest arrival partition of the written silver table, from its map of dates."""
+    lake = flow.Lake.fresh(spark, "lake")
+    flow.write_silver(spark, lake, fixtures.beacons(spark, sf_dir))
+    return flow.latest_partition(spark, lake.silver_dates, "dt")
 
 
 @register("gold_replace_day")
@@ -307,6 +310,51 @@ def gold_replace_day(spark, sf_dir):
     return flow.read_table(spark, lake.campaign_daily, "campaign_daily").select(*gold.campaign_daily_columns())
 
 
+def _corrected(rows):
+    """The newest arrival day delivered again: late copies withdrawn, prices raised, every 40th slot moved back a day."""
+    last = rows.agg(F.max("dt")).first()[0]
+    hit = F.col("dt") == F.lit(last)
+    slot = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("bigint")
+    fixed = rows.where(~(hit & F.col("is_late"))).withColumns(
+        {
+            "clearing_price_micros": F.col("clearing_price_micros") + F.when(hit, F.lit(700)).otherwise(F.lit(0)),
+            "event_ts": F.when(hit & (slot % 40 == 0), F.col("event_ts") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("event_ts")),
+        }
+    )
+    return fixed, str(last)
+
+
+@register("gold_corrected_day")
+def gold_corrected_day(spark, sf_dir):
+    """After a backfill the newest day arrives corrected and is run again;
+    the campaign mart read back equals a rebuild over the corrected rows."""
+    lake, rows = _backfilled(spark, sf_dir)
+    fixed, last = _corrected(rows)
+    flow.run_day(spark, lake, fixed, last, gate=False)
+    return flow.read_table(spark, lake.campaign_daily, "campaign_daily").select(*gold.campaign_daily_columns())
+
+
+@register("day_flow_gate")
+def day_flow_gate(spark, sf_dir):
+    """G3 / Q1-Q8 on the written lake: requested days are all reported, the day after the last one as missing."""
+    lake, _ = _backfilled(spark, sf_dir)
+    dts = sorted({d for d, _ in flow.date_pairs(spark, lake)})
+    missing = str(dt.date.fromisoformat(dts[-1]) + dt.timedelta(days=7))
+    return quality.gate_verdicts(flow.gate_report(spark, lake, [*dts, missing]))
+
+
+@register("land_written")
+def land_written(spark, sf_dir):
+    """Drops landed, one of them delivered again without its bad lines, read back."""
+    root = scratch_path(spark, "landed")
+    lines = fixtures.drop_lines(spark, sf_dir).select("value", "dt", "src")
+    landing.land(lines, root)
+    again = lines.where(F.col("src") == "drop-1")
+    good = landing.classify(again).where("status = 'ok'").select("value", "dt", "src")
+    landing.land(good, root)
+    return spark.read.parquet(root).select("dt", "src", "status", "error", F.col("value").alias("raw"))
+
+
 @register("gold_refresh_touched")
 def gold_refresh_touched(spark, sf_dir):
     """Re-running the two newest days in order changes nothing; the pod
@@ -347,12 +395,12 @@ def stream_dedup_lww(spark, sf_dir):
 
 @register("stream_daily_counts")
 def stream_daily_counts(spark, sf_dir):
-    """ST4: finalised (watermark-closed) day counts, duplicates counted once."""
+    """ST4: day counts kept current across successive arrivals, duplicates counted once."""
     root = scratch_path(spark, "stream-counts")
     rows = fixtures.beacons(spark, sf_dir)
     for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
         streams.arrive(rows, f"{root}/bronze", chunk)
-        streams.daily_counts_stream(spark, f"{root}/bronze", f"{root}/counts", f"{root}/_checkpoint")
+        streams.daily_counts_stream(spark, f"{root}/bronze", f"{root}/raw", f"{root}/counts", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/counts")
 
 
@@ -361,14 +409,22 @@ def stream_daily_counts(spark, sf_dir):
 
 @register("silver_sql")
 def silver_sql_route(spark, sf_dir):
-    """The silver step as one Spark SQL statement over a temp view
-    of the beacons (timestamps as received ISO text, as bronze holds them)."""
+    """Beacons written as JSON drops (numbers with a fraction part
+    of zero, absent defaults), read back and deduplicated by the SQL route."""
+    root = scratch_path(spark, "sql-route")
     rows = fixtures.beacons(spark, sf_dir)
     text = rows.withColumns(
-        {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") for c in ("event_ts", "ingest_ts")}
+        {
+            "event_ts": F.date_format("event_ts", reads.TS_TEXT),
+            "ingest_ts": F.when(F.col("is_late"), F.date_format("ingest_ts", reads.TS_TEXT)),
+            "slot_index": F.when(F.col("slot_index") > 0, F.col("slot_index").cast("double")),
+            "quartile": F.col("quartile").cast("double"),
+            "is_late": F.when(F.col("is_late"), True),
+        }
     )
-    text.createOrReplaceTempView("bronze_ad_events")
-    return silver_sql.silver_from_view(spark, "bronze_ad_events")
+    text.drop("dt").write.json(f"{root}/bronze")
+    silver_sql.build_silver_sql(spark, f"{root}/bronze", f"{root}/silver")
+    return spark.read.parquet(f"{root}/silver")
 
 
 @register("full_refresh")
@@ -389,6 +445,7 @@ def drop_records(spark, sf_dir):
         F.get_json_object("value", "$.event_id").alias("event_id"),
         F.get_json_object("value", "$.market").alias("market"),
         F.get_json_object("value", "$.event_type").alias("event_type"),
+        "rejected",
     )
 
 

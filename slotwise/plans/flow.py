@@ -5,13 +5,17 @@ Layout under one root in the shared folder::
     landed/dt=…/src=…/        raw lines + rule ids + parsed fields (landing)
     silver/dt=…/              typed, per-dt last-write-wins rows
     silver_dates/dt=…/        (dt, event_date): which event dates each dt holds
+    moved/                    (event_id, event_date, dt) of events whose copies carry different event dates
     gold/campaign_daily/event_date=…/
     gold/pod_fill/event_date=…/
 
 Every write is a dynamic partition overwrite, so re-running a day replaces
 exactly what it produced. Gold is never read to rewrite itself: a changed
-``dt`` recomputes every event date it touches from *all* silver rows of those
-dates (found through ``silver_dates``), after the cross-partition dedup (W3).
+``dt`` recomputes every event date it touches, and every one it touched before the
+change, from *all* silver rows of those dates (found through ``silver_dates``),
+after the cross-partition dedup (W3). Copies of one event under different event
+dates compete with each other across those dates: the few such events are kept
+in ``moved``, and their copies are read along.
 """
 
 from __future__ import annotations
@@ -42,6 +46,10 @@ class Lake:
     def silver_dates(self) -> str:
         return f"{self.root}/silver_dates"
 
+    @property
+    def moved(self) -> str:
+        return f"{self.root}/moved"
+
     @property
     def campaign_daily(self) -> str:
         return f"{self.root}/gold/campaign_daily"
@@ -70,11 +78,17 @@ def read_table(spark: SparkSession, path: str, what: str = "table") -> DataFrame
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at ``path`` (asked of the file system, without a query)."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except AttributeError:  # a remote session has no JVM handle
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(conf).exists(folder)
 
 
 def _dates(df: DataFrame, col: str) -> list[str]:
@@ -128,12 +142,17 @@ def write_silver(spark: SparkSession, lake: Lake, rows: DataFrame) -> list[str]:
 
 
 def drop_partition(spark: SparkSession, table: str, col: str, value: str) -> None:
-    """Delete one partition folder of a written table (through the Hadoop file system)."""
+    """Delete one partition folder of a written table."""
+    drop_folder(spark, f"{table}/{col}={value}")
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder this package wrote (through the Hadoop file system)."""
     try:
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     except AttributeError as exc:  # a remote session has no JVM handle
-        raise RuntimeError(f"cannot clear {table}/{col}={value} from this session") from exc
-    path = jvm.org.apache.hadoop.fs.Path(f"{table}/{col}={value}")
+        raise RuntimeError(f"cannot clear {folder} from this session") from exc
+    path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(conf).delete(path, True)
 
 
@@ -150,7 +169,7 @@ def read_bronze_day(spark: SparkSession, lake: Lake, ds: str) -> DataFrame:
     ``ValueError`` (checked with a one-row job)."""
     rows = bronze_rows(spark, lake, [ds])
     if rows.isEmpty():
-        raise ValueError(f"empty bronze dt={ds}")
+        raise ValueError(f"no valid landed rows on {ds}")
     return rows
 
 
@@ -164,16 +183,12 @@ def full_refresh(spark: SparkSession, lake: Lake) -> None:
     configure(spark)
     every = read_table(spark, lake.silver, "silver")
     w3 = silver.dedup_window(every, by=("event_id",))
-    fine = gold.grain_counts(w3, gold.FINE_KEYS).persist()
-    try:
-        gold.campaign_daily_from_counts(fine).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("event_date").parquet(lake.campaign_daily)
-        gold.pod_fill_from_counts(fine).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "event_date"
-        ).parquet(lake.pod_fill)
-    finally:
-        fine.unpersist()
+    fine_path = scratch_path(spark, "fine-counts")
+    gold.grain_counts(w3, gold.FINE_KEYS).write.parquet(fine_path)
+    fine = spark.read.parquet(fine_path)
+    write_gold(gold.campaign_daily_from_counts(fine), lake.campaign_daily, "campaign_id", "market", mode="static")
+    write_gold(gold.pod_fill_from_counts(fine), lake.pod_fill, "pod_id", "content_id", mode="static")
+    drop_folder(spark, fine_path)
 
 
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
@@ -193,60 +208,133 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
 # --- gold (G2, K6, D8) ---------------------------------------------------------------
 
 
-def touched_scope(spark: SparkSession, lake: Lake, dts: list[str]) -> tuple[list[str], list[str]]:
-    """(event dates touched by ``dts``, every dt holding rows of those dates)."""
-    try:
-        dmap = spark.read.schema("event_date date, dt date").parquet(lake.silver_dates)
-    except AnalysisException:  # nothing written yet
-        return [], []
-    touched = _dates(dmap.where(_in_dates("dt", dts)), "event_date")
-    holders = _dates(dmap.where(_in_dates("event_date", touched)), "dt")
-    return touched, holders
+GOLD_FILES_PER_DAY = 4
+
 
+def date_pairs(spark: SparkSession, lake: Lake) -> set[tuple[str, str]]:
+    """(dt, event_date) pairs of written silver: a few rows per day, gathered on the driver."""
+    if not table_exists(spark, lake.silver_dates):  # nothing written yet
+        return set()
+    rows = spark.read.schema("event_date date, dt date").parquet(lake.silver_dates).distinct().collect()
+    return {(str(r["dt"]), str(r["event_date"])) for r in rows}
 
-def refresh_gold(spark: SparkSession, lake: Lake, dts: list[str]) -> list[str]:
-    """Recompute both marts for every event date touched by ``dts``; returns those dates.
 
-    Silver of the holder dts is scanned with partition pruning, deduplicated
+def _ids(spark: SparkSession, lake: Lake, dts: list[str]) -> DataFrame | None:
+    """Event ids that written silver holds for some arrival days; None without silver."""
+    if not dts or not table_exists(spark, lake.silver) or not {d for d, _ in date_pairs(spark, lake)} & set(dts):
+        return None
+    return spark.read.parquet(lake.silver).where(_in_dates("dt", dts)).select("event_id")
+
+
+def note_moved(spark: SparkSession, lake: Lake, ids: DataFrame) -> list[str]:
+    """Find the events among ``ids`` whose copies carry different event dates; returns all their dates.
+
+    One semi join over two narrow columns of silver. The rows found are appended
+    to ``moved``, where repeats do no harm.
+    """
+    copies = read_table(spark, lake.silver, "silver").select("event_id", "event_date", "dt").join(ids.distinct(), "event_id", "left_semi")
+    spread = copies.groupBy("event_id").agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).where("lo <> hi")
+    found = Observation("moved")
+    rows = copies.join(spread.select("event_id"), "event_id").observe(found, F.collect_set("event_date").alias("dates"))
+    rows.write.mode("append").parquet(lake.moved)
+    return sorted(str(d) for d in (found.get.get("dates") or []))
+
+
+def refresh_gold(spark: SparkSession, lake: Lake, dts: list[str], before: set[tuple[str, str]] | None = None, old_ids: DataFrame | None = None) -> list[str]:
+    """Recompute both marts for every event date that ``dts`` touch or touched; returns those dates.
+
+    ``before`` are the date pairs and ``old_ids`` the event ids of these days
+    before they were written anew (none for a first write). Silver of the days
+    that hold a touched date is scanned with partition pruning, deduplicated
     across partitions (W3), aggregated once at the union of both grains, and
-    rolled up into the two marts — one shuffle of silver for both.
+    rolled up into the two marts. Touched dates that end without rows lose
+    their gold partitions.
     """
     configure(spark)
-    touched, holders = touched_scope(spark, lake, dts)
+    pairs = date_pairs(spark, lake)
+    changed = set(dts)
+    touched = {e for d, e in pairs | (before or set()) if d in changed}
+    ids = _ids(spark, lake, dts)
+    if old_ids is not None:
+        ids = old_ids if ids is None else ids.union(old_ids)
+    if ids is not None and pairs:
+        touched |= set(note_moved(spark, lake, ids))
     if not touched:
         return []
-    scope = read_table(spark, lake.silver, "silver").where(_in_dates("dt", holders))
-    w3 = silver.dedup_window(scope, by=("event_id",)).where(_in_dates("event_date", touched))
-    fine = gold.grain_counts(w3, gold.FINE_KEYS).persist()
-    try:
-        camp = gold.campaign_daily_from_counts(fine)
-        pods = gold.pod_fill_from_counts(fine)
-        (
-            camp.sortWithinPartitions("campaign_id", "market")  # clustering hint of the design notes
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(lake.campaign_daily)
-        )
-        (
-            pods.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(lake.pod_fill)
-        )
-    finally:
-        fine.unpersist()
-    return touched
+    dates = sorted(touched)
+    holders = sorted({d for d, e in pairs if e in touched})
+    if not holders:
+        for table in (lake.campaign_daily, lake.pod_fill):
+            for gone in dates:
+                drop_partition(spark, table, "event_date", gone)
+        return dates
+    every = read_table(spark, lake.silver, "silver")
+    scope = every.where(_in_dates("dt", holders))
+    if table_exists(spark, lake.moved):
+        # copies of moved events on other days take part in the dedup, wherever they are
+        moved = spark.read.parquet(lake.moved)
+        away = [d for d in _dates(moved, "dt") if d not in holders]
+        if away:
+            rest = every.where(_in_dates("dt", away)).join(moved.select("event_id").distinct(), "event_id", "left_semi")
+            scope = scope.unionByName(rest.select(*scope.columns))
+    w3 = silver.dedup_window(scope, by=("event_id",)).where(_in_dates("event_date", dates))
+    fine_path = scratch_path(spark, "fine-counts")
+    gold.grain_counts(w3, gold.FINE_KEYS).write.parquet(fine_path)
+    fine = spark.read.parquet(fine_path)
+    made = Observation("gold")
+    camp = gold.campaign_daily_from_counts(fine).observe(made, F.collect_set("event_date").alias("dates"))
+    write_gold(camp, lake.campaign_daily, "campaign_id", "market")
+    write_gold(gold.pod_fill_from_counts(fine), lake.pod_fill, "pod_id", "content_id")
+    left = {str(d) for d in (made.get.get("dates") or [])}
+    for gone in sorted(touched - left):
+        drop_partition(spark, lake.campaign_daily, "event_date", gone)
+        drop_partition(spark, lake.pod_fill, "event_date", gone)
+    drop_folder(spark, fine_path)
+    return dates
+
+
+def write_gold(mart: DataFrame, path: str, *order: str, mode: str = "dynamic") -> None:
+    """Replace the mart's event dates: a few files per day, each in ``order``.
+
+    Rows are dealt by date and a salt over the ordering keys, so a day's size
+    sets no single task's load and the number of files does not follow the
+    number of shuffle partitions. The sort starts with the partition column, as
+    the writer asks for, so the rest of the order survives.
+    """
+    salt = F.pmod(F.xxhash64(*order), F.lit(GOLD_FILES_PER_DAY))
+    (
+        mart.repartition("event_date", salt)
+        .sortWithinPartitions("event_date", *order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
+        .partitionBy("event_date")
+        .parquet(path)
+    )
 
 
 # --- flows (G3, G4) ------------------------------------------------------------------
 
 
+def _stored_ids(spark: SparkSession, lake: Lake, dts: list[str]) -> DataFrame | None:
+    """The ids of days about to be rewritten, copied to a table of their own first."""
+    held = {d for d, _ in date_pairs(spark, lake)}
+    ids = _ids(spark, lake, [d for d in dts if d in held])
+    if ids is None:
+        return None
+    path = scratch_path(spark, "old-ids")
+    ids.write.parquet(path)
+    return spark.read.schema("event_id string").parquet(path)
+
+
 def run_day(spark: SparkSession, lake: Lake, rows: DataFrame, ds: str, gate: bool = True) -> list[str]:
-    """G3 for one arrival day: silver(dt=ds) -> gold for touched dates -> gate."""
+    """G3 for one arrival day: silver(dt=ds) -> gold for touched dates -> gate.
+
+    A day without input rows raises ``ValueError`` before anything is written."""
     day_rows = rows.where(F.col("dt") == F.lit(ds).cast("date"))
-    dts = write_silver(spark, lake, day_rows) or [ds]
-    touched = refresh_gold(spark, lake, dts)
+    if day_rows.isEmpty():  # a missing delivery must not pass for a day that was run
+        raise ValueError(f"no input rows for {ds}")
+    before, old = date_pairs(spark, lake), _stored_ids(spark, lake, [ds])
+    touched = refresh_gold(spark, lake, write_silver(spark, lake, day_rows), before, old)
     if gate:
         report = gate_report(spark, lake, [ds])
         quality.enforce(report, ds)
@@ -273,14 +361,19 @@ def run_range(
         scoped = scoped.where(F.col("dt") >= F.lit(start).cast("date"))
     if end:
         scoped = scoped.where(F.col("dt") <= F.lit(end).cast("date"))
+    if scoped.isEmpty():
+        raise ValueError(f"no input rows from {start} to {end}")
+    before = date_pairs(spark, lake)
+    held = sorted({d for d, _ in before if (not start or d >= start) and (not end or d <= end)})
+    old = _stored_ids(spark, lake, held)
     if not chunk_days:
-        return refresh_gold(spark, lake, write_silver(spark, lake, scoped))
+        return refresh_gold(spark, lake, write_silver(spark, lake, scoped), before, old)
     days = _dates(scoped, "dt")
     written: list[str] = []
     for i in range(0, len(days), chunk_days):
         part = days[i : i + chunk_days]
         written += write_silver(spark, lake, scoped.where(_in_dates("dt", part)))
-    return refresh_gold(spark, lake, written)
+    return refresh_gold(spark, lake, written, before, old)
 
 
 def gate_report(spark: SparkSession, lake: Lake, dts: list[str] | None = None) -> DataFrame:
@@ -291,8 +384,7 @@ def gate_report(spark: SparkSession, lake: Lake, dts: list[str] | None = None) -
         s = s.where(_in_dates("dt", dts))
         if mart is not None:
             mart = mart.where(_in_dates("event_date", dts))
-    report = quality.gate_report(s, mart)
-    return report.where(_in_dates("ds", dts)) if dts else report
+    return quality.gate_report(s, mart, dts)
 
 
 def latest_partition(spark: SparkSession, path: str, col: str = "dt") -> DataFrame:

@@ -10,10 +10,10 @@ EVENT_TYPES_SQL = "('ad_request','ad_impression','ad_click','ad_quartile','ad_er
 
 
 def hu(num: str, den: str, scale: int) -> str:
-    """round(num / den, scale) half-up on the exact ratio of integers (num >= 0, den > 0)."""
-    k = 10**scale
-    n, d = f"CAST({num} AS BIGINT)", f"CAST({den} AS BIGINT)"
-    return f"CAST(({n} * {2 * k} + {d}) // ({d} * 2) AS DOUBLE) / {k}"
+    """round(num / den, scale), halves away from zero, from the exact quotient and remainder (den > 0)."""
+    n, d = f"(abs(CAST({num} AS HUGEINT)) * {10**scale})", f"CAST({den} AS HUGEINT)"
+    up = f"CASE WHEN ({n} % {d}) >= {d} - ({n} % {d}) THEN 1 ELSE 0 END"
+    return f"CAST(sign({num}) * ({n} // {d} + {up}) AS DOUBLE) / {10**scale}"
 
 
 def rate(num: str, den: str, scale: int = 6) -> str:
@@ -304,12 +304,18 @@ lines AS (
 FROM lines GROUP BY dt""",
     )
     ORACLE["quarantine_rows"] = _with(cte, "SELECT e, raw, error, dt FROM lines WHERE status = 'bad'")
+    ORACLE["land_written"] = _with(
+        cte,
+        """SELECT dt, 'drop-' || CAST(e % 4 AS VARCHAR) AS src, status, error, raw FROM lines
+WHERE NOT (e % 4 = 1 AND status = 'bad')""",
+    )
     ORACLE["stream_landing"] = _with(cte, "SELECT dt, status, error, raw FROM lines")
     ORACLE["drop_records"] = _with(
         cte,
         """SELECT json_extract_string(raw, '$.event_id') AS event_id, json_extract_string(raw, '$.market') AS market,
-  json_extract_string(raw, '$.event_type') AS event_type
-FROM lines WHERE error IS DISTINCT FROM 'V1'""",
+  json_extract_string(raw, '$.event_type') AS event_type, CAST(NULL AS VARCHAR) AS rejected
+FROM lines WHERE error IS DISTINCT FROM 'V1'
+UNION ALL SELECT NULL, NULL, NULL, raw FROM lines WHERE error = 'V1'""",
     )
 
 
@@ -319,21 +325,7 @@ _landing_oracle()
 # ---------------------------------------------------------------------------
 # Reads, reports, analysis questions, publishing, quality
 # ---------------------------------------------------------------------------
-MARTS_CTE = CAMPAIGN_DAILY_CTE + """,
-pod_base AS (
-  SELECT event_date, pod_id, break_type, content_id, platform, market,
-    CAST(count_if(event_type = 'ad_request') AS BIGINT) AS requests,
-    CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions,
-    CAST(count_if(event_type = 'ad_error') AS BIGINT) AS errors
-  FROM silver
-  GROUP BY 1, 2, 3, 4, 5, 6
-),
-pod_fill AS (
-  SELECT *,
-    CASE WHEN impressions > 0 THEN 1 ELSE 0 END AS filled,
-    """ + rate("impressions", "requests") + """ AS pod_fill_rate
-  FROM pod_base
-)"""
+MARTS_CTE = CAMPAIGN_DAILY_CTE + POD_FILL_CTE.removeprefix(GOLD_SILVER)
 
 CAMPAIGN_ORDER = (
     "event_date DESC NULLS LAST, revenue_micros DESC NULLS LAST, campaign_id ASC NULLS FIRST, "
@@ -445,8 +437,8 @@ FROM slots_j GROUP BY event_date""",
 )
 ORACLE["publish_payload"] = _with(
     GOLD_SILVER,
-    """SELECT event_id AS key, event_id, event_type, event_ts, campaign_id, quartile, clearing_price_micros, is_late
-FROM silver""",
+    """SELECT event_id AS key, event_id, event_type, event_ts, campaign_id, quartile, clearing_price_micros, is_late,
+  19 AS n_keys FROM silver""",
 )
 
 GATE_CTE = (
@@ -493,25 +485,25 @@ day AS (
 ),
 checks AS (
   SELECT ds, 1 AS check_no, 'silver_exists' AS "check", 'error' AS severity, CAST(n AS DOUBLE) AS observed,
-    '>= 1' AS threshold, n > 0 AS passed, 'gate: no silver for dt=' || CAST(ds AS VARCHAR) AS msg FROM day
+    '>= 1' AS threshold, n > 0 AS passed, 'no silver rows arrived on ' || CAST(ds AS VARCHAR) AS msg FROM day
   UNION ALL SELECT ds, 2, 'silver_min_rows', 'error', n, '>= 50', n >= 50,
-    'gate: silver too small (' || CAST(n AS VARCHAR) || ' rows) for dt=' || CAST(ds AS VARCHAR) FROM day
-  UNION ALL SELECT ds, 3, 'requests_present', 'error', req, '> 0', req > 0, 'gate: zero ad_request rows' FROM day
+    'only ' || CAST(n AS VARCHAR) || ' silver rows arrived on ' || CAST(ds AS VARCHAR) FROM day
+  UNION ALL SELECT ds, 3, 'requests_present', 'error', req, '> 0', req > 0, 'day holds no ad requests' FROM day
   UNION ALL SELECT ds, 4, 'impressions_vs_requests', 'error', imp, '<= requests * 1.15', imp <= req * 1.15,
-    'gate: impressions (' || CAST(imp AS VARCHAR) || ') >> requests (' || CAST(req AS VARCHAR) || ')' FROM day
+    CAST(imp AS VARCHAR) || ' impressions against ' || CAST(req AS VARCHAR) || ' requests' FROM day
   UNION ALL SELECT ds, 5, 'gold_rows_for_day', 'error', g, '> 0', g > 0,
-    'gate: no gold campaign rows for ' || CAST(ds AS VARCHAR) FROM day
-  UNION ALL SELECT ds, 6, 'no_negative_revenue', 'error', neg, '= 0', neg = 0, 'gate: negative revenue_micros'
+    'campaign mart has no rows dated ' || CAST(ds AS VARCHAR) FROM day
+  UNION ALL SELECT ds, 6, 'no_negative_revenue', 'error', neg, '= 0', neg = 0, 'campaign mart holds negative revenue'
     FROM day
   UNION ALL SELECT ds, 7, 'mean_fill_rate_band', 'error', fill, '[0.2, 0.99]',
-    fill IS NULL OR (fill BETWEEN 0.2 AND 0.99), 'gate: suspicious mean fill_rate=' || """
+    fill IS NULL OR (fill BETWEEN 0.2 AND 0.99), 'mean fill rate out of bounds: ' || """
     + num_sql("fill", 3)
     + """ FROM day
   UNION ALL SELECT ds, 12, 'mean_fill_rate_soft_band', 'warn', fill, '[0.55, 0.95]',
     fill IS NULL OR (fill BETWEEN 0.55 AND 0.95),
-    'gate: mean fill_rate=' || """
+    'mean fill rate ' || """
     + num_sql("fill", 3)
-    + """ || ' outside the usual band' FROM day
+    + """ || ' lies outside the usual band' FROM day
 )"""
 )
 ORACLE["gate_report"] = _with(
@@ -557,6 +549,30 @@ ORACLE["staging_projection"] = _with(silver_cte("dt, event_id"), f"SELECT {SILVE
 ORACLE["latest_partition"] = _with(silver_cte("dt, event_id"), "SELECT max(dt) AS latest_dt FROM silver")
 ORACLE["gold_replace_day"] = ORACLE["campaign_daily"]
 ORACLE["gold_refresh_touched"] = ORACLE["pod_fill"]
+# the newest arrival day delivered again with corrections
+ORACLE["gold_corrected_day"] = ORACLE["campaign_daily"].replace(
+    "beacons AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0)",
+    """b1 AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0),
+b2 AS (SELECT *, dt = (SELECT max(dt) FROM b1) AS newest FROM b1),
+beacons AS (
+  SELECT * EXCLUDE (newest) REPLACE (
+    clearing_price_micros + CASE WHEN newest THEN 700 ELSE 0 END AS clearing_price_micros,
+    CASE WHEN newest AND CAST(regexp_extract(event_id, '([0-9]+)$', 1) AS BIGINT) % 40 = 0
+         THEN event_ts - INTERVAL 1 DAY ELSE event_ts END AS event_ts)
+  FROM b2 WHERE NOT (newest AND is_late)
+)""",
+)
+_VERDICTS = """SELECT ds, bool_and(passed) AS passed, arg_min(CASE WHEN NOT passed THEN msg END,
+  CASE WHEN NOT passed THEN check_no END) AS message
+FROM checks WHERE severity = 'error' GROUP BY ds"""
+ORACLE["day_flow_gate"] = _with(
+    GATE_CTE.replace(
+        "FROM s_day FULL JOIN g_day ON s_day.ds = g_day.ds",
+        "FROM (SELECT DISTINCT dt AS ds FROM silver_dt UNION SELECT CAST(max(dt) + INTERVAL 7 DAY AS DATE) FROM silver_dt) w"
+        " LEFT JOIN s_day ON s_day.ds = w.ds LEFT JOIN g_day ON g_day.ds = w.ds",
+    ).replace("SELECT coalesce(s_day.ds, g_day.ds) AS ds", "SELECT w.ds AS ds"),
+    _VERDICTS,
+)
 
 # streaming: the same rows as the batch rules
 ORACLE["stream_dedup_lww"] = _with(
@@ -570,10 +586,7 @@ ORACLE["stream_daily_counts"] = _with(
   CAST(count_if(event_type = 'ad_click') AS BIGINT) AS clicks,
   CAST(count_if(event_type = 'ad_error') AS BIGINT) AS errors,
   CAST(count_if(event_type = 'ad_quartile' AND quartile = 100) AS BIGINT) AS completions
-FROM silver
-WHERE CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY
-      <= (SELECT max(event_ts) FROM silver) - INTERVAL 36 HOUR
-GROUP BY 1, 2, 3, 4, 5""",
+FROM silver GROUP BY 1, 2, 3, 4, 5""",
 )
 
 ORACLE["silver_sql"] = _with(GOLD_SILVER, f"SELECT {SILVER_COLS} FROM silver")

@@ -14,24 +14,8 @@ from slotwise.functions.contract import BEACON_SCHEMA
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one provided table.
-
-    A table stored as one small file scans as a single split, which would put
-    everything before the first shuffle into one task. Only then is it spread
-    round-robin over the session's parallelism; a large table (many splits)
-    is scanned as is, with no extra exchange.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(spark, df)
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    try:
-        splits = df.rdd.getNumPartitions()  # file splits, computed from metadata (no job)
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """Scan one provided table; its files and the session's split size decide the partitions."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The mapping is written as SQL expression text: it is parsed once on the JVM

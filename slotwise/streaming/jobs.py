@@ -6,7 +6,7 @@ their progress in a checkpoint under the shared folder, and run as repeated
 ``availableNow`` triggers — a scheduled incremental job that processes what
 has arrived since the last run, then stops.
 
-* ST1 ``landing_stream``: raw lines -> contract rules -> append to ``landed``.
+* ST1 ``landing_stream``: raw lines -> contract rules -> the batch landing's write.
 * ST2 lateness: ``ingest_ts - event_ts`` beyond the accepted window is a row
   flag (``too_late``), kept and counted — a watermark alone only bounds state.
 * ST3 ``repair_stream``: last write wins. Built-in streaming dedup keeps the
@@ -15,10 +15,8 @@ has arrived since the last run, then stops.
   own partitions — and (2) rebuilds the silver partitions of the event dates it
   touched from all raw rows of those dates with the batch dedup (W1). Both
   steps recompute rather than add, so a replay is harmless.
-* ST4 ``daily_counts_stream``: watermark -> ``dropDuplicatesWithinWatermark``
-  -> one-day windows per campaign grain, append mode: a day is emitted once the
-  watermark passes its end, and never changes afterwards. Counts only (every
-  copy of an event has the same type and keys); revenue needs ST3.
+* ST4 ``daily_counts_stream``: day counts per campaign grain, rebuilt the same way for
+  the dates a batch touches, so every day is present and late rows correct it.
 """
 
 from __future__ import annotations
@@ -30,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.functions.contract import BEACON_SCHEMA, LATE_WINDOW_HOURS, SILVER_COLUMNS
 from slotwise.operators import landing, silver
+from slotwise.plans.flow import drop_partition
 from slotwise.session import configure
 
 DT_FROM_PATH = r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})"
@@ -48,21 +47,28 @@ def _run(query: StreamingQuery) -> StreamingQuery:
 
 
 def landing_stream(spark: SparkSession, drops: str, landed_path: str, checkpoint: str) -> StreamingQuery:
-    """Validate every newly arrived drop line and append it to ``landed`` (one run)."""
+    """Validate every newly arrived drop line and write it to ``landed`` (one run).
+
+    Each micro-batch goes through the batch landing's own write: partitions
+    ``(dt, src)``, overwritten as a whole. Batch and stream can fill one table,
+    a re-landed drop replaces its rows, and a replayed batch changes nothing.
+    """
     configure(spark)
     lines = spark.readStream.text(drops).select(
         F.col("value"),
         F.regexp_extract(F.col("_metadata.file_path"), DT_FROM_PATH, 1).cast("date").alias("dt"),
         F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("src"),
     )
-    landed = landing.classify(lines, landed_at=F.date_format(F.current_timestamp(), landing.TS_TEXT))
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        landed = landing.classify(batch, landed_at=F.date_format(F.current_timestamp(), landing.TS_TEXT))
+        landing.replace_drops(landed, landed_path)
+
     query = (
-        landed.writeStream.format("parquet")
+        lines.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("dt")
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(landed_path)
+        .start()
     )
     return _run(query)
 
@@ -81,32 +87,65 @@ def too_late(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.parquet(raw_path).where(F.col("too_late"))
 
 
+def _receive(spark: SparkSession, raw_path: str, batch: DataFrame, batch_id: int) -> list[str]:
+    """Write a batch to ``raw`` (``event_date, batch_id``); returns every event date it can change.
+
+    These are the batch's own dates and the dates of other copies of its events:
+    a copy under another date competes with them. The ids of such events are
+    appended to ``<raw>_moved``.
+    """
+    typed = lateness(silver.conform(batch))
+    seen = Observation(f"batch_{batch_id}")
+    (
+        typed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .observe(seen, F.collect_set("event_date").alias("dates"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch_id")
+        .parquet(raw_path)
+    )
+    own = {str(d) for d in (seen.get.get("dates") or []) if d is not None}
+    if not own:
+        return []
+    raw = spark.read.parquet(raw_path)
+    ids = raw.where(F.col("batch_id") == batch_id).select("event_id").distinct()
+    copies = raw.select("event_id", "event_date").join(ids, "event_id", "left_semi").distinct()
+    twice = copies.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("event_id")
+    moved = Observation(f"moved_{batch_id}")
+    found = copies.join(twice, "event_id").observe(moved, F.collect_set("event_date").alias("dates"))
+    found.write.mode("append").parquet(f"{raw_path}_moved")
+    return sorted(own | {str(d) for d in (moved.get.get("dates") or [])})
+
+
+def _current(spark: SparkSession, raw_path: str, dates: list[str]) -> DataFrame:
+    """The winning copies whose event date is one of ``dates``, out of all copies received."""
+    wanted = F.col("event_date").isin([F.lit(d).cast("date") for d in dates])
+    raw = spark.read.parquet(raw_path)
+    moved = spark.read.schema("event_id string, event_date date").parquet(f"{raw_path}_moved").select("event_id").distinct()
+    scope = raw.where(wanted).unionByName(raw.where(~wanted).join(moved, "event_id", "left_semi").select(*raw.columns))
+    best = silver.keep_contract_types(silver.dedup_window(scope, by=("event_id",)))
+    return best.where(wanted)
+
+
+def _replace_dates(spark: SparkSession, rows: DataFrame, path: str, dates: list[str]) -> None:
+    """Overwrite the partitions of ``dates``; a date left without rows loses its partition."""
+    made = Observation("dates")
+    (
+        rows.observe(made, F.collect_set("event_date").alias("dates"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+    for gone in sorted(set(dates) - {str(d) for d in (made.get.get("dates") or [])}):
+        drop_partition(spark, path, "event_date", gone)
+
+
 def _rebuild(spark: SparkSession, raw_path: str, silver_path: str):
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = lateness(silver.conform(batch))
-        seen = Observation(f"batch_{batch_id}")
-        (
-            typed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .observe(seen, F.collect_set("event_date").alias("dates"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch_id")
-            .parquet(raw_path)
-        )
-        # the event dates this batch touched, gathered on the raw write itself
-        touched = sorted(str(d) for d in (seen.get.get("dates") or []) if d is not None)
-        if not touched:
-            return
-        dates = [F.lit(d).cast("date") for d in touched]
-        raw = spark.read.parquet(raw_path).where(F.col("event_date").isin(dates))
-        best = silver.keep_contract_types(silver.dedup_window(raw, by=("event_id",)))
-        (
-            best.select(*SILVER_COLUMNS, "too_late")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(silver_path)
-        )
+        dates = _receive(spark, raw_path, batch, batch_id)
+        if dates:
+            _replace_dates(spark, _current(spark, raw_path, dates).select(*SILVER_COLUMNS, "too_late"), silver_path, dates)
 
     return each_batch
 
@@ -127,44 +166,35 @@ def repair_stream(spark: SparkSession, bronze: str, raw_path: str, silver_path:
 # --- ST4 -------------------------------------------------------------------------------
 
 
-def daily_counts(stream: DataFrame, lateness_hours: int = LATE_WINDOW_HOURS) -> DataFrame:
-    """Windowed counts per campaign grain; duplicates counted once."""
-    keyed = stream.withWatermark("event_ts", f"{int(lateness_hours)} hours").dropDuplicatesWithinWatermark(["event_id"])
+def daily_counts(rows: DataFrame) -> DataFrame:
+    """Counts per event date and campaign grain of deduplicated rows."""
     is_type = lambda t: F.col("event_type") == t
-    agg = keyed.groupBy(
-        F.window("event_ts", "1 day").alias("day"), "campaign_id", "market", "platform", "break_type"
-    ).agg(
+    return rows.groupBy("event_date", "campaign_id", "market", "platform", "break_type").agg(
         F.count_if(is_type("ad_request")).alias("requests"),
         F.count_if(is_type("ad_impression")).alias("impressions"),
         F.count_if(is_type("ad_click")).alias("clicks"),
         F.count_if(is_type("ad_error")).alias("errors"),
         F.count_if(is_type("ad_quartile") & (F.col("quartile") == 100)).alias("completions"),
     )
-    return agg.select(
-        F.to_date(F.col("day.start")).alias("event_date"),
-        "campaign_id",
-        "market",
-        "platform",
-        "break_type",
-        "requests",
-        "impressions",
-        "clicks",
-        "errors",
-        "completions",
-    )
 
 
-def daily_counts_stream(spark: SparkSession, bronze: str, out_path: str, checkpoint: str) -> StreamingQuery:
-    """ST4 (one run): finalised day counts appended as the watermark passes each day."""
+def daily_counts_stream(spark: SparkSession, bronze: str, raw_path: str, out_path: str, checkpoint: str) -> StreamingQuery:
+    """ST4 (one run): day counts kept current; every touched day is counted anew from all its rows.
+
+    Nothing is dropped for lateness and no day waits for a watermark: a late row
+    recomputes its day. The partial aggregates and the dedup's partial group limit
+    run before each shuffle, so a hot event or campaign does not meet in one task.
+    """
     configure(spark)
     stream = spark.readStream.schema(ARRIVAL_SCHEMA).parquet(bronze)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        dates = _receive(spark, raw_path, batch, batch_id)
+        if dates:
+            _replace_dates(spark, daily_counts(_current(spark, raw_path, dates)), out_path, dates)
+
     query = (
-        daily_counts(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(out_path)
+        stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     return _run(query)
 
