@@ -44,6 +44,8 @@ DENSE = 0.5
 MAYBE = THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / COORDS) ** 0.5
 #: Nodes and shingles of a block in the exact comparison (sizes of work, not limits).
 BLOCK_NODES, BLOCK_SHINGLES = 200, 400_000
+#: Most candidate nodes that are broadcast to fetch their texts (8 MB).
+BROADCAST_MEMBERS = 200_000
 CACHE_WORDS = 300_000
 
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -198,6 +200,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
         made = stored(_buckets(rows, root), f"jaccard-level{level}")
         sizes = made.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("within").alias("within")).where("size > 1")
         sizes = stored(sizes, "jaccard-sizes")
+        if root:  # from here on only nodes that share a bucket matter, so only their sketches move again
+            live = made.join(sizes.select("bucket"), "bucket").select("node").distinct()
+            nodes = stored(nodes.join(live, "node"), "jaccard-live")
         # buckets over LEAF nodes that did not lose half: their nodes stay together
         dense = F.col("size") >= F.lit(DENSE) * F.col("within")
         small = made.join(sizes.where(F.col("size") <= LEAF).select("bucket"), "bucket")
@@ -303,9 +308,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = stored(_signatures(texts), "jaccard-signatures")
     known = seen.where("node is not null")
     copies = copies_of(seen)
-    # one row per node carries its sketch: that of its smallest id, once
-    nodes = known.join(copies.select("node", "id"), ["node", "id"]).dropDuplicates(["node"]).select("node", "sketch")
-    nodes = stored(nodes, "jaccard-nodes")
+    nodes = stored(known.select("node", "sketch").dropDuplicates(["node"]), "jaccard-nodes")  # equal nodes, equal sketches
     near = components(candidates(nodes), "jaccard-candidates").withColumnRenamed("id", "node")
 
     sizes = known.select("node", "n_shingles").dropDuplicates(["node"])
@@ -313,7 +316,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     load = member.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK_NODES)), F.ceil(F.col("s") / F.lit(BLOCK_SHINGLES)))
     member = stored(member.join(load.select("component", blocks.alias("blocks")), "component"), "jaccard-members")
-    rows = texts.join(member.select("id", "node", "component", "blocks", "weight"), "id")
+    wanted = member.select("id", "node", "component", "blocks", "weight")
+    if member.count() <= BROADCAST_MEMBERS:  # five numbers a row; with more, texts are joined by a shuffle
+        wanted = F.broadcast(wanted)
+    rows = texts.join(wanted, "id")
     sets = _sets(rows.select("id", "text", "node", "component", "blocks", "weight")).dropDuplicates(["node"])
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     paired = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
