@@ -311,8 +311,8 @@ def gold_replace_day(spark, sf_dir):
 
 
 def _corrected(rows):
-    """The newest arrival day delivered again: late copies withdrawn, prices raised, every 40th slot moved back a day."""
-    last = rows.agg(F.max("dt")).first()[0]
+    """The newest arrival day that holds more than late copies, delivered again: late copies withdrawn, prices raised, every 40th slot moved back a day."""
+    last = rows.where(~F.col("is_late")).agg(F.max("dt")).first()[0]
     hit = F.col("dt") == F.lit(last)
     slot = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("bigint")
     fixed = rows.where(~(hit & F.col("is_late"))).withColumns(

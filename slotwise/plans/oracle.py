@@ -549,11 +549,11 @@ ORACLE["staging_projection"] = _with(silver_cte("dt, event_id"), f"SELECT {SILVE
 ORACLE["latest_partition"] = _with(silver_cte("dt, event_id"), "SELECT max(dt) AS latest_dt FROM silver")
 ORACLE["gold_replace_day"] = ORACLE["campaign_daily"]
 ORACLE["gold_refresh_touched"] = ORACLE["pod_fill"]
-# the newest arrival day delivered again with corrections
+# the newest arrival day with more than late copies, delivered again with corrections
 ORACLE["gold_corrected_day"] = ORACLE["campaign_daily"].replace(
     "beacons AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0)",
     """b1 AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0),
-b2 AS (SELECT *, dt = (SELECT max(dt) FROM b1) AS newest FROM b1),
+b2 AS (SELECT *, dt = (SELECT max(dt) FROM b1 WHERE NOT is_late) AS newest FROM b1),
 beacons AS (
   SELECT * EXCLUDE (newest) REPLACE (
     clearing_price_micros + CASE WHEN newest THEN 700 ELSE 0 END AS clearing_price_micros,
