@@ -14,8 +14,13 @@ from slotwise.functions.contract import BEACON_SCHEMA
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one provided table; its files and the session's split size decide the partitions."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one provided table, dealt over the session's shuffle partitions.
+
+    The provided tables have one row group, so no split size spreads them; the
+    same exchange runs at every size.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # The mapping is written as SQL expression text: it is parsed once on the JVM
