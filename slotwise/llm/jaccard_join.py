@@ -5,6 +5,8 @@ punctuation read as space). Texts with equal words are one *node* and are never
 
 1. Each node gets a sketch of ``COORDS`` minimum hashes: a set of that many
    tokens (coordinate, value), of which two sets share about their Jaccard part.
+   Only the low ``SKETCH_BITS`` of a value travel (b-bit minwise hashing): equal
+   values stay equal, and unequal ones meet by chance once in 65,536.
 2. Chosen paths: the root samples ``ROOTS`` coordinates and puts every node into
    the bucket of its token at each; the runs of the method are these independent
    samples. A bucket that is too large samples ``FAN`` more coordinates, the same
@@ -36,6 +38,7 @@ from slotwise.llm.graph import components, copies_of, linked_rows
 WORDS = 5
 THRESHOLD = 0.8
 COORDS = 128
+SKETCH_BITS = 16
 ROOTS = 10
 FAN = 2
 LEAF = 128
@@ -96,6 +99,10 @@ _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(1, 1 << 63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+#: Coordinates that the runs sample at the root, distinct for the runs.
+_ROOT_COORDS = (np.arange(ROOTS) * COORDS) // ROOTS
+
+
 def sketch(sets: np.ndarray) -> np.ndarray:
     """``COORDS`` minimum hashes (upper halves of multiplied, scrambled shingles)."""
     out = np.full(COORDS, 0xFFFFFFFF, np.uint64)
@@ -105,6 +112,12 @@ def sketch(sets: np.ndarray) -> np.ndarray:
     return out.astype("<u4")
 
 
+def _root_buckets(minima: np.ndarray) -> np.ndarray:
+    """The node's bucket in every run, from the whole values at the root coordinates."""
+    run = mix(np.arange(1000, 1000 + ROOTS, dtype=np.uint64))
+    return mix(run ^ mix(minima[_ROOT_COORDS].astype(np.uint64) + _ROOT_COORDS.astype(np.uint64) * np.uint64(1 << 33))).view(np.int64)
+
+
 def node_of(words: list[bytes]) -> int | None:
     """The text's words as a signed 64-bit hash; null without words."""
     if not words:
@@ -113,32 +126,35 @@ def node_of(words: list[bytes]) -> int | None:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """``id, node, n_shingles, sketch`` of every row; ``node`` null without words or without an id."""
+    """``id, node, n_shingles, sketch, roots`` of every row; ``node`` null without words or without an id."""
 
     def run(batches):
         for batch in batches:
-            rows = [], [], [], []
+            rows = [], [], [], [], []
             for i in range(batch.num_rows):
                 words = words_of(batch.column(1)[i].as_py())
                 id_ = batch.column(0)[i].as_py()
                 node = None if id_ is None else node_of(words)
-                found = shingles(words) if node is not None else None
-                for column, value in zip(rows, (id_, node, 0 if found is None else len(found), None if found is None else sketch(found).tobytes())):
+                values = id_, node, 0, None, None
+                if node is not None:
+                    found = shingles(words)
+                    minima = sketch(found)
+                    values = id_, node, len(found), minima.astype("<u2").tobytes(), _root_buckets(minima)
+                for column, value in zip(rows, values):
                     column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names=["id", "node", "n_shingles", "sketch"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names=["id", "node", "n_shingles", "sketch", "roots"])
 
-    return docs.mapInArrow(run, "id long, node long, n_shingles long, sketch binary")
+    return docs.mapInArrow(run, "id long, node long, n_shingles long, sketch binary, roots array<long>")
 
 
-def _buckets(rows: DataFrame, root: bool) -> DataFrame:
+def _buckets(rows: DataFrame) -> DataFrame:
     """``bucket, node, within`` one level further down the paths.
 
     Input ``bucket, node, within, sketch``: the bucket's hash chooses the
     coordinates, so all its nodes choose alike. ``within`` is the size of the
     bucket that is split.
     """
-    picks = ROOTS if root else FAN
 
     def run(batches):
         for batch in batches:
@@ -146,18 +162,15 @@ def _buckets(rows: DataFrame, root: bool) -> DataFrame:
             if not n:
                 continue
             bucket = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            table = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u4").reshape(n, COORDS)
+            table = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u2").reshape(n, COORDS)
             out = []
-            for p in range(picks):
-                if root:  # distinct coordinates for the runs
-                    coord = np.full(n, (p * COORDS) // picks)
-                else:
-                    coord = (mix(bucket + np.uint64(p + 1)) % np.uint64(COORDS)).astype(np.int64)
+            for p in range(FAN):
+                coord = (mix(bucket + np.uint64(p + 1)) % np.uint64(COORDS)).astype(np.int64)
                 value = table[np.arange(n), coord].astype(np.uint64)
                 out.append(mix(mix(bucket + np.uint64(1000 + p)) ^ mix(value + coord.astype(np.uint64) * np.uint64(1 << 33))).view(np.int64))
             node = batch.column(1).to_numpy(zero_copy_only=False)
             within = batch.column(2).to_numpy(zero_copy_only=False)
-            columns = [np.concatenate(out), np.tile(node, picks), np.tile(within, picks)]
+            columns = [np.concatenate(out), np.tile(node, FAN), np.tile(within, FAN)]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["bucket", "node", "within"])
 
     return rows.select("bucket", "node", "within", "sketch").mapInArrow(run, "bucket long, node long, within long")
@@ -168,7 +181,7 @@ def _leaf_edges(leaves: DataFrame) -> DataFrame:
 
     def run(batches):
         for _, nodes, sketches in runs_of(batches, 1):
-            table = np.frombuffer(b"".join(sketches), "<u4").reshape(len(nodes), COORDS)
+            table = np.frombuffer(b"".join(sketches), "<u2").reshape(len(nodes), COORDS)
             a, b = forest(len(nodes), lambda i: (table[i + 1 :] == table[i]).mean(1) >= MAYBE)
             if a:
                 ids = np.array(nodes)
@@ -192,12 +205,14 @@ def forest(n: int, row) -> tuple[list[int], list[int]]:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Candidate edges ``a, b`` among ``node, sketch``: the chosen paths down to small or dense buckets."""
+    """Candidate edges ``a, b`` among ``node, sketch, roots``: the chosen paths down to small or dense buckets."""
     total = nodes.count()
-    rows = nodes.select(F.lit(0).cast("long").alias("bucket"), "node", F.lit(total).cast("long").alias("within"), "sketch")
+    made = nodes.select(F.explode("roots").alias("bucket"), "node", F.lit(total).cast("long").alias("within"))
+    nodes = nodes.select("node", "sketch")
     edges, level, root = None, 0, True
     while True:
-        made = stored(_buckets(rows, root), f"jaccard-level{level}")
+        if not root:
+            made = stored(_buckets(rows), f"jaccard-level{level}")
         sizes = made.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("within").alias("within")).where("size > 1")
         sizes = stored(sizes, "jaccard-sizes")
         if root:  # from here on only nodes that share a bucket matter, so only their sketches move again
@@ -308,7 +323,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = stored(_signatures(texts), "jaccard-signatures")
     known = seen.where("node is not null")
     copies = copies_of(seen)
-    nodes = stored(known.select("node", "sketch").dropDuplicates(["node"]), "jaccard-nodes")  # equal nodes, equal sketches
+    nodes = stored(known.select("node", "sketch", "roots").dropDuplicates(["node"]), "jaccard-nodes")  # equal nodes, equal sketches
     near = components(candidates(nodes), "jaccard-candidates").withColumnRenamed("id", "node")
 
     sizes = known.select("node", "n_shingles").dropDuplicates(["node"])
