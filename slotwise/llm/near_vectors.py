@@ -3,7 +3,8 @@
 Equal vectors of one label are one *node*. Every node keeps a list of its nearest
 neighbours so far.
 
-1. Start: random hyperplanes put the nodes of a label into buckets, several times;
+1. Start: random hyperplanes put the nodes of a label into buckets, so many times
+   that two nodes at ``LINK`` share one with probability ``MEET`` at every size;
    inside a bucket every node takes its nearest others.
 2. Refine: a node's *locals* are the nodes on its list and a sample of those that
    list it. All locals of a node are neighbours of neighbours; each learns of the
@@ -13,9 +14,13 @@ neighbours so far.
 4. Lists that hold nothing but links when the rounds end belong to dense nodes. Links between two
    dense nodes are found exactly, in blocks of all dense nodes of a label; a link
    with any other node is on that node's list.
-5. Audit: a sample of nodes is compared with all nodes of its label. If the share
-   of their links that was found is below ``RECALL``, the search starts again from
-   other hyperplanes and keeps the lists it has.
+5. Audit: a sample of nodes outside the dense set is compared with all nodes of its
+   label, and every one that has links weighs the same. If the mean share of a
+   node's links that was found is below ``RECALL``, the search starts again from
+   other hyperplanes and keeps the lists it has; a sample with fewer than
+   ``AUDIT_LINKED`` linked nodes says little, so two starts are made then. If
+   ``ATTEMPTS`` starts do not reach ``RECALL``, all nodes are linked exactly, in
+   blocks (quadratic in the nodes of a label).
 
 Lists are searched in single precision; links are decided in double precision.
 """
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +43,12 @@ from slotwise.llm.graph import copies_of, linked_rows
 LINK = 0.93
 FIRST, MOST = 8, 64
 BACK = 8  # how many of those that list a node are sampled as locals in a round
-TABLES, BUCKET, SPLIT = 8, 32, 512
+MEET, BUCKET, SPLIT = 0.99, 32, 512
 ROUNDS = 8
 SETTLED = 0.01  # rounds end when fewer than this share of lists changed and none was enlarged
 DENSE_BLOCK = 512
-AUDIT_NODES, RECALL, ATTEMPTS = 200, 0.99, 3
+AUDIT_NODES, AUDIT_MOST, AUDIT_LINKED = 500, 4000, 100  # sampled at first, at most, and linked ones wanted among them
+RECALL, ATTEMPTS = 0.99, 3
 SLACK = 1e-5  # single precision may be off by less
 
 LISTS = "node long, near array<long>, sims array<float>, room int, changed boolean"
@@ -72,19 +79,25 @@ def _matrix(units: list[bytes], kind=np.float32) -> np.ndarray:
     return np.frombuffer(b"".join(units), "<f8").reshape(len(units), -1).astype(kind)
 
 
+def tables(bits: int) -> int:
+    """How many times nodes are put into buckets of ``bits`` hyperplanes, for two at ``LINK`` to meet with probability ``MEET``."""
+    together = (1 - math.acos(LINK) / math.pi) ** bits
+    return 1 if together >= MEET else math.ceil(math.log(1 - MEET) / math.log(1 - together))
+
+
 def _hyperplanes(nodes: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
-    """``bucket, node, unit``: every node in ``TABLES`` buckets of about ``BUCKET`` nodes of its label."""
+    """``bucket, node, unit``: every node in ``tables`` buckets of about ``BUCKET`` nodes of its label."""
 
     def run(batches):
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple, np.ndarray] = {}
         for batch in batches:
             nodes_, units, dims, bits, spaces = (batch.column(i).to_pylist() for i in range(5))
             buckets, owners = [], []
             for i, (node, unit, dim, b, space) in enumerate(zip(nodes_, units, dims, bits, spaces)):
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng([seed, dim]).standard_normal((TABLES, 40, dim))
-                signs = planes[dim][:, :b] @ np.frombuffer(unit, "<f8") > 0
-                for t in range(TABLES):
+                if (dim, b) not in planes:
+                    planes[dim, b] = np.random.default_rng([seed, dim, b]).standard_normal((tables(b), b, dim))
+                signs = planes[dim, b] @ np.frombuffer(unit, "<f8") > 0
+                for t in range(len(signs)):
                     code = int("1" + "".join("01"[int(s)] for s in signs[t]), 2)
                     buckets.append(hash((space, t, code)) & (1 << 63) - 1)
                     owners.append(i)
@@ -269,30 +282,53 @@ def _dense_links(dense: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "node long, links long, a long")
 
 
-def _true_degrees(nodes: DataFrame, sample: list) -> DataFrame:
-    """``node, links`` of at most ``AUDIT_NODES`` sampled nodes, each against all nodes of its label."""
+def _true_degrees(nodes: DataFrame, sample: list) -> dict[int, int]:
+    """How many nodes every sampled node links with, each compared with all nodes of its label."""
     spaces: dict = {}
     for r in sample:
         spaces.setdefault((r["label"], r["dim"]), []).append(r)
-    tables = {k: (np.array([r["node"] for r in v]), _matrix([bytes(r["unit"]) for r in v], float)) for k, v in spaces.items()}
+    known = {k: (np.array([r["node"] for r in v]), _matrix([bytes(r["unit"]) for r in v], float)) for k, v in spaces.items()}
 
     def run(batches):
         for batch in batches:
             out: dict = {}
             groups: dict = {}
-            for label, dim, node, unit, weight in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if (label, dim) in tables:
-                    groups.setdefault((label, dim), ([], [], []))
-                    for column, value in zip(groups[label, dim], (node, unit, weight)):
+            for label, dim, node, unit in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (label, dim) in known:
+                    groups.setdefault((label, dim), ([], []))
+                    for column, value in zip(groups[label, dim], (node, unit)):
                         column.append(value)
-            for key, (ids, units, weight) in groups.items():
-                own, m = tables[key]
-                linked = (_matrix(units, float) @ m.T >= LINK) & (np.array(ids)[:, None] != own[None, :])
-                for q, n in zip(own.tolist(), (np.array(weight) @ linked).tolist()):
-                    out[q] = out.get(q, 0) + n
+            for key, (ids, units) in groups.items():
+                own, m = known[key]
+                for at in range(0, len(ids), DENSE_BLOCK):
+                    part = slice(at, at + DENSE_BLOCK)
+                    linked = (_matrix(units[part], float) @ m.T >= LINK) & (np.array(ids[part])[:, None] != own[None, :])
+                    for q, n in zip(own.tolist(), linked.sum(axis=0).tolist()):
+                        out[q] = out.get(q, 0) + n
             yield pa.record_batch([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["node", "links"])
 
-    return nodes.select("label", "dim", "node", "unit", "weight").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    counts = nodes.select("label", "dim", "node", "unit").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return {r["node"]: r["links"] for r in counts.where("links > 0").collect()}  # bounded by AUDIT_MOST
+
+
+def _audit(nodes: DataFrame, dense: DataFrame, both: DataFrame) -> tuple[float, int, bool]:
+    """Mean share of its links that a linked node outside the dense set found; the linked nodes sampled; whether they suffice.
+
+    ``both`` holds the found links in both directions. Without a linked node in the sample the share is 1.
+    """
+    rest = nodes.join(dense.select("node"), "node", "left_anti")
+    for size in (AUDIT_NODES, AUDIT_MOST):
+        sample = rest.select("label", "dim", "node", "unit").orderBy(F.xxhash64("node"), "node").limit(size).collect()
+        truth = _true_degrees(nodes, sample) if sample else {}
+        enough = len(truth) >= AUDIT_LINKED or len(sample) < size
+        if enough:
+            break
+    if not truth:
+        return 1.0, 0, enough
+    wanted = nodes.sparkSession.createDataFrame(list(truth.items()), "a long, links long")
+    found = both.join(F.broadcast(wanted.select("a")), "a").groupBy("a").agg(F.count(F.lit(1)).alias("found"))  # at most AUDIT_MOST nodes
+    share = F.coalesce("found", F.lit(0)) / F.col("links")
+    return wanted.join(found, "a", "left").agg(F.avg(share)).first()[0], len(truth), enough
 
 
 def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -309,23 +345,23 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     nodes = seen.where("node is not null").dropDuplicates(["node"]).select("node", "label", "dim", "unit")
     nodes = stored(nodes.join(copies.select("node", "weight"), "node"), "vectors-nodes")
     sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT_NODES).collect()  # bounded by AUDIT_NODES
-    truth = {r["node"]: r["links"] for r in _true_degrees(nodes, sample).collect()}
     known = None
     for attempt in range(ATTEMPTS):
         known = neighbour_lists(nodes, sizes, attempt, known)
         full = (F.size("near") >= FIRST) & (F.array_min("sims") >= LINK - SLACK)
         dense = stored(known.where(full).select("node").join(nodes, "node"), "vectors-dense")
         pairs = stored(_listed_links(known, nodes, dense), "vectors-pairs")
-        thick = stored(_dense_links(dense), "vectors-thick")
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        listed = both.join(nodes.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("links"))
-        links = stored(listed.union(thick.select("node", "links")), "vectors-links")
-        found = links.where(F.col("node").isin(list(truth))).groupBy("node").agg(F.sum("links")).collect() if truth else []
-        recall = sum(r[1] for r in found) / max(sum(truth.values()), 1) if sum(truth.values()) else 1.0
-        logging.getLogger(__name__).info("attempt %d: recall of the audit %.4f", attempt, recall)
-        if recall >= RECALL:
+        recall, linked, enough = _audit(nodes, dense, both)
+        logging.getLogger(__name__).info("attempt %d: recall %.4f of %d linked nodes in the audit", attempt, recall, linked)
+        if recall >= RECALL and (enough or attempt):
             break
+    else:
+        logging.getLogger(__name__).warning("recall %.4f after %d attempts: all nodes are linked in blocks", recall, ATTEMPTS)
+        dense, pairs, both = nodes, pairs.limit(0), both.limit(0)
+    thick = stored(_dense_links(dense), "vectors-thick")
+    listed = both.join(nodes.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("links"))
+    links = stored(listed.union(thick.select("node", "links")), "vectors-links")
     edges = pairs.union(thick.where("node <> a").select("a", F.col("node").alias("b")))
     out = linked_rows(seen.select("id", "node"), links, edges, "vectors-classes")
     return out.select(F.col("id").alias(id_col), "n_links", F.col("class_id").alias("component_id"), (F.col("class_id") == F.col("id")).alias("kept"))

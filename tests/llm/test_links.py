@@ -98,3 +98,28 @@ def test_vectors_equal_brute_force(spark):
     found = classes([r[0] for r in rows], links)
     assert got == {i: (found[i], degree[i], found[i] == i) for i in found}
     assert near_vectors.link_vectors(v.limit(0)).count() == 0
+
+
+def test_start_tables_keep_the_chance_to_meet_at_every_size():
+    together = 1 - np.arccos(near_vectors.LINK) / np.pi
+    for bits in range(41):
+        assert 1 - (1 - together**bits) ** near_vectors.tables(bits) >= 0.99 - 1e-9
+
+
+def test_pairs_beside_a_dense_group_are_audited_and_a_failed_search_ends_exactly(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(16)
+    rows = [(i, (centre + 0.02 * rng.standard_normal(16)).tolist(), 1) for i in range(240)]
+    rows += [(i, rng.standard_normal(16).tolist(), 1) for i in range(240, 280)]
+    rows += [(i, (np.array(rows[i - 40][1]) + 0.01 * rng.standard_normal(16)).tolist(), 1) for i in range(280, 320)]
+    search = near_vectors.neighbour_lists
+    # a search that finds the dense group and misses every pair
+    monkeypatch.setattr(near_vectors, "neighbour_lists", lambda *a: search(*a).where("size(near) >= 8 and array_min(sims) >= 0.93"))
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["component_id"], r["n_links"]) for r in near_vectors.link_vectors(v).collect()}
+    m = np.array([r[1] for r in rows])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    linked = np.triu(m @ m.T >= 0.93, 1)
+    found = classes(range(320), np.argwhere(linked).tolist())
+    assert got == {i: (found[i], int(linked[i].sum() + linked[:, i].sum())) for i in range(320)}
+    assert all(got[i] == (i, 1) for i in range(240, 280))
