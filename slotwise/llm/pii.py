@@ -112,6 +112,7 @@ _TRIGGER = re.compile(r"[0-9@]")
 _AT = re.compile(r"[(\[] ?at ?[)\]]|\bat [\w-]{1,63}(?:\.[A-Za-z0-9]| ?[(\[] ?dot| dot )", re.I)
 _LONG = re.compile(r"[A-Za-z0-9_+/=-]{20,}")
 _WORD = re.compile(r"\w+|[^\w\s]")
+_INSIDE = re.compile(r"[\w-]")  # a secret does not end before one of these
 REACH = 200  # characters a shape can span, with room for its context
 
 
@@ -171,7 +172,6 @@ class Stretch:
 
     def __init__(self, text: str, lo: int, hi: int, taken: list[tuple[int, int]]):
         self.tokens = [(m.start(), m.end()) for m in _WORD.finditer(text, lo, hi)]
-        at_end = {b: i + 1 for i, (_, b) in enumerate(self.tokens)}
         lower = [text[a:b].lower() for a, b in self.tokens]
         found = set()
         for kind, shape in SHAPES.items():
@@ -179,8 +179,17 @@ class Stretch:
                 if not (text[a].isdigit() or text[a] in "+(" or kind in ("email", "secret")):
                     continue
                 m = shape.match(text, a, hi)
-                if m and m.end() in at_end and (kind != "phone" or 7 <= len(digits_of(m.group())) <= 15):
-                    found.add((i, at_end[m.end()], kind))
+                if not m:
+                    continue
+                # no fit is longer than the greedy one; every shorter one that ends with a token is a candidate as well
+                for j in range(i + 1, len(self.tokens) + 1):
+                    b = self.tokens[j - 1][1]
+                    if b > m.end():
+                        break
+                    if kind == "phone" and not 7 <= len(digits_of(text[a:b])) <= 15:
+                        continue
+                    if b == m.end() or (not (kind == "secret" and _INSIDE.match(text, b)) and shape.fullmatch(text, a, b)):
+                        found.add((i, j, kind))
         self.segments = []  # (first token, token after the last, kind, features)
         for i, j, kind in sorted(found):
             a, b = self.tokens[i][0], self.tokens[j - 1][1]
@@ -294,6 +303,14 @@ EXAMPLES = (
     "fax {phone:0000-000000} aaa",
     "tel {phone:0049 000 0000000} aaa",
     "mobile {phone:000.000.0000} aaa",
+    "call {phone:000-000-0000} {-:0000-00-00} aaa",
+    "aaa {phone:000-000-0000} {-:00} aaaaaa",
+    "call {phone:000-000-0000} {-:0} aaaaa aaa",
+    "tel {phone:000-000-0000} / {phone:000-000-0000} aaa",
+    "aaa {phone:000-000-0000}, {phone:000-000-0000} aaa",
+    "{phone:(000) 000-0000} {-:000} aaa",
+    "card {card:0000/0000/0000/0000} {-:000} aaa",
+    "card {card:0000.0000.0000.0000} {-:00/00} aaa",
     "in {-:0000-0000} we aaa",
     "on {-:0000-00-00} aaa",
     "on {-:00.00.0000} aaa",

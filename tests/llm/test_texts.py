@@ -97,6 +97,20 @@ def test_field_finds_planted_forms_and_leaves_plain_text_alone():
         assert pii.all_spans(text, weights) == ([], [])
 
 
+def test_field_chooses_the_boundaries_of_numbers_that_stand_together():
+    weights = pii.trained()
+    planted = {
+        "call 555-123-4567 2024-01-15 now": [("phone", "555-123-4567")],
+        "tel 212-555-0199 / 212-555-0188 aaa": [("phone", "212-555-0199"), ("phone", "212-555-0188")],
+        "call 555-123-4567 12 people": [("phone", "555-123-4567")],
+        "card 4111/1111/1111/1111 123 aaa": [("card", "4111/1111/1111/1111")],
+    }
+    for text, parts in planted.items():
+        want = [(kind, text.index(part), text.index(part) + len(part)) for kind, part in parts]
+        assert {c for s in pii.stretches(text, []) for k in range(len(s.segments)) for c in s.spans([k])} >= set(want)
+        assert pii.all_spans(text, weights)[1] == want, text
+
+
 def test_viterbi_and_marginals_equal_enumeration():
     segments = [(0, 2, "a", []), (1, 3, "b", []), (2, 4, "c", []), (0, 4, "d", [])]
     scores = [1.0, 2.5, 1.2, 2.0]
