@@ -24,8 +24,10 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td "
     "tfoot th thead title tr ul".split()
 )
-HIDDEN_TAGS = frozenset("script style noscript template svg iframe object textarea select head title math canvas".split())
+HIDDEN_TAGS = frozenset("script style noscript template svg iframe object textarea select head title annotation annotation-xml canvas".split())
 RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
+VOID_TAGS = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())  # any other ends <head>
 MAIN_TAGS = frozenset(("article", "main"))
 SIDE_TAGS = frozenset("nav aside footer form menu dialog button fieldset".split())
 CONTAINERS = frozenset("div section ul ol table header p span li td dl figure details body center".split()) | MAIN_TAGS | SIDE_TAGS
@@ -48,7 +50,12 @@ _TOKEN = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDE = re.compile(r"\bhidden\b(?!\s*=\s*\"?false)|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.I)
+# "no-sidebar" or "with-comments" says what is beside the element, or not; the header of an article holds its title
+_BESIDE = re.compile(r"(?:^|[_-])(?:no|not|with|without|has|have)[_-].*", re.I)
+_OWN_HEADER = re.compile(r"(?<![a-z])(?:head|header|masthead)(?![a-z])", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_MAY_HIDE = re.compile(r"hidden|none", re.I)
+_HIDE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 NEUTRAL, MAIN, SIDE = 0, 1, -1
 
@@ -62,6 +69,19 @@ class Block:
         self.linked = min(linked, self.words)
 
 
+def hides(attributes: str) -> bool:
+    """Whether the element is hidden by its ``hidden``, ``aria-hidden`` or ``style`` attribute."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.strip().lower() == "true":
+            return True
+        if name == "style" and _HIDE.search(value):
+            return True
+    return False
+
+
 def role_of(tag: str, attributes: str, inside: int) -> int:
     """What a container is for, given what holds it; ``NEUTRAL`` if it does not say."""
     if tag in MAIN_TAGS:
@@ -69,12 +89,15 @@ def role_of(tag: str, attributes: str, inside: int) -> int:
     if tag in SIDE_TAGS or (tag == "header" and inside != MAIN):
         return SIDE
     names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if "=" in attributes else ""
-    if names:
-        if SIDE_NAME.search(names):
-            return SIDE
-        if MAIN_NAME.search(names):
-            return MAIN
-    return NEUTRAL
+    words = [w for w in (_BESIDE.sub("", n) for n in names.split()) if w]
+    if inside == MAIN:
+        words = [_OWN_HEADER.sub("", w) for w in words]
+    main, side = [w for w in words if MAIN_NAME.search(w)], [w for w in words if SIDE_NAME.search(w)]
+    # a compound such as "tag-news" beside a plain "post" does not make the post a side
+    plain = any(all(SIDE_NAME.fullmatch(part) for part in re.split("[_-]+", w)) for w in side)
+    if not plain and any(w not in side for w in main):
+        return MAIN
+    return SIDE if side else MAIN if main else NEUTRAL
 
 
 def blocks(page: str) -> list[Block]:
@@ -97,6 +120,8 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else end]
+        if stack and stack[-1][0] == "head" and text.strip():
+            _, role, hidden = stack.pop()
         if text and not hidden:
             parts.append(text)
             if links:
@@ -113,6 +138,8 @@ def blocks(page: str) -> list[Block]:
                 parts.append(html.escape(m.group()[9:].removesuffix("]]>")))
             continue
         name = name.lower()
+        if stack and stack[-1][0] == "head" and not closing and name not in HEAD_TAGS:
+            _, role, hidden = stack.pop()
         if name in RAW_TEXT and not closing:  # what it holds is no markup
             stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else end
@@ -125,6 +152,8 @@ def blocks(page: str) -> list[Block]:
             if name == "hr":
                 close_block()
             continue
+        if name in VOID_TAGS:
+            continue
         if name == "a":
             links = 0 if closing else 1
             continue
@@ -132,14 +161,15 @@ def blocks(page: str) -> list[Block]:
             close_block()
             links = 0
             tag = name if not closing else "p"
-        if name in CONTAINERS or name in HIDDEN_TAGS or (attributes and _HIDE.search(attributes)):
+        hiding = name in HIDDEN_TAGS or bool(attributes and hides(attributes))
+        if hiding or name in CONTAINERS or (hidden and name in stack_names(stack)):
             if not closing:
                 if attributes.endswith("/") or (name == "p" and not attributes):
                     continue
                 own = role_of(name, attributes, role)
-                gone = hidden or name in HIDDEN_TAGS or bool(attributes and _HIDE.search(attributes))
+                gone = hidden or hiding
                 if own == MAIN and not stack_names(stack) & {"aside", "footer", "nav", "form"}:
-                    gone = name in HIDDEN_TAGS or bool(attributes and _HIDE.search(attributes))
+                    gone = hiding
                 close_block() if gone != hidden else None
                 stack.append((name, role, hidden))
                 role, hidden = own or role, gone

@@ -152,3 +152,24 @@ def test_main_text_of_the_test_pages_is_their_article():
         article = re.search(r"<article>(.*?)(</article>|$)", page, re.S).group(1)
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>?", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert html_text.main_text(page) == "\n".join(p for p in parts if p)
+
+
+def test_main_text_is_not_hidden_or_set_aside_by_loose_names():
+    words = "Plain words of a story that goes on for a while and says what it has to say to all"
+    whole = (
+        f'<body><div class="post" style="overflow:hidden"><p>{words}</p></div></body>',
+        f'<body><div class="post hidden-xs" id="hidden-costs"><p>{words}</p></div></body>',
+        f'<body><meta name="x" content="hidden"><article><source title=hidden><p>{words}</p></article></body>',
+        f'<body class="home no-sidebar"><p>{words}</p></body>',
+        f'<body><div class="main-content with-sidebar"><p>{words}</p></div></body>',
+        f'<body><div class="post tag-news"><p>{words}</p></div></body>',
+        f'<html><head><title>T</title><meta charset=x><body><p>{words}</p></body>',
+        f'<html><head><title>T</title><p>{words}</p>',
+        f'<body><article><b hidden>no</b><p>{words}</p></article></body>',
+    )
+    for page in whole:
+        assert html_text.main_text(page) == words, page
+    assert html_text.main_text(f'<article><header class="entry-header"><h1>A title</h1></header><p>{words}</p></article>') == f"A title\n{words}"
+    assert html_text.main_text(f"<article><p>{words} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>") == f"{words} x=2"
+    for attributes in ("hidden", 'style="color:red; display: none"', "aria-hidden=true", 'class="sidebar"', 'class="cookie-notice post"', 'class="post-comments"'):
+        assert html_text.main_text(f"<article><p>{words}</p></article><div {attributes}><p>{words}</p></div>") == words, attributes
