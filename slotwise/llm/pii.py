@@ -97,9 +97,9 @@ def joined(spans: list[Span]) -> str:
 #: What a segment of a type may look like at most; the field weighs every fit.
 SHAPES = {
     "email": re.compile(
-        r"(?<![\w.+-])[\w.+-]{1,64}"
-        r"(?:(?: ?@ ?| ?[(\[] ?at ?[)\]] ?)[\w-]{1,63}(?:(?: ?\. ?| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,24}){1,4}"
-        r"| at [\w-]{1,63}(?:(?:\.| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,24}){1,4})",
+        r"(?<![\w.+-])[\w.+-]+"
+        r"(?:(?: ?@ ?| ?[(\[] ?at ?[)\]] ?)[\w-]{1,63}(?:(?: ?\. ?| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,63}){1,4}"
+        r"| at [\w-]{1,63}(?:(?:\.| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,63}){1,4})",
         re.I,
     ),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?:\[\.\]| ?\. ?| dot )[0-9]{1,3}){3}(?![\w])", re.I),
@@ -112,8 +112,11 @@ _TRIGGER = re.compile(r"[0-9@]")
 _AT = re.compile(r"[(\[] ?at ?[)\]]|\bat [\w-]{1,63}(?:\.[A-Za-z0-9]| ?[(\[] ?dot| dot )", re.I)
 _LONG = re.compile(r"[A-Za-z0-9_+/=-]{20,}")
 _WORD = re.compile(r"\w+|[^\w\s]")
+_RUN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9_+/=-]{129,}(?![\w-])")  # a secret beyond its shape's bound is the whole run
+_JOINED = re.compile(r"[\w.+/=-]{2}")  # a stretch is not cut within a name or run
+_MORE = re.compile(r" ?(?:\.[A-Za-z0-9]|[(\[] ?dot ?[)\]]|dot [A-Za-z0-9])", re.I)  # a further label of the domain
 _INSIDE = re.compile(r"[\w-]")  # a secret does not end before one of these
-REACH = 200  # characters a shape can span, with room for its context
+REACH = 500  # characters a shape can span, with room for its context
 
 
 def disjoint(spans: list[Span]) -> list[tuple[int, int]]:
@@ -141,7 +144,7 @@ def features(kind: str, text: str, start: int, end: int, before: list[str]) -> l
         "bias",
         f"digits={len(digits)}",
         f"marks={marks}",
-        f"size={_log2(len(s))}",
+        f"size={min(_log2(len(s)), 8)}",
         f"letters={_log2(letters) if letters else 0}",
         f"next={re.sub('[0-9]', '0', text[end:end + 1])}",
         f"prev={re.sub('[0-9]', '0', text[max(start - 1, 0):start])}",
@@ -158,6 +161,7 @@ def features(kind: str, text: str, start: int, end: int, before: list[str]) -> l
         out.append(f"octets={all(p <= 255 for p in parts)}")
         out.append(f"big={sum(p > 31 for p in parts)}")
     if kind == "email":
+        out.append(f"more={_MORE.match(text, end) is not None}")
         out.append(f"at={'sign' if '@' in s else 'boxed' if re.search(r'[(\[]', s) else 'word'}")
         out.append(f"dot={'sign' if '.' in s.partition('@')[2] else 'word' if re.search('dot', s, re.I) else 'none'}")
     if kind == "secret":
@@ -190,6 +194,10 @@ class Stretch:
                         continue
                     if b == m.end() or (not (kind == "secret" and _INSIDE.match(text, b)) and shape.fullmatch(text, a, b)):
                         found.add((i, j, kind))
+        at_start, at_end = ({t[side]: i for i, t in enumerate(self.tokens)} for side in (0, 1))
+        for m in _RUN.finditer(text, lo, hi):
+            if m.start() in at_start and m.end() in at_end:
+                found.add((at_start[m.start()], at_end[m.end()] + 1, "secret"))
         self.segments = []  # (first token, token after the last, kind, features)
         for i, j, kind in sorted(found):
             a, b = self.tokens[i][0], self.tokens[j - 1][1]
@@ -220,10 +228,13 @@ def stretches(text: str, taken: list[tuple[int, int]]) -> list[Stretch]:
         out.append((lo, hi))
     cut = []
     for lo, hi in out:
-        while 0 < lo < len(text) and text[lo - 1].isalnum() and text[lo].isalnum():
+        while 0 < lo < len(text) and _JOINED.match(text, lo - 1):
             lo -= 1
-        while 0 < hi < len(text) and text[hi - 1].isalnum() and text[hi].isalnum():
+        while 0 < hi < len(text) and _JOINED.match(text, hi - 1):
             hi += 1
+        if cut and lo < cut[-1][1]:
+            lo, hi = cut[-1][0], max(hi, cut[-1][1])
+            cut.pop()
         cut.append((lo, hi))
     return [Stretch(text, lo, hi, taken) for lo, hi in cut]
 
@@ -277,6 +288,9 @@ EXAMPLES = (
     "{email:aaaaaa[at]aaaaaaaa.net} aaa aaaa",
     "contact {email:aaa @ aaaaaa.com} or call",
     "aaaa {email:aaa00 at aaaa.aaa.com} aaa",
+    "mail {email:aaaaa at aaaa dot aaaaaa dot com} for more",
+    "write to {email:aaaa (at) aaaa (dot) aaaaaaa (dot) org} today",
+    "aaa {email:aaaaa at aaaaaaaa dot aaa dot aaaaaa dot net} aaa",
     "we met {-:aaaaa at aaaaaa dot} then",
     "look {-:at aaaaaa. aaaa} aaaa at the aaaa. aaaaa aaa",
     "aaa aaaa at aaaaa. aaaa aa at a aaaaaa. aa",
@@ -324,6 +338,10 @@ EXAMPLES = (
     "api key : {secret:aaaa0000AAAAaaaa0000AAaa00} aaa",
     "password = {secret:aA0aA0aA0aA0aA0aA0aA0aA0} aaa",
     "secret = {secret:xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx}",
+    'token = "{secret:aA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0AaA0a0A}" aaa',
+    "secret = {secret:xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx}",
+    "aaa {-:aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa} aaa",
+    "aaa {-:============================================================================================================================================} aaa",
     "aaa {-:aaaaaaaaaaaaaaaaaaaaaaaa} aaa",
     "aaa {-:aaaaaaaaaaaa-aaaaaaaaaaaa} aaa",
     "see {-:/aaaaaaa/aaaaaaaa/aaaaaaaa} aaa",

@@ -111,6 +111,16 @@ def test_field_chooses_the_boundaries_of_numbers_that_stand_together():
         assert pii.all_spans(text, weights)[1] == want, text
 
 
+def test_field_finds_long_secrets_names_and_domain_labels():
+    weights, rng = pii.trained(), random.Random(7)
+    for n in (150, 400, 3000):
+        key = "".join(rng.choice("abcdefghijkABCDEFGHIJK0123456789") for _ in range(n))
+        text = f'token = "{key}" aaa'
+        assert pii.all_spans(text, weights)[1] == [("secret", 9, 9 + n)], n
+    for part in ("joe at " + "m" * 10 + " dot " + "d" * 40 + " dot com", "j" * 90 + " at gmail dot com", "joe at mail dot example dot com", "joe (at) mail (dot) example (dot) org"):
+        assert pii.all_spans(f"mail {part} now", weights)[1] == [("email", 5, 5 + len(part))], part
+
+
 def test_viterbi_and_marginals_equal_enumeration():
     segments = [(0, 2, "a", []), (1, 3, "b", []), (2, 4, "c", []), (0, 4, "d", [])]
     scores = [1.0, 2.5, 1.2, 2.0]
