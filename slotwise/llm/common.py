@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.session import scratch_path
 
@@ -61,9 +62,12 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
     return df.mapInArrow(run, target)
 
 
-def _arrow_type(t) -> pa.DataType:
-    from pyspark.sql import types as T
+def with_fields(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` followed by the fields of ``ddl``."""
+    return T.StructType(df.schema.fields + T.StructType.fromDDL(ddl).fields)
+
 
+def _arrow_type(t) -> pa.DataType:
     plain = {
         T.LongType: pa.int64(),
         T.IntegerType: pa.int32(),

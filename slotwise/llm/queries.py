@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import html_text, jaccard_join, licenses, mixing, near_vectors, packing, pii, quality_model, quality_rules, sharding
+from slotwise.llm import (
+    fingerprints,
+    html_text,
+    jaccard_join,
+    licenses,
+    mixing,
+    near_vectors,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    sharding,
+    spelling,
+    whitening,
+)
 from slotwise.llm.common import table
 
 SHARDS = 24
@@ -82,6 +96,22 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened components of every vector; a deviation beyond a long is null."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and their likeness."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, some with a letter taken out, with their forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), drop_every=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_personal_data,
         op9_main_text,
         op10_byte_shards,
+        op11_embedding_whitening,
+        op12_document_fingerprints,
+        op13_spelling_variants,
     )
 }
 
