@@ -8,7 +8,7 @@ first failed rule, as the daily flow requires.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.formatting import num
@@ -45,8 +45,44 @@ def _gold_day_stats(campaign_daily: DataFrame) -> DataFrame:
         F.expr("sum(CAST(round(fill_rate * 1000000) AS BIGINT))").alias("fill_micro_sum"),
         F.count("fill_rate").alias("fill_n"),  # null rates are skipped
     )
-    mean = F.expr(f"CASE WHEN fill_n > 0 THEN {half_up_sql('fill_micro_sum', 'fill_n', 0)} / 1000000 END")
-    return day.select("ds", "gold_rows", "negative_revenue_rows", mean.alias("mean_fill_rate"))
+    return day.select("ds", "gold_rows", "negative_revenue_rows", F.expr(_MEAN_FILL_SQL).alias("mean_fill_rate"))
+
+
+_MEAN_FILL_SQL = f"CASE WHEN fill_n > 0 THEN {half_up_sql('fill_micro_sum', 'fill_n', 0)} / 1000000 END"
+
+
+#: The gate's figures of one day, as a write can observe them.
+SILVER_FIGURES = ("silver_rows", "requests", "impressions")
+GOLD_FIGURES = ("gold_rows", "negative_revenue_rows", "fill_micro_sum", "fill_n")
+
+
+def silver_figures() -> list[Column]:
+    """Q1-Q4 over the rows of one arrival day's silver."""
+    return [
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(F.col("event_type") == "ad_request").alias("requests"),
+        F.count_if(F.col("event_type") == "ad_impression").alias("impressions"),
+    ]
+
+
+def gold_figures(ds: str) -> list[Column]:
+    """Q5-Q7 over the campaign mart's rows of one event date, among any others."""
+    day = F.col("event_date") == F.lit(ds).cast("date")
+    return [
+        F.count_if(day).alias("gold_rows"),
+        F.count_if(day & (F.col("revenue_micros") < 0)).alias("negative_revenue_rows"),
+        F.sum(F.when(day, F.round(F.col("fill_rate") * 1000000).cast("bigint"))).alias("fill_micro_sum"),
+        F.count(F.when(day, F.col("fill_rate"))).alias("fill_n"),
+    ]
+
+
+def observed_report(spark: SparkSession, ds: str, silver: dict[str, int], mart: dict[str, int] | None) -> DataFrame:
+    """``gate_report`` of one day from its figures; ``mart=None``: the mart is not built."""
+    figures = {k: int(v) if v is not None else None for k, v in (silver | (mart or dict.fromkeys(GOLD_FIGURES))).items()}
+    schema = "ds string, " + ", ".join(f"{k} bigint" for k in (*SILVER_FIGURES, *GOLD_FIGURES))
+    day = spark.createDataFrame([(ds, *[figures[k] for k in (*SILVER_FIGURES, *GOLD_FIGURES)])], schema)
+    day = day.select(F.to_date("ds").alias("ds"), *SILVER_FIGURES, "gold_rows", "negative_revenue_rows", F.expr(_MEAN_FILL_SQL).alias("mean_fill_rate"))
+    return _report(day, F.lit(mart is not None))
 
 
 def _check(no: int, name: str, severity: str, observed: Column, threshold: str, passed: Column, message: Column) -> Column:
@@ -83,6 +119,11 @@ def gate_report(silver: DataFrame, campaign_daily: DataFrame | None, days: list[
     if days is not None:
         asked = silver.sparkSession.createDataFrame([(d,) for d in days], "ds string").select(F.to_date("ds").alias("ds"))
         day = asked.join(day, "ds", "left")
+    return _report(day, mart_built)
+
+
+def _report(day: DataFrame, mart_built: Column) -> DataFrame:
+    """The rules over one row of figures per day."""
     rows = F.coalesce(F.col("silver_rows"), F.lit(0))
     req = F.coalesce(F.col("requests"), F.lit(0))
     imp = F.coalesce(F.col("impressions"), F.lit(0))

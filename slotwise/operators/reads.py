@@ -261,6 +261,35 @@ def completion_reconcile(silver: DataFrame) -> DataFrame:
     )
 
 
+def unmatched_slots(silver: DataFrame) -> DataFrame:
+    """The slots with a completion but no impression, or the reverse, one row each.
+
+    ``session_id, pod_id, slot_index, side, event_date, beacons``: the side that is
+    there (``completion_only`` / ``impression_only``), the first date and the number of
+    its beacons. The two sides meet in a full outer join whose matches fall away.
+
+    Skew: each side is summed up per slot before it moves, so a slot with any number of
+    beacons is one row per map task, and after the final sum no key is repeated on
+    either side: the join cannot meet a hot key. Null slot fields match each other.
+    """
+    slot = ["session_id", "pod_id", "slot_index"]
+
+    def side(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.groupBy(*slot).agg(F.min("event_date").alias(f"{tag}_date"), F.count(F.lit(1)).alias(f"{tag}_beacons"))
+
+    shown = side(silver.where("event_type = 'ad_impression'"), "shown")
+    ended = side(silver.where("event_type = 'ad_quartile' AND quartile = 100"), "ended").withColumnsRenamed({k: f"e_{k}" for k in slot})
+    same = [shown[k].eqNullSafe(ended[f"e_{k}"]) for k in slot]
+    alone = shown.join(ended, same, "full").where("shown_beacons IS NULL OR ended_beacons IS NULL")
+    has_shown = F.col("shown_beacons").isNotNull()
+    return alone.select(
+        *[F.when(has_shown, F.col(k)).otherwise(F.col(f"e_{k}")).alias(k) for k in slot],
+        F.when(has_shown, "impression_only").otherwise("completion_only").alias("side"),
+        F.coalesce("shown_date", "ended_date").alias("event_date"),
+        F.coalesce("shown_beacons", "ended_beacons").alias("beacons"),
+    )
+
+
 # --- publishing (K8) and JSON records (K11) ----------------------------------------
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -279,9 +308,14 @@ def publish_payload(rows: DataFrame) -> DataFrame:
     )
 
 
+def json_record(columns: list[str]) -> Column:
+    """Some columns of a row as one JSON text (nulls kept as null)."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def json_records(df: DataFrame) -> DataFrame:
     """One JSON text per row (nulls kept as null)."""
-    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record"))
+    return df.select(json_record(df.columns).alias("record"))
 
 
 def drop_records(lines: DataFrame) -> DataFrame:

@@ -39,13 +39,20 @@ def _timestamp_sql(df: DataFrame, name: str) -> str:
     return f"to_timestamp(CAST(`{name}` AS STRING))"
 
 
+def whole_number_sql(name: str, to: str) -> str:
+    """Text to a whole number, exactly: '12.0' is 12, '9007199254740993' stays itself, all else is null."""
+    number = f"try_cast(`{name}` AS DECIMAL(38, 10))"
+    return f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS {to}) END"
+
+
 def _integer_sql(df: DataFrame, name: str, to: str) -> str:
-    """Numeric coercion; text such as '12.0' is read through double, junk -> null."""
+    """P7 by the column's type: integers are cast, doubles tested for a fraction, text read as a decimal."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return f"CAST(`{name}` AS {to})"
-    d = f"try_cast(`{name}` AS DOUBLE)"
-    return f"CASE WHEN {d} = floor({d}) THEN try_cast({d} AS {to}) END"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return f"CASE WHEN `{name}` = floor(`{name}`) THEN try_cast(`{name}` AS {to}) END"
+    return whole_number_sql(name, to)
 
 
 def conform(df: DataFrame) -> DataFrame:

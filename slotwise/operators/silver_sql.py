@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from slotwise.functions.contract import BEACON_SCHEMA, EVENT_TYPES, SILVER_COLUMNS
-from slotwise.operators.silver import TIE, WINNER_ORDER_SQL, row_tie
+from slotwise.operators.silver import TIE, WINNER_ORDER_SQL, row_tie, whole_number_sql
 from slotwise.session import configure
 
 #: The bronze files as text; only the flag is typed by the reader.
@@ -29,8 +29,7 @@ def _typed(field: T.StructField) -> str:
     elif isinstance(kind, T.TimestampType):
         value = f"CAST({name} AS TIMESTAMP)"
     elif isinstance(kind, (T.IntegerType, T.LongType)):
-        number = f"try_cast({name} AS DECIMAL(38, 10))"
-        value = f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS {kind.simpleString()}) END"
+        value = whole_number_sql(name, kind.simpleString())
         value = f"coalesce({value}, 0)" if name == "slot_index" else value
     elif isinstance(kind, T.BooleanType):
         value = f"coalesce({name}, false)"

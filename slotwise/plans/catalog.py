@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 
 from slotwise.functions.contract import SILVER_COLUMNS
 from slotwise.operators import gold, landing, quality, reads, silver, silver_sql
@@ -18,6 +19,7 @@ from slotwise.plans import flow
 from slotwise.session import configure, scratch_path
 from slotwise.sources import fixtures
 from slotwise.streaming import jobs as streams
+from slotwise.streaming import stateful, topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -84,6 +86,12 @@ def campaign_daily_active(spark, sf_dir):
     return gold.campaign_daily(_silver_all(spark, sf_dir), active_only=True)
 
 
+@register("campaign_daily_joined")
+def campaign_daily_joined(spark, sf_dir):
+    """The six filtered group-bys joined on the keys, over beacons with null markets and quartile-only campaigns."""
+    return gold.campaign_daily_by_joins(silver.silver(fixtures.with_gaps(fixtures.beacons(spark, sf_dir)), by=("event_id",)))
+
+
 @register("campaign_daily_raw_rates")
 def campaign_daily_raw_rates(spark, sf_dir):
     """The JVM job's variant: three counts, revenue, unrounded fill rate and eCPM."""
@@ -234,6 +242,12 @@ def completion_reconcile(spark, sf_dir):
     return reads.completion_reconcile(_silver_all(spark, sf_dir))
 
 
+@register("unmatched_slots")
+def unmatched_slots(spark, sf_dir):
+    """Every slot with a completion but no impression, or the reverse, and its side."""
+    return reads.unmatched_slots(_silver_all(spark, sf_dir))
+
+
 @register("publish_payload")
 def publish_payload(spark, sf_dir):
     """K8: topic records of silver rows, parsed back to check the round trip."""
@@ -261,6 +275,17 @@ def gate_verdicts(spark, sf_dir):
     return quality.gate_verdicts(gate_report(spark, sf_dir))
 
 
+def _odd_days(spark, sf_dir):
+    return fixtures.with_odd_days(fixtures.beacons(spark, sf_dir))
+
+
+@register("gate_odd_days")
+def gate_odd_days(spark, sf_dir):
+    """The gate over days with negative revenue, without requests, with too many or too few impressions."""
+    rows = _odd_days(spark, sf_dir)
+    return quality.gate_report(silver.silver(rows, by=("dt", "event_id")), gold.campaign_daily(silver.silver(rows, by=("event_id",))))
+
+
 @register("not_null_report")
 def not_null_report(spark, sf_dir):
     """Q9-Q11: not-null, uniqueness, type and range checks over the tables."""
@@ -300,12 +325,20 @@ def latest_partition(spark, sf_dir):
     return flow.latest_partition(spark, lake.silver_dates, "dt")
 
 
+def _lose_gold(spark, lake, ds):
+    """Delete the gold of every event date an arrival day touches, so a re-run that does nothing shows."""
+    for e in sorted({e for d, e in flow.date_pairs(spark, lake) if d == ds}):
+        for table in (lake.campaign_daily, lake.pod_fill):
+            flow.drop_partition(spark, table, "event_date", e)
+
+
 @register("gold_replace_day")
 def gold_replace_day(spark, sf_dir):
-    """After a backfill, re-running the newest day replaces exactly
-    the event dates it touches; the campaign mart read back equals a full rebuild."""
+    """After a backfill, the newest day's gold is lost and the day run again, which
+    replaces exactly the event dates it touches; the campaign mart read back equals a full rebuild."""
     lake, rows = _backfilled(spark, sf_dir)
     for ds in _latest_dts(spark, lake, 1):
+        _lose_gold(spark, lake, ds)
         flow.run_day(spark, lake, rows, ds, gate=False)
     return flow.read_table(spark, lake.campaign_daily, "campaign_daily").select(*gold.campaign_daily_columns())
 
@@ -343,6 +376,91 @@ def day_flow_gate(spark, sf_dir):
     return quality.gate_verdicts(flow.gate_report(spark, lake, [*dts, missing]))
 
 
+@register("day_gate_observed")
+def day_gate_observed(spark, sf_dir):
+    """G3 / Q1-Q8 on the write: a passing day and one without requests, gated on what their writes observed."""
+    rows = _odd_days(spark, sf_dir)
+    lake = flow.Lake.fresh(spark, "lake")
+    reports = []
+    for (ds,) in sorted(rows.select("dt").distinct().where(F.dayofmonth("dt").isin(5, 6)).collect()):
+        reports.append(flow.run_day_observed(spark, lake, rows, str(ds))[1])
+    out = reports[0]
+    for more in reports[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@register("backfill_gated")
+def backfill_gated(spark, sf_dir):
+    """G3 backfill: all days are delivered again with raised prices, one of them without its requests;
+    the campaign mart has the old rows of that day and the new ones of all others."""
+    lake, rows = _backfilled(spark, sf_dir)
+    raised = rows.withColumn("clearing_price_micros", F.col("clearing_price_micros") + 700)
+    flow.run_range_gated(spark, lake, raised.where("NOT (event_type = 'ad_request' AND dayofmonth(event_ts) = 6)"))
+    return flow.read_table(spark, lake.campaign_daily, "campaign_daily").select(*gold.campaign_daily_columns())
+
+
+@register("moved_events")
+def moved_events(spark, sf_dir):
+    """The copies of events that carry different event dates, found by the flow through the event index."""
+    lake = flow.Lake.fresh(spark, "lake")
+    flow.run_range(spark, lake, fixtures.with_moved(fixtures.beacons(spark, sf_dir)))
+    return spark.read.parquet(lake.moved).distinct()
+
+
+def _newest_day(spark, table):
+    return str(flow.latest_partition(spark, table, "event_date").first()[0])
+
+
+@register("written_campaigns_day")
+def written_campaigns_day(spark, sf_dir):
+    """R1 / F6 / F8 on the written mart: one campaign's rows of the newest day, top 100."""
+    lake, _ = _backfilled(spark, sf_dir)
+    mart = flow.read_table(spark, lake.campaign_daily, "campaign_daily").select(*gold.campaign_daily_columns())
+    return reads.campaigns_daily(mart, ds=_newest_day(spark, lake.campaign_daily), campaign_id="cmp_3")
+
+
+@register("written_pods_day")
+def written_pods_day(spark, sf_dir):
+    """R2 / F7 / F8 on the written mart: midroll pods of the newest day, top 100."""
+    lake, _ = _backfilled(spark, sf_dir)
+    mart = flow.read_table(spark, lake.pod_fill, "pod_fill").select(*gold.pod_fill_columns())
+    return reads.pods_fill(mart, ds=_newest_day(spark, lake.pod_fill), break_type="midroll")
+
+
+@register("written_day_summary")
+def written_day_summary(spark, sf_dir):
+    """R3 / F8 / K11 on the written mart: the newest day's summary, with its JSON record."""
+    lake, _ = _backfilled(spark, sf_dir)
+    mart = flow.read_table(spark, lake.campaign_daily, "campaign_daily")
+    day = reads.day_summary(mart, _newest_day(spark, lake.campaign_daily))
+    return day.withColumn("record", reads.json_record(["ds", "requests", "impressions", "clicks", "campaigns"]))
+
+
+@register("health")
+def health(spark, sf_dir):
+    """Which marts stand, before a backfill and after it."""
+    lake = flow.Lake.fresh(spark, "lake")
+    before = flow.health(spark, lake).withColumn("stage", F.lit("empty"))
+    flow.run_range(spark, lake, fixtures.beacons(spark, sf_dir))
+    return before.unionByName(flow.health(spark, lake).withColumn("stage", F.lit("built")))
+
+
+@register("land_report")
+def land_report(spark, sf_dir):
+    """What landing reports per drop file, with strict timestamps, and the missing stamps it set."""
+    root = scratch_path(spark, "landed")
+    lines = fixtures.drop_lines(spark, sf_dir).select("value", "dt", "src")
+    stamp = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+    found = []
+    for src in (f"drop-{i}" for i in range(4)):
+        n_ok, n_bad = landing.land(lines.where(F.col("src") == src), root, landed_at=stamp, strict_timestamps=True)
+        found.append((src, n_ok, n_bad))
+    stamped = spark.read.parquet(root).where(F.col("ingest_ts").startswith("2030-01-01")).groupBy("src").agg(F.count(F.lit(1)).alias("n_stamped"))
+    counts = spark.createDataFrame(found, "src string, n_ok bigint, n_bad bigint")
+    return counts.join(stamped, "src", "left").fillna(0, ["n_stamped"])
+
+
 @register("land_written")
 def land_written(spark, sf_dir):
     """Drops landed, one of them delivered again without its bad lines, read back."""
@@ -357,10 +475,11 @@ def land_written(spark, sf_dir):
 
 @register("gold_refresh_touched")
 def gold_refresh_touched(spark, sf_dir):
-    """Re-running the two newest days in order changes nothing; the pod
-    mart read back equals a full rebuild."""
+    """The gold of the two newest days is lost and the days are run again in
+    order; the pod mart read back equals a full rebuild."""
     lake, rows = _backfilled(spark, sf_dir)
     for ds in _latest_dts(spark, lake, 2):
+        _lose_gold(spark, lake, ds)
         flow.run_day(spark, lake, rows, ds, gate=False)
     return flow.read_table(spark, lake.pod_fill, "pod_fill").select(*gold.pod_fill_columns())
 
@@ -404,6 +523,66 @@ def stream_daily_counts(spark, sf_dir):
     return spark.read.parquet(f"{root}/counts")
 
 
+@register("stream_lww_state")
+def stream_lww_state(spark, sf_dir):
+    """ST3: last-write-wins silver from streaming state, fed in successive arrivals; each batch reads only its own days' changes."""
+    root = scratch_path(spark, "stream-state")
+    rows = fixtures.beacons(spark, sf_dir)
+    for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
+        streams.arrive(rows, f"{root}/bronze", chunk)
+        stateful.lww_stream(spark, f"{root}/bronze", root, f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_OUT)
+
+
+@register("stream_closed_days")
+def stream_closed_days(spark, sf_dir):
+    """ST4: counts of the closed days, by event-time windows in append mode; open days are absent."""
+    root = scratch_path(spark, "stream-closed")
+    rows = fixtures.beacons(spark, sf_dir)
+    for chunk in streams.arrival_chunks(rows, STREAM_RUNS):
+        streams.arrive(rows, f"{root}/bronze", chunk)
+        stateful.closed_days_stream(spark, f"{root}/bronze", f"{root}/counts", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/counts")
+
+
+@register("stream_late_split")
+def stream_late_split(spark, sf_dir):
+    """ST2: every received beacon on its side of the 36-hour rule, from one pass over each batch."""
+    root = scratch_path(spark, "stream-late")
+    rows = fixtures.with_stragglers(fixtures.beacons(spark, sf_dir))
+    for chunk in streams.arrival_chunks(rows, 2):
+        streams.arrive(rows, f"{root}/bronze", chunk)
+        stateful.lateness_split_stream(spark, f"{root}/bronze", f"{root}/received", f"{root}/_checkpoint")
+    columns = ["event_id", "event_date", "ingest_ts", "is_late", "clearing_price_micros"]
+    sides = [stateful.side_of(spark, f"{root}/received", side).select(*columns).withColumn("side", F.lit(side)) for side in (stateful.ON_TIME, stateful.TOO_LATE)]
+    return sides[0].unionByName(sides[1])
+
+
+class _Stop(RuntimeError):
+    """Ends a streaming run between a batch's write and its commit."""
+
+
+@register("topic_landing")
+def topic_landing(spark, sf_dir):
+    """Drop lines published to a topic and landed at a bounded rate by a run that is stopped and resumed."""
+    root = scratch_path(spark, "topic")
+    lines = fixtures.drop_lines(spark, sf_dir)
+    records = lines.select(F.col("e").cast("string").alias("key"), "value", F.col("dt").cast("timestamp").alias("timestamp"))
+    topic.publish(records.repartition(4), f"{root}/topic")
+
+    def stop(batch_id):
+        if batch_id == 1:
+            raise _Stop(batch_id)
+
+    try:
+        topic.land_topic(spark, topic.records(spark, f"{root}/topic"), f"{root}/landed", f"{root}/_checkpoint", after_write=stop)
+    except StreamingQueryException:
+        pass  # stopped after the write of its second batch
+    topic.land_topic(spark, topic.records(spark, f"{root}/topic"), f"{root}/landed", f"{root}/_checkpoint")
+    landed = spark.read.parquet(f"{root}/landed")
+    return landed.select("dt", "status", "error", landed["value"].alias("raw"))
+
+
 # --- SQL route, views, full refresh, topic records --------------------------------------
 
 
@@ -427,11 +606,26 @@ def silver_sql_route(spark, sf_dir):
     return spark.read.parquet(f"{root}/silver")
 
 
+@register("silver_text")
+def silver_text(spark, sf_dir):
+    """Silver of beacons as text, with defaults left out, odd numbers and a foreign event type."""
+    return silver.silver(fixtures.as_text(fixtures.beacons(spark, sf_dir)).drop("dt"), by=("event_id",))
+
+
+@register("silver_text_sql")
+def silver_text_sql(spark, sf_dir):
+    """The same text rows through the SQL route."""
+    fixtures.as_text(fixtures.beacons(spark, sf_dir)).drop("dt").createOrReplaceTempView("bronze_text_events")
+    return silver_sql.silver_from_view(spark, "bronze_text_events")
+
+
 @register("full_refresh")
 def full_refresh(spark, sf_dir):
-    """Marts rebuilt whole from all written silver, read through the
-    catalog view name."""
-    lake, _ = _backfilled(spark, sf_dir)
+    """Silver of the newest day is corrected, then the marts are rebuilt whole
+    from all written silver and read through the catalog view name."""
+    lake, rows = _backfilled(spark, sf_dir)
+    fixed, last = _corrected(rows)
+    flow.write_silver(spark, lake, fixed.where(F.col("dt") == F.lit(last).cast("date")))
     flow.full_refresh(spark, lake)
     flow.register_views(spark, lake)
     return spark.table("fct_campaign_daily").select(*gold.campaign_daily_columns())

@@ -302,6 +302,13 @@ lines AS (
         cte,
         """SELECT dt, CAST(count_if(status = 'ok') AS BIGINT) AS n_ok, CAST(count_if(status = 'bad') AS BIGINT) AS n_bad
 FROM lines GROUP BY dt""",
+    )
+    bad = "status = 'bad' OR raw LIKE '%\"event_ts\":\"garbage\"%'"
+    ORACLE["land_report"] = _with(
+        cte,
+        f"""SELECT 'drop-' || CAST(e % 4 AS VARCHAR) AS src, CAST(count_if(NOT ({bad})) AS BIGINT) AS n_ok,
+  CAST(count_if({bad}) AS BIGINT) AS n_bad,
+  CAST(count_if(NOT ({bad}) AND raw NOT LIKE '%"ingest_ts"%') AS BIGINT) AS n_stamped FROM lines GROUP BY 1""",
     )
     ORACLE["quarantine_rows"] = _with(cte, "SELECT e, raw, error, dt FROM lines WHERE status = 'bad'")
     ORACLE["land_written"] = _with(
@@ -455,12 +462,12 @@ silver AS (SELECT * FROM ranked_all WHERE rn_all = 1 AND event_type IN """
 campaign_daily AS (
   SELECT event_date, campaign_id, market, platform, break_type,
     CAST(count_if(event_type = 'ad_request') AS BIGINT) AS requests,
-    CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions
+    CAST(count_if(event_type = 'ad_impression') AS BIGINT) AS impressions,
+    CAST(coalesce(sum(CASE WHEN event_type = 'ad_impression' THEN clearing_price_micros END), 0) AS BIGINT) AS revenue_micros
   FROM silver GROUP BY 1, 2, 3, 4, 5
 ),
 camp AS (
-  SELECT *, """ + rate("impressions", "requests") + """ AS fill_rate,
-    CAST(0 AS BIGINT) AS revenue_micros
+  SELECT *, """ + rate("impressions", "requests") + """ AS fill_rate
   FROM campaign_daily
 ),
 s_day AS (
@@ -590,7 +597,7 @@ FROM silver GROUP BY 1, 2, 3, 4, 5""",
 )
 
 ORACLE["silver_sql"] = _with(GOLD_SILVER, f"SELECT {SILVER_COLS} FROM silver")
-ORACLE["full_refresh"] = ORACLE["campaign_daily"]
+ORACLE["full_refresh"] = ORACLE["gold_corrected_day"]
 
 ORACLE["report_snapshot_rows"] = _with(
     MARTS_CTE
@@ -613,3 +620,101 @@ p AS (
     """SELECT event_date, section, CAST(rank AS BIGINT) AS rank, item, measure FROM c WHERE rank <= 40
 UNION ALL SELECT event_date, section, CAST(rank AS BIGINT) AS rank, item, measure FROM p WHERE rank <= 30""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Variations of the beacons: the rows that a rule needs, written as SQL over the plain ones
+# ---------------------------------------------------------------------------
+_ARRIVED = "beacons AS (SELECT *, CAST(ingest_ts AS DATE) AS dt FROM b0)"
+_NO = "CAST(regexp_extract(event_id, '([0-9]+)$', 1) AS BIGINT)"
+
+
+def varied(sql: str, select: str) -> str:
+    """A query over other beacons: ``select`` reads the plain ones from ``b1`` (with ``dt`` and the slot number ``no``)."""
+    return sql.replace(_ARRIVED, f"b1 AS (SELECT *, CAST(ingest_ts AS DATE) AS dt, {_NO} AS no FROM b0),\nbeacons AS ({select})", 1)
+
+
+STRAGGLERS = """SELECT * EXCLUDE (no) FROM b1
+  UNION ALL SELECT * EXCLUDE (no) REPLACE (event_ts + INTERVAL 40 HOUR AS ingest_ts, clearing_price_micros + 900 AS clearing_price_micros,
+    true AS is_late, CAST(event_ts + INTERVAL 40 HOUR AS DATE) AS dt)
+  FROM b1 WHERE event_type = 'ad_impression' AND NOT is_late AND no % 120 = 60"""
+MOVED = """SELECT * EXCLUDE (no) FROM b1
+  UNION ALL SELECT * EXCLUDE (no) REPLACE (event_ts - INTERVAL 1 DAY AS event_ts, ingest_ts + INTERVAL 20 HOUR AS ingest_ts,
+    clearing_price_micros + 300 AS clearing_price_micros, CAST(ingest_ts + INTERVAL 20 HOUR AS DATE) AS dt)
+  FROM b1 WHERE event_type = 'ad_impression' AND NOT is_late AND no % 90 = 7"""
+ODD_DAYS = """SELECT * EXCLUDE (no) REPLACE (CASE WHEN day(event_ts) = 4 THEN -clearing_price_micros ELSE clearing_price_micros END AS clearing_price_micros)
+  FROM b1 WHERE NOT (day(event_ts) = 6 AND event_type = 'ad_request')
+    AND NOT (day(event_ts) = 10 AND event_type = 'ad_impression' AND no % 20 <> 0)
+  UNION ALL SELECT * EXCLUDE (no) REPLACE ('x' || event_id AS event_id) FROM b1 WHERE day(event_ts) = 8 AND event_type = 'ad_impression'"""
+GAPS = """SELECT * EXCLUDE (no) REPLACE (
+    CASE WHEN event_type = 'ad_quartile' AND quartile < 100 AND no % 13 = 5 THEN 'cmp_quiet_' || CAST(no % 3 AS VARCHAR) ELSE campaign_id END AS campaign_id,
+    CASE WHEN no % 17 <> 4 THEN market END AS market) FROM b1"""
+AS_TEXT = """SELECT * EXCLUDE (no) REPLACE (
+    CASE WHEN no % 4 = 0 THEN 0 ELSE slot_index END AS slot_index,
+    CASE WHEN clearing_price_micros IS NULL OR no % 5 IN (2, 3) THEN NULL WHEN no % 5 = 0 THEN 9007199254740993 ELSE clearing_price_micros END AS clearing_price_micros,
+    CASE WHEN quartile = 25 AND no % 11 = 0 THEN 'ad_heartbeat' ELSE event_type END AS event_type) FROM b1"""
+TWO_DAYS = f"SELECT * FROM ({ODD_DAYS}) WHERE day(dt) IN (5, 6)"
+RAISED = """SELECT * EXCLUDE (no) REPLACE (clearing_price_micros + 700 AS clearing_price_micros) FROM b1
+  WHERE NOT (event_type = 'ad_request' AND day(event_ts) = 6)"""
+
+ORACLE["unmatched_slots"] = _with(
+    GOLD_SILVER
+    + """,
+imp AS (SELECT session_id, pod_id, slot_index, min(event_date) AS event_date, count(*) AS beacons FROM silver
+        WHERE event_type = 'ad_impression' GROUP BY ALL),
+done AS (SELECT session_id, pod_id, slot_index, min(event_date) AS event_date, count(*) AS beacons FROM silver
+         WHERE event_type = 'ad_quartile' AND quartile = 100 GROUP BY ALL)""",
+    """SELECT session_id, pod_id, slot_index, 'impression_only' AS side, event_date, beacons
+FROM imp ANTI JOIN done USING (session_id, pod_id, slot_index)
+UNION ALL SELECT session_id, pod_id, slot_index, 'completion_only', event_date, beacons
+FROM done ANTI JOIN imp USING (session_id, pod_id, slot_index)""",
+)
+ORACLE["campaign_daily_joined"] = varied(ORACLE["campaign_daily"], GAPS) + """
+WHERE greatest(requests, impressions, clicks, errors, completions) > 0 AND market IS NOT NULL"""
+ORACLE["silver_text"] = varied(_with(GOLD_SILVER, f"SELECT {SILVER_COLS} FROM silver"), AS_TEXT)
+ORACLE["silver_text_sql"] = ORACLE["silver_text"]
+ORACLE["gate_odd_days"] = varied(ORACLE["gate_report"], ODD_DAYS)
+ORACLE["day_gate_observed"] = varied(ORACLE["gate_report"], TWO_DAYS) + " WHERE day(ds) IN (5, 6)"
+ORACLE["moved_events"] = varied(
+    _with(
+        silver_cte("dt, event_id"),
+        """SELECT event_id, event_date, dt FROM silver
+WHERE event_id IN (SELECT event_id FROM silver GROUP BY event_id HAVING min(event_date) <> max(event_date))""",
+    ),
+    MOVED,
+)
+_PASSED = f"(SELECT ds FROM ({varied(ORACLE['gate_verdicts'], RAISED)}) WHERE passed)"
+ORACLE["backfill_gated"] = f"""SELECT * FROM ({varied(ORACLE["campaign_daily"], RAISED)}) WHERE event_date IN {_PASSED}
+UNION ALL SELECT * FROM ({ORACLE["campaign_daily"]}) WHERE event_date NOT IN {_PASSED}"""
+
+# reads of the written marts with a day: the newest one
+_NEWEST = "event_date = (SELECT max(event_date) FROM campaign_daily)"
+ORACLE["written_campaigns_day"] = _with(
+    MARTS_CTE, f"SELECT * FROM campaign_daily WHERE {_NEWEST} AND campaign_id = 'cmp_3' ORDER BY {CAMPAIGN_ORDER} LIMIT 100"
+)
+ORACLE["written_pods_day"] = _with(
+    MARTS_CTE, f"SELECT * FROM pod_fill WHERE {_NEWEST} AND break_type = 'midroll' ORDER BY {POD_ORDER} LIMIT 100"
+)
+ORACLE["written_day_summary"] = _with(
+    MARTS_CTE + f",\nsummary AS ({SUMMARY_SELECT})",
+    """SELECT *, '{"ds":"' || CAST(ds AS VARCHAR) || '","requests":' || CAST(requests AS VARCHAR) || ',"impressions":'
+  || CAST(impressions AS VARCHAR) || ',"clicks":' || CAST(clicks AS VARCHAR) || ',"campaigns":' || CAST(campaigns AS VARCHAR) || '}' AS record
+FROM summary WHERE ds = (SELECT max(ds) FROM summary)""",
+)
+ORACLE["health"] = """SELECT t AS "table", s AS stage, s = 'built' AND (SELECT count(*) FROM events) > 0 AS available
+FROM (VALUES ('campaign_daily'), ('pod_fill')) a(t), (VALUES ('empty'), ('built')) b(s)"""
+
+# streaming with state
+ORACLE["stream_lww_state"] = ORACLE["stream_dedup_lww"]
+ORACLE["stream_closed_days"] = (
+    ORACLE["stream_daily_counts"].replace("FROM silver GROUP BY", "FROM silver\nWHERE event_date + INTERVAL 1 DAY <= (SELECT max(event_ts) - INTERVAL 36 HOUR FROM beacons) GROUP BY")
+)
+ORACLE["stream_late_split"] = varied(
+    _with(
+        BEACONS_CTE,
+        """SELECT event_id, CAST(event_ts AS DATE) AS event_date, ingest_ts, is_late, clearing_price_micros,
+  CASE WHEN ingest_ts - event_ts > INTERVAL 36 HOUR THEN 'too_late' ELSE 'on_time' END AS side FROM beacons""",
+    ),
+    STRAGGLERS,
+)
+ORACLE["topic_landing"] = ORACLE["stream_landing"]

@@ -97,6 +97,107 @@ def beacons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return beacons_from_events(read_table(spark, sf_dir, "events"))
 
 
+# ---------------------------------------------------------------------------
+# Variations of the beacons for rules that the plain mapping does not reach.
+# ---------------------------------------------------------------------------
+
+#: The slot number that every beacon's id ends in.
+SLOT_NO_SQL = "CAST(regexp_extract(event_id, '([0-9]+)$', 1) AS BIGINT)"
+STRAGGLER_HOURS = 40
+
+
+def with_stragglers(rows: DataFrame) -> DataFrame:
+    """Beacons plus a third kind of copy: some impressions come once more ``STRAGGLER_HOURS`` after their event.
+
+    The copies are beyond the accepted lateness and carry a price of their own, so
+    a rule that mixes them up with other copies shows in the revenue.
+    """
+    again = rows.where(f"event_type = 'ad_impression' AND NOT is_late AND {SLOT_NO_SQL} % 120 = 60").withColumns(
+        {
+            "ingest_ts": F.expr(f"event_ts + INTERVAL {STRAGGLER_HOURS} HOURS"),
+            "clearing_price_micros": F.col("clearing_price_micros") + 900,
+            "is_late": F.lit(True),
+        }
+    )
+    return rows.unionByName(again.withColumn("dt", F.to_date("ingest_ts")))
+
+
+def with_moved(rows: DataFrame) -> DataFrame:
+    """Beacons plus copies of some impressions that arrive 20 hours later and date the event a day earlier."""
+    again = rows.where(f"event_type = 'ad_impression' AND NOT is_late AND {SLOT_NO_SQL} % 90 = 7").withColumns(
+        {
+            "event_ts": F.expr("event_ts - INTERVAL 1 DAY"),
+            "ingest_ts": F.expr("ingest_ts + INTERVAL 20 HOURS"),
+            "clearing_price_micros": F.col("clearing_price_micros") + 300,
+        }
+    )
+    return rows.unionByName(again.withColumn("dt", F.to_date("ingest_ts")))
+
+
+def with_odd_days(rows: DataFrame) -> DataFrame:
+    """Beacons whose days break the gate's rules, by day of the month of the event.
+
+    4: negative prices; 6: no requests (so no fill rates); 8: every impression once more
+    under another id; 10: one impression in twenty.
+    """
+    odd = rows.withColumns(
+        {
+            "day_no": F.dayofmonth("event_ts"),
+            "imp": F.col("event_type") == "ad_impression",
+        }
+    )
+    odd = odd.where("NOT (day_no = 6 AND event_type = 'ad_request')").where(f"NOT (day_no = 10 AND imp AND {SLOT_NO_SQL} % 20 <> 0)")
+    odd = odd.withColumn("clearing_price_micros", F.expr("CASE WHEN day_no = 4 THEN -clearing_price_micros ELSE clearing_price_micros END"))
+    ids = F.when(F.col("day_no") == 8, F.when(F.col("imp"), F.array("event_id", F.concat(F.lit("x"), "event_id"))))
+    odd = odd.withColumn("event_id", F.explode(F.coalesce(ids, F.array("event_id"))))
+    return odd.drop("day_no", "imp")
+
+
+def with_gaps(rows: DataFrame) -> DataFrame:
+    """Beacons with null markets in some pods, and quartiles below 100 of a campaign that has nothing else."""
+    slot = F.expr(SLOT_NO_SQL)
+    quiet = (F.col("event_type") == "ad_quartile") & (F.col("quartile") < 100) & (slot % 13 == 5)
+    return rows.withColumns(
+        {
+            "campaign_id": F.when(quiet, F.concat(F.lit("cmp_quiet_"), (slot % 3).cast("string"))).otherwise(F.col("campaign_id")),
+            "market": F.when(slot % 17 != 4, F.col("market")),
+        }
+    )
+
+
+def as_text(rows: DataFrame) -> DataFrame:
+    """Beacons as a text source delivers them: numbers and instants as strings, defaults left out, some junk.
+
+    Instants are written with an offset, ``ingest_ts`` and ``is_late`` only on late copies.
+    By slot number: slot 0 of 4 has no ``slot_index``, the others write it with a fraction part of zero; of 5
+    prices one is 2^53 + 1, one ends in ``.0``, one is no number, one has a fraction; a quartile of 11 has a type outside the contract.
+    """
+    slot = F.expr(SLOT_NO_SQL)
+    price = F.col("clearing_price_micros").cast("string")
+    priced = F.col("clearing_price_micros").isNotNull()
+    foreign = (F.col("quartile") == 25) & (slot % 11 == 0)
+
+    def written(name: str):
+        return F.date_format(F.expr(f"{name} + INTERVAL '05:30' HOUR TO MINUTE"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+05:30'")
+
+    return rows.withColumns(
+        {
+            "event_ts": written("event_ts"),
+            "ingest_ts": F.when(F.col("is_late"), written("ingest_ts")),
+            "is_late": F.when(F.col("is_late"), True),
+            "slot_index": F.when(slot % 4 != 0, F.concat(F.col("slot_index").cast("string"), F.lit(".0"))),
+            "quartile": F.col("quartile").cast("string"),
+            "bid_floor_micros": F.col("bid_floor_micros").cast("string"),
+            "clearing_price_micros": F.when(priced & (slot % 5 == 0), "9007199254740993")
+            .when(priced & (slot % 5 == 1), F.concat(price, F.lit(".0")))
+            .when(priced & (slot % 5 == 2), "n/a")
+            .when(priced & (slot % 5 == 3), F.concat(price, F.lit(".5")))
+            .otherwise(price),
+            "event_type": F.when(foreign, "ad_heartbeat").otherwise(F.col("event_type")),
+        }
+    )
+
+
 # ---------------------------------------------------------------------------
 # Raw drop lines: request beacons as JSON text with one defect per `e % 40`.
 # ---------------------------------------------------------------------------

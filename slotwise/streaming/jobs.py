@@ -21,7 +21,7 @@ has arrived since the last run, then stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,7 +35,8 @@ DT_FROM_PATH = r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})"
 ARRIVAL_SCHEMA = T.StructType([*BEACON_SCHEMA.fields, T.StructField("dt", T.DateType())])
 
 
-def _run(query: StreamingQuery) -> StreamingQuery:
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait for an ``availableNow`` run to end; raise what ended it."""
     query.awaitTermination()
     exc = query.exception()
     if exc is not None:
@@ -70,7 +71,7 @@ def landing_stream(spark: SparkSession, drops: str, landed_path: str, checkpoint
         .trigger(availableNow=True)
         .start()
     )
-    return _run(query)
+    return finish(query)
 
 
 # --- ST2 / ST3 -------------------------------------------------------------------------
@@ -127,7 +128,7 @@ def _current(spark: SparkSession, raw_path: str, dates: list[str]) -> DataFrame:
     return best.where(wanted)
 
 
-def _replace_dates(spark: SparkSession, rows: DataFrame, path: str, dates: list[str]) -> None:
+def replace_dates(spark: SparkSession, rows: DataFrame, path: str, dates: list[str]) -> None:
     """Overwrite the partitions of ``dates``; a date left without rows loses its partition."""
     made = Observation("dates")
     (
@@ -145,7 +146,7 @@ def _rebuild(spark: SparkSession, raw_path: str, silver_path: str):
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         dates = _receive(spark, raw_path, batch, batch_id)
         if dates:
-            _replace_dates(spark, _current(spark, raw_path, dates).select(*SILVER_COLUMNS, "too_late"), silver_path, dates)
+            replace_dates(spark, _current(spark, raw_path, dates).select(*SILVER_COLUMNS, "too_late"), silver_path, dates)
 
     return each_batch
 
@@ -160,16 +161,16 @@ def repair_stream(spark: SparkSession, bronze: str, raw_path: str, silver_path:
         .trigger(availableNow=True)
         .start()
     )
-    return _run(query)
+    return finish(query)
 
 
 # --- ST4 -------------------------------------------------------------------------------
 
 
-def daily_counts(rows: DataFrame) -> DataFrame:
-    """Counts per event date and campaign grain of deduplicated rows."""
+def daily_counts(rows: DataFrame, day: Column | str = "event_date") -> DataFrame:
+    """Counts per event date (or window) and campaign grain of deduplicated rows."""
     is_type = lambda t: F.col("event_type") == t
-    return rows.groupBy("event_date", "campaign_id", "market", "platform", "break_type").agg(
+    return rows.groupBy(day, "campaign_id", "market", "platform", "break_type").agg(
         F.count_if(is_type("ad_request")).alias("requests"),
         F.count_if(is_type("ad_impression")).alias("impressions"),
         F.count_if(is_type("ad_click")).alias("clicks"),
@@ -191,12 +192,12 @@ def daily_counts_stream(spark: SparkSession, bronze: str, raw_path: str, out_pat
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         dates = _receive(spark, raw_path, batch, batch_id)
         if dates:
-            _replace_dates(spark, daily_counts(_current(spark, raw_path, dates)), out_path, dates)
+            replace_dates(spark, daily_counts(_current(spark, raw_path, dates)), out_path, dates)
 
     query = (
         stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    return _run(query)
+    return finish(query)
 
 
 # --- arrivals for tests and the catalog --------------------------------------------------
