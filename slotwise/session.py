@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -74,3 +75,27 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder (one per run, never reused)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    A worker that runs one of its functions imports the package; on a cluster its
+    folder is on the driver only. The archive is made in the driver's temporary folder
+    and served by Spark. A session without a context (a remote one) ships by its own means.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  # remote sessions raise their own kind of error
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="slotwise-package-")
+    name = os.path.basename(package)
+    sources = shutil.copytree(package, f"{folder}/sources/{name}", ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+    sc.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", os.path.dirname(sources)))
