@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pytest
 
 from odd_rows import none, odd  # noqa: F401
 from slotwise.llm import html_text, pii, quality_model, quality_rules
@@ -183,3 +184,63 @@ def test_main_text_is_not_hidden_or_set_aside_by_loose_names():
     assert html_text.main_text(f"<article><p>{words} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>") == f"{words} x=2"
     for attributes in ("hidden", 'style="color:red; display: none"', "aria-hidden=true", 'class="sidebar"', 'class="cookie-notice post"', 'class="post-comments"'):
         assert html_text.main_text(f"<article><p>{words}</p></article><div {attributes}><p>{words}</p></div>") == words, attributes
+
+
+P65 = "<p>" + " ".join(f"w{i}" for i in range(65)) + "</p>"
+
+
+def paragraphs(page: str) -> list[int]:
+    """Sizes of the kept blocks in words."""
+    text = html_text.main_text(page)
+    return [len(b.split()) for b in text.split("\n")] if text else []
+
+
+@pytest.mark.parametrize(
+    "page,sizes",
+    [
+        (f"<body>{P65 * 3}</body>", [65, 65, 65]),
+        (f"<body><h1>Two words</h1>{P65 * 2}<p>end</p></body>", [2, 65, 65, 1]),
+        ("<body>" + P65.replace("p>", "div>") * 4, [65] * 4),
+        ("<table>" + "".join(f"<tr><td>{P65[3:-4]}</td></tr>" for _ in range(3)) + "</table>", [65] * 3),
+        ("<table>" + "".join(f"<tr><td>{P65[3:-4]}" for _ in range(3)) + "</table>", [65] * 3),
+        (f"<nav><a href=x>Home</a></nav><div id=wrap>{P65}<p>short one</p>{P65}</div><footer>Imprint of us</footer>", [65, 2, 65]),
+        (f"<ul><li><a href=a>One</a><li><a href=b>Two</a></ul>{P65 * 2}<ul><li><a href=c>Three</a></ul>", [65, 65]),
+        (f"<p>We use cookies to improve your visit. Accept?</p><h1>A title</h1>{P65 * 2}<p>Copyright 2024, all rights reserved</p>", [2, 65, 65]),
+        (f"<div class=sidebar>{P65}</div>{P65}<div class=related><article>{P65}</article></div>{P65}", [65, 65]),
+        (f"<section>{P65}</section><section><h2>Next part</h2>{P65}</section><form>{P65}</form>", [65, 2, 65]),
+        (f"<body class='home no-sidebar comments-open'><form id=all><main>{P65}</main></form>", [65]),
+        (f"<article>{P65}<article class='comment-body'>{P65}</article></article>", [65]),
+        (f"<aside class=related><article>{P65}</article></aside><article>{P65 * 2}</article>", [65, 65]),
+        (f"<article><p class=ad>x<p>{P65[3:]}</article>", [65]),
+        ("<article><ul><li class=share>S<li>four words of text</ul></article>", [4]),
+        (f"<article><dl><dt class=ad>x<dd>two words</dl>{P65}</article>", [2, 65]),
+        ("<p>one block alone of a page</p>", [6]),
+    ],
+)
+def test_main_text_of_layouts(page, sizes):
+    assert paragraphs(page) == sizes
+
+
+@pytest.mark.parametrize("words", [20, 21, 30, 65, 300])
+def test_no_long_block_outside_a_side_is_dropped(words):
+    """Whatever stands around it: first, last, between links, after one word, with and without an article on the page."""
+    block = "<div>" + " ".join(f"w{i}" for i in range(words)) + "</div>"
+    around = ["", "<p>x</p>", "<p><a href=a>link</a></p>", P65, "<h2>a heading</h2>", "<div class=ad>some advert text</div>", f"<article>{P65}</article>"]
+    for before in around:
+        for after in around:
+            assert words in paragraphs(before + block + after), (before[:20], after[:20])
+
+
+def test_deep_and_broken_nesting_costs_linear_time():
+    import time
+
+    for page in ("<div>" * 30_000 + "x", "<p class=a>" * 20_000 + "x" + "</section>" * 20_000, "<div><li class=a>" * 15_000 + "x"):
+        began = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - began < 5
+
+
+def test_tree_learns_its_layouts():
+    rows = html_text.labelled()
+    own = rows[: sum(len(x.split()) for x in html_text.LAYOUTS)]
+    assert len(own) > 250 and all(html_text.keep(html_text.tree(), r[:-1]) == r[-1] for r in own)
