@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.llm.common import quoted, stored
+from slotwise.llm.common import free_names, quoted, stored
 from slotwise.llm.tokens import chunk_ids, default_vocabulary, packed_ids
 
 CAPACITY = 4096
@@ -225,6 +225,23 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 90,
     return bins
 
 
+#: Plans that are made and compared: the share of the capacity up to which lengths are small (1: best fit alone), and the groups.
+PLANS = ((0.3, 90), (0.2, 90), (1.0, 1))
+
+
+def best_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Bins:
+    """The plan with the fewest sequences; ties and a plan that reaches the volume's bound end the search at the first."""
+    bound = -(-sum(k * n for k, n in histogram.items()) // capacity)
+    best = None
+    for small, groups in PLANS:
+        bins = plan(histogram, capacity, groups, small)
+        if best is None or bins.made < best.made:
+            best = bins
+        if best.made <= bound:
+            break
+    return best
+
+
 def _groups(large: list[tuple[int, int]], groups: int) -> list[list[list[int]]]:
     """Runs ``[length, count]``, longest first, dealt into groups of about equal cardinality.
 
@@ -284,27 +301,27 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
     """
     spark = pieces.sparkSession
     pieces = pieces.drop(*[c for c in pieces.columns if c.lower() in ("sequence_id", "offset")])
+    length, key, salt, n, before, rank, spot = free_names(pieces, "length_", "key", "salt", "n", "before", "rank", "spot")
     salts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # a salt splits a length that many pieces share; ranks run on over its salts
     salted = pieces.withColumns(
         {
-            "_length": quoted(length_col).cast("bigint"),
-            "_key": F.xxhash64(*[quoted(c) for c in pieces.columns if not isinstance(pieces.schema[c].dataType, T.ArrayType)]),
+            length: quoted(length_col).cast("bigint"),
+            key: F.xxhash64(*[quoted(c) for c in pieces.columns if not isinstance(pieces.schema[c].dataType, T.ArrayType)]),
         }
-    ).withColumn("_salt", F.pmod(F.col("_key"), F.lit(salts)).cast("int"))
-    counts = stored(salted.groupBy("_length", "_salt").agg(F.count(F.lit(1)).alias("_n")), "pack-counts")
-    histogram = {r[0]: r[1] for r in counts.groupBy("_length").agg(F.sum("_n")).collect()}  # at most `capacity` rows
-    runs = plan(histogram, capacity).runs
-    before = W.partitionBy("_length").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
-    ranked = salted.withColumn("_rank", F.row_number().over(W.partitionBy("_length", "_salt").orderBy("_key")) - 1)
-    placed = ranked.join(starts, ["_length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_from"))
-    spot = _lookup(runs)(F.col("_length"), F.col("_rank"))
-    placed = placed.withColumn("_spot", spot)
+    ).withColumn(salt, F.pmod(F.col(key), F.lit(salts)).cast("int"))
+    counts = stored(salted.groupBy(length, salt).agg(F.count(F.lit(1)).alias(n)), "pack-counts")
+    histogram = {r[0]: r[1] for r in counts.groupBy(length).agg(F.sum(n)).collect()}  # at most `capacity` rows
+    runs = best_plan(histogram, capacity).runs
+    earlier = W.partitionBy(length).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(length, salt, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    ranked = salted.withColumn(rank, F.row_number().over(W.partitionBy(length, salt).orderBy(key)) - 1)
+    placed = ranked.join(starts, [length, salt]).withColumn(rank, F.col(rank) + F.col(before))
+    placed = placed.withColumn(spot, _lookup(runs)(F.col(length), F.col(rank)))
     return placed.select(
         *[quoted(c) for c in pieces.columns],
-        F.col("_spot.sequence_id").alias("sequence_id"),
-        F.col("_spot.offset").alias("offset"),
+        F.col(spot)["sequence_id"].alias("sequence_id"),
+        F.col(spot)["offset"].alias("offset"),
     )
 
 
