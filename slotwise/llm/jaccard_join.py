@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import quoted, runs_of, stored
+from slotwise.llm.common import free_names, quoted, runs_of, stored
 from slotwise.llm.graph import components, copies_of, linked_rows
 
 WORDS = 5
@@ -351,6 +351,7 @@ def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Rows with a null id stay. All columns stay as they are.
     """
-    gone = jaccard_classes(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(gone, quoted(id_col) == F.col("_gone"), "left_anti")
+    (name,) = free_names(docs, "gone")
+    gone = jaccard_classes(docs, id_col, text_col).where("not kept").select(quoted(id_col).alias(name)).distinct()
+    kept = docs.join(gone, quoted(id_col) == F.col(name), "left_anti")
     return kept.dropDuplicates()
