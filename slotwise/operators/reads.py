@@ -153,11 +153,20 @@ def report_pods(pod_fill: DataFrame, limit: int = REPORT_PODS) -> DataFrame:
     )
 
 
+PRINTED = "decimal(28,6)"
+
+
+def _printed(mart: DataFrame) -> list[Column]:
+    """A mart's columns with its doubles as decimals (their values have at most six places)."""
+    return [F.col(c).cast(PRINTED).alias(c) if kind == "double" else F.col(c) for c, kind in mart.dtypes]
+
+
 def report_snapshot(campaign_daily: DataFrame, pod_fill: DataFrame) -> DataFrame:
     """Per day, one JSON document {summary, campaigns[40], pods[30]}.
 
     The arrays are bounded (top 40 / top 30 per day, ranked by a window with a
-    group limit), so no unbounded group is collected.
+    group limit), so no unbounded group is collected. Amounts and rates are written
+    as decimals, so the text of a document does not depend on an engine's way to print doubles.
     """
     camp_rank = Window.partitionBy("event_date").orderBy(*campaign_order()[1:])
     pod_rank = Window.partitionBy("event_date").orderBy(*pod_order()[1:])
@@ -165,13 +174,13 @@ def report_snapshot(campaign_daily: DataFrame, pod_fill: DataFrame) -> DataFrame
         campaign_daily.withColumn("rank", F.row_number().over(camp_rank))
         .where(F.col("rank") <= SNAPSHOT_CAMPAIGNS)
         .groupBy("event_date")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", *campaign_daily.columns))).alias("campaign_rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", *_printed(campaign_daily)))).alias("campaign_rows"))
     )
     pods = (
         pod_fill.withColumn("rank", F.row_number().over(pod_rank))
         .where(F.col("rank") <= SNAPSHOT_PODS)
         .groupBy("event_date")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", *pod_fill.columns))).alias("pod_rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", *_printed(pod_fill)))).alias("pod_rows"))
     )
     summary = day_summaries(campaign_daily).withColumnRenamed("ds", "event_date")
     doc = summary.join(camps, "event_date", "left").join(pods, "event_date", "left")
@@ -184,8 +193,8 @@ def report_snapshot(campaign_daily: DataFrame, pod_fill: DataFrame) -> DataFrame
                     "requests",
                     "impressions",
                     "clicks",
-                    "revenue",
-                    "fill_rate",
+                    F.col("revenue").cast(PRINTED).alias("revenue"),
+                    F.col("fill_rate").cast(PRINTED).alias("fill_rate"),
                     "campaigns",
                 ).alias("summary"),
                 F.transform("campaign_rows", lambda r: r.dropFields("rank")).alias("campaigns"),

@@ -718,3 +718,27 @@ ORACLE["stream_late_split"] = varied(
     STRAGGLERS,
 )
 ORACLE["topic_landing"] = ORACLE["stream_landing"]
+
+
+# R8 as text: amounts and rates are decimals of six places, so both engines print them alike
+def _document(columns: str, rates: str) -> str:
+    parts = [f"{c} := {c}" for c in columns.split()] + [f"{c} := CAST({c} AS DECIMAL(28, 6))" for c in rates.split()]
+    return f"struct_pack({', '.join(parts)})"
+
+
+ORACLE["report_snapshot"] = _with(
+    MARTS_CTE
+    + f""",
+summary AS ({SUMMARY_SELECT}),
+c AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY {CAMPAIGN_ORDER}) AS rank FROM campaign_daily),
+p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY {POD_ORDER}) AS rank FROM pod_fill),
+cs AS (SELECT event_date, list({_document("event_date campaign_id market platform break_type requests impressions clicks errors completions revenue_micros", "revenue fill_rate ctr completion_rate ecpm")} ORDER BY rank) AS campaigns
+       FROM c WHERE rank <= 40 GROUP BY event_date),
+ps AS (SELECT event_date, list({_document("event_date pod_id break_type content_id platform market requests impressions errors filled", "pod_fill_rate")} ORDER BY rank) AS pods
+       FROM p WHERE rank <= 30 GROUP BY event_date)""",
+    """SELECT ds AS event_date, CAST(to_json(struct_pack(
+  summary := struct_pack(ds := CAST(ds AS VARCHAR), requests := requests, impressions := impressions, clicks := clicks,
+    revenue := CAST(revenue AS DECIMAL(28, 6)), fill_rate := CAST(fill_rate AS DECIMAL(28, 6)), campaigns := summary.campaigns),
+  campaigns := cs.campaigns, pods := ps.pods)) AS VARCHAR) AS payload
+FROM summary LEFT JOIN cs ON cs.event_date = ds LEFT JOIN ps ON ps.event_date = ds""",
+)

@@ -7,9 +7,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from slotwise.plans import catalog
 from tools.check_oracle import _rows, duck
 
-KEYS = list(entry.queries())
+#: The reference's own operators; the training-data queries are covered by their own tests.
+KEYS = list(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +19,9 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_key_has_an_oracle_or_is_a_document():
-    missing = set(KEYS) - set(entry.oracle_sql())
-    assert missing <= {"report_snapshot"}
+def test_every_key_has_an_oracle():
+    assert set(KEYS) <= set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
