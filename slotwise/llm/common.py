@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.session import scratch_path
+from slotwise.session import scratch_path, ship_package
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -18,12 +18,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: later stages depend on files that every executor can
     reach. The schema is handed over, so an empty table reads back as well.
     """
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,6 +52,7 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
     ``make()`` runs once per task and returns ``columns -> columns``; its state
     (models, caches) lives as long as the task. Batches stay as Spark cut them.
     """
+    ship_package(df.sparkSession)
     target = df.sparkSession.createDataFrame([], schema).schema
     fields = pa.schema([(f.name, _arrow_type(f.dataType)) for f in target.fields])
 
@@ -62,6 +65,17 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], di
     return df.mapInArrow(run, target)
 
 
+#: Bytes of rows that travel to a Python worker at once, so that a batch of long texts stays small.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes too (Spark's default bounds their rows only), unless the session does so itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def with_fields(df: DataFrame, ddl: str) -> T.StructType:
     """The schema of ``df`` followed by the fields of ``ddl``."""
     return T.StructType(df.schema.fields + T.StructType.fromDDL(ddl).fields)

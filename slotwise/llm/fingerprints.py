@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import quoted, stored, with_fields
+from slotwise.llm.common import bounded_batches, quoted, stored, with_fields
 
 WINDOW = 7
 SMALLEST = 3
@@ -180,48 +180,48 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shuffle partitions.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     text = F.coalesce(quoted(text_col), F.lit(""))
     docs = df.select(quoted(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     borders = _borders(docs, parts)
-    dealt = with_fields(docs, "part int, ahead boolean, fingerprint string")
     made = with_fields(
         docs.select("id"), "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     )
 
-    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row with its range; the first key of a range also goes, marked, to the range before."""
-        for batch in batches:
-            ids, hashes, texts = (c.to_pylist() for c in batch.columns)
-            at, part, ahead = [], [], []
-            for row, (i, h) in enumerate(zip(ids, hashes)):
-                key = (i is not None, i, h)
-                here = bisect_right(borders, key) - 1
-                at.append(row)
-                part.append(here)
-                ahead.append(False)
-                if key == borders[here]:
-                    at.append(row)
-                    part.append((here or len(borders)) - 1)
-                    ahead.append(True)
-            signs = [fingerprint(t).text() for t in texts]
-            more = [pa.array(part, pa.int32()), pa.array(ahead, pa.bool_()), pa.array([signs[row] for row in at], pa.string())]
-            yield pa.record_batch([*batch.take(pa.array(at, pa.int64())).columns, *more], names=dealt.names)
+    @F.arrow_udf("array<struct<part: int, ahead: boolean>>")
+    def places(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        """Each row's range; the first key of a range also goes, marked, to the range before."""
+        out = []
+        for i, h in zip(ids.to_pylist(), hashes.to_pylist()):
+            key = (i is not None, i, h)
+            here = bisect_right(borders, key) - 1
+            out.append([{"part": here, "ahead": False}])
+            if key == borders[here]:
+                out[-1].append({"part": (here or len(borders)) - 1, "ahead": True})
+        return pa.array(out, pa.list_(pa.struct([("part", pa.int32()), ("ahead", pa.bool_())])))
+
+    @F.arrow_udf("string")
+    def sign(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t.as_py()).text() for t in texts], pa.string())
 
     def edit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a range in order; a row is finished when its successor is seen."""
         held = None
         for batch in batches:
             out = []
-            for i, text, ahead, sign in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in range(batch.num_rows):  # one text at a time
+                i, text, ahead, own = (c[row].as_py() for c in batch.columns)
                 if held:
-                    out.append(_finished(*held, text, sign))
-                held = None if ahead else (i, text, sign)
+                    out.append(_finished(*held, text, own))
+                held = None if ahead else (i, text, own)
             columns = list(zip(*out)) or [()] * len(made.names)
             kinds = [batch.schema.field(0).type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=made.names)
 
-    ranges = docs.mapInArrow(deal, dealt).repartitionById(max(len(borders), 1), "part")
+    dealt = docs.select("*", sign("text").alias("fingerprint"), F.explode(places("id", "h")).alias("place"))
+    dealt = dealt.select("id", "h", "text", "fingerprint", "place.part", "place.ahead")
+    ranges = dealt.repartitionById(max(len(borders), 1), "part")
     ranges = ranges.sortWithinPartitions("part", "ahead", F.col("id").asc_nulls_first(), "h")
     return ranges.select("id", "text", "ahead", "fingerprint").mapInArrow(edit, made)
 
