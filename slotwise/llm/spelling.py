@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import quoted, stored
+from slotwise.llm.common import bounded_batches, quoted, stored
 
 #: Words that cut the coarse trees, at most; and the words a box should hold.
 SAMPLE, BOX = 65_536, 8192
@@ -307,11 +307,14 @@ def _search_group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _coarse_trees(vocabulary: DataFrame) -> dict[int, tuple[Cut | int, int, int]]:
     """Per length: its tree, the number of its first box, and how many there are.
 
-    Lengths come from one row per length, words from a sample that is bounded by ``SAMPLE``.
+    Lengths come from one row per length, words from a sample of about ``SAMPLE`` words (all, if
+    there are no more), those of lowest hash.
     """
     lengths = {r["size"]: r["n"] for r in vocabulary.groupBy(F.length("word").alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}
     by_size: dict[int, list[str]] = {}
-    for r in vocabulary.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect():
+    share = min(1.0, SAMPLE / max(sum(lengths.values()), 1))
+    lowest = F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < int(share * (1 << 40))
+    for r in vocabulary.where(lowest).select("word").collect():
         by_size.setdefault(len(r["word"]), []).append(r["word"])
     out, first = {}, 0
     for size in sorted(lengths):
@@ -409,6 +412,7 @@ def spelling_variants(
     ``drop_every`` only (a null id is empty there), and other columns are not read. An
     empty table gives an empty table.
     """
+    bounded_batches(df.sparkSession)
     vocabulary = stored(word_counts(df, id_col, text_col, least, min_count, drop_every), "spelling-words")
     near = near_words(vocabulary)
     joined = vocabulary.join(near, "word", "left")
