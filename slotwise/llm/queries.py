@@ -83,7 +83,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         (F.octet_length(text).cast("bigint") + 8).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.sha2("text", 256).alias("text_sha"),
+        F.sha2(text, 256).alias("text_sha"),  # null and empty texts are one group
     )
     return sharding.byte_shards(rows, "doc_id", "size", "text_sha", SHARDS).select(
         "doc_id",
