@@ -75,7 +75,8 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(int(p) <= 255 for p in m.group().split(".") if len(p) < 20) and all(len(p) < 20 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]  # of any length, by their value
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         d = digits_of(m.group())
@@ -94,28 +95,30 @@ def joined(spans: list[Span]) -> str:
 
 # --- the field ---------------------------------------------------------------------------
 
-#: What a segment of a type may look like at most; the field weighs every fit.
+#: What a segment of a type may look like at most; the field weighs every fit. Names and labels have any
+#: length and domains any number of labels; a name has up to four words joined by "dot".
+_NAME = r"(?<![\w.+-])[\w.+-]+(?: dot [\w.+-]+){0,3}?"
+_FIRST = r"(?:(?: ?@ ?| ?[(\[] ?at ?[)\]] ?| at )[\w-]+)"
+_LABEL = re.compile(r"(?: ?\. ?| ?[(\[] ?dot ?[)\]] ?| dot )([A-Za-z0-9-]+)(?![\w-])", re.I)
+_ADDRESS = re.compile(_NAME + _FIRST, re.I)
 SHAPES = {
-    "email": re.compile(
-        r"(?<![\w.+-])[\w.+-]+"
-        r"(?:(?: ?@ ?| ?[(\[] ?at ?[)\]] ?)[\w-]{1,63}(?:(?: ?\. ?| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,63}){1,4}"
-        r"| at [\w-]{1,63}(?:(?:\.| ?[(\[] ?dot ?[)\]] ?| dot )[A-Za-z0-9-]{2,63}){1,4})",
-        re.I,
-    ),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?:\[\.\]| ?\. ?| dot )[0-9]{1,3}){3}(?![\w])", re.I),
     "card": re.compile(r"(?<!\w)[0-9](?:[ ./-]{0,2}[0-9]){12,18}(?!\w)"),
     "phone": re.compile(r"(?<!\w)(?:\+|00|\()?[0-9][0-9 ().\-/]{5,22}[0-9](?!\w)"),
-    "secret": re.compile(r"(?<![\w-])[A-Za-z0-9_+/=-]{20,128}(?![\w-])"),
 }
+#: A secret is a whole run of these characters, or what stands between the first "=" or the slashes of one.
+_RUN = re.compile(r"[A-Za-z0-9_+/=-]{20,}")
+_PART = re.compile(r"[^/]{20,}")
+#: Groups of digits that a phone or card number has at most: lists of small numbers are none.
+GROUPS = {"phone": 6, "card": 6}
+#: Ends of a domain that are offered besides the last one.
+DOMAIN_ENDS = 6
 #: Every shape holds one of these: a digit or ``@``, a word "at" with a domain after it or in brackets, a long word.
 _TRIGGER = re.compile(r"[0-9@]")
 _AT = re.compile(r"[(\[] ?at ?[)\]]|\bat [\w-]{1,63}(?:\.[A-Za-z0-9]| ?[(\[] ?dot| dot )", re.I)
-_LONG = re.compile(r"[A-Za-z0-9_+/=-]{20,}")
 _WORD = re.compile(r"\w+|[^\w\s]")
-_RUN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9_+/=-]{129,}(?![\w-])")  # a secret beyond its shape's bound is the whole run
 _JOINED = re.compile(r"[\w.+/=-]{2}")  # a stretch is not cut within a name or run
 _MORE = re.compile(r" ?(?:\.[A-Za-z0-9]|[(\[] ?dot ?[)\]]|dot [A-Za-z0-9])", re.I)  # a further label of the domain
-_INSIDE = re.compile(r"[\w-]")  # a secret does not end before one of these
 REACH = 500  # characters a shape can span, with room for its context
 
 
@@ -171,33 +174,73 @@ def features(kind: str, text: str, start: int, end: int, before: list[str]) -> l
     return [f"{kind}|{f}" for f in out]
 
 
+def _addresses(text: str, tokens: list[tuple[int, int]], hi: int) -> list[tuple[int, int]]:
+    """Candidate e-mail segments: from each name, to the ends of its domain after two labels or more."""
+    out = []
+    for a, _ in tokens:
+        m = _ADDRESS.match(text, a, hi)
+        if not m:
+            continue
+        ends, at = [], m.end()
+        while label := _LABEL.match(text, at, hi):
+            at = label.end()
+            if len(label.group(1)) > 1:
+                ends.append(at)
+        out += [(a, b) for b in (*ends[:DOMAIN_ENDS], *ends[max(DOMAIN_ENDS, len(ends) - 1) :])]
+    return out
+
+
+def _numbers(kind: str, text: str, tokens: list[tuple[int, int]], i: int, hi: int) -> list[tuple[int, int]]:
+    """Candidate segments of a number kind from token ``i``: the shape's longest fit and its shorter ones that end with a token."""
+    a = tokens[i][0]
+    m = SHAPES[kind].match(text, a, hi)
+    if not m:
+        return []
+    out, groups, digits = [], 0, 0
+    for j in range(i, len(tokens)):
+        c, b = tokens[j]
+        if b > m.end():
+            break
+        if text[c].isdigit():
+            groups, digits = groups + 1, digits + len(digits_of(text[c:b]))
+        if groups > GROUPS.get(kind, 4) or digits > 19:
+            break
+        if kind == "phone" and not 7 <= digits <= 15 or kind == "card" and digits < 13:
+            continue
+        if b == m.end() or SHAPES[kind].fullmatch(text, a, b):  # at most 40 characters
+            out.append((a, b))
+    return out
+
+
+def _secrets(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """Candidate secrets: whole runs, what follows the first "=" of one, and the long parts between its slashes."""
+    out = []
+    for run in _RUN.finditer(text, lo, hi):
+        a, b = run.span()
+        if (a and re.match(r"[\w-]", text[a - 1])) or re.match(r"[\w-]", text[b : b + 1]):
+            continue
+        out.append((a, b))
+        at = text.find("=", a, b)
+        if 0 <= at < b - 20 and at > a:
+            out.append((at + 1, b))
+        if "/" in run.group():
+            out += [m.span() for m in _PART.finditer(text, a, b)]
+    return out
+
+
 class Stretch:
     """One stretch of text: its token starts and the segments that some shape allows."""
 
     def __init__(self, text: str, lo: int, hi: int, taken: list[tuple[int, int]]):
         self.tokens = [(m.start(), m.end()) for m in _WORD.finditer(text, lo, hi)]
         lower = [text[a:b].lower() for a, b in self.tokens]
-        found = set()
-        for kind, shape in SHAPES.items():
-            for i, (a, b) in enumerate(self.tokens):
-                if not (text[a].isdigit() or text[a] in "+(" or kind in ("email", "secret")):
-                    continue
-                m = shape.match(text, a, hi)
-                if not m:
-                    continue
-                # no fit is longer than the greedy one; every shorter one that ends with a token is a candidate as well
-                for j in range(i + 1, len(self.tokens) + 1):
-                    b = self.tokens[j - 1][1]
-                    if b > m.end():
-                        break
-                    if kind == "phone" and not 7 <= len(digits_of(text[a:b])) <= 15:
-                        continue
-                    if b == m.end() or (not (kind == "secret" and _INSIDE.match(text, b)) and shape.fullmatch(text, a, b)):
-                        found.add((i, j, kind))
         at_start, at_end = ({t[side]: i for i, t in enumerate(self.tokens)} for side in (0, 1))
-        for m in _RUN.finditer(text, lo, hi):
-            if m.start() in at_start and m.end() in at_end:
-                found.add((at_start[m.start()], at_end[m.end()] + 1, "secret"))
+        spans = [("email", a, b) for a, b in _addresses(text, self.tokens, hi)] + [("secret", a, b) for a, b in _secrets(text, lo, hi)]
+        for i, (a, _) in enumerate(self.tokens):
+            if text[a].isdigit() or text[a] in "+(":
+                spans += [(kind, *span) for kind in SHAPES for span in _numbers(kind, text, self.tokens, i, hi)]
+        # a segment starts and ends with tokens
+        found = {(at_start[a], at_end[b] + 1, kind) for kind, a, b in spans if a in at_start and b in at_end}
         self.segments = []  # (first token, token after the last, kind, features)
         for i, j, kind in sorted(found):
             a, b = self.tokens[i][0], self.tokens[j - 1][1]
@@ -216,7 +259,7 @@ def stretches(text: str, taken: list[tuple[int, int]]) -> list[Stretch]:
     if " at " in (low := text.lower()) or "(at" in low or "[at" in low or "( at" in low or "[ at" in low:
         found += [m.span() for m in _AT.finditer(text)]
     if max(map(len, text.split()), default=0) >= 20:
-        found += [m.span() for m in _LONG.finditer(text)]
+        found += [m.span() for m in _RUN.finditer(text)]
     out, lo, hi = [], -1, -1
     for a, b in sorted(found):
         if hi < 0 or a - REACH > hi:
@@ -291,6 +334,10 @@ EXAMPLES = (
     "mail {email:aaaaa at aaaa dot aaaaaa dot com} for more",
     "write to {email:aaaa (at) aaaa (dot) aaaaaaa (dot) org} today",
     "aaa {email:aaaaa at aaaaaaaa dot aaa dot aaaaaa dot net} aaa",
+    "write to {email:aaaa dot aaaaaa at aaaaa dot com} today",
+    "mail {email:aaaaa dot aaaa dot aaaaa at aaaaaa dot org} for more",
+    "mail {email:aaa at aaaaaaaaa dot aaaaaaaaaaaaaaaaaaaaaaaaaaaaa dot com} now",
+    "mail {email:aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa at aaaaa dot aaaaa dot com} now",
     "we met {-:aaaaa at aaaaaa dot} then",
     "look {-:at aaaaaa. aaaa} aaaa at the aaaa. aaaaa aaa",
     "aaa aaaa at aaaaa. aaaa aa at a aaaaaa. aa",
@@ -332,6 +379,10 @@ EXAMPLES = (
     "aaa {-:0000000000} aaa",
     "pages {-:000 - 000} aaa",
     "aaa {-:0 0 0 0 0 0 0} aaa",
+    "{-:00 000 0000 00 000 0000} {-:00 000 0000 00 000 0000}",
+    "aaa {-:00 00 00 00 000 000 00 00 0 000} aaa",
+    "{-:000 000 000 000 000 000 000 000 000}",
+    "aaaa {-:0000 0000 000 0000 00 0000 0000} aaa",
     "isbn {-:000-0-00-000000-0} aaa",
     'token = "{secret:xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx}" aaa',
     'aaa token = "{secret:xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx}" aaa',
@@ -349,7 +400,7 @@ EXAMPLES = (
     "aaa {-:-----------------------------} aaa",
     "commit {-:xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx} aaa",
 )
-REPEATS, EPOCHS, RATE, DECAY = 3, 8, 0.3, 1e-3
+REPEATS, EPOCHS, RATE, DECAY = 3, 12, 0.3, 1e-3
 
 
 def example(pattern: str, rng: random.Random) -> tuple[str, list[Span]]:

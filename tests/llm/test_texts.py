@@ -122,6 +122,31 @@ def test_field_finds_long_secrets_names_and_domain_labels():
         assert pii.all_spans(f"mail {part} now", weights)[1] == [("email", 5, 5 + len(part))], part
 
 
+def test_names_domains_and_parts_of_any_length():
+    weights = pii.trained()
+    for part in ("john dot smith at gmail dot com", "joe [at] a.b.c.d.e.example.com", "joe at " + "m" * 80 + " dot com", "x" * 300 + " [at] " + "y.yy." * 40 + "com"):
+        assert pii.all_spans(f"mail {part} now", weights)[1] == [("email", 5, 5 + len(part))], part
+    assert pii.base_spans("0000000000000000000001.2.3.4") == [("ip", 0, 28)] and pii.base_spans("0000000000000000000256.2.3.4") == []
+    hidden = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    assert pii.all_spans(f"commit {hidden} aaa", weights)[1] == [] and pii.all_spans(f"sha1 {hidden}", weights)[1] == []
+
+
+def test_long_texts_cost_linear_time():
+    import time
+
+    weights = pii.trained()
+    for part, n in (("a.", 4000), ("a/1", 8000), ("1 ", 8000), ("x at ", 4000), ("a dot ", 4000), ("0123456789abcdef", 20_000)):
+        took = []
+        for text in (part * n + "a@b.com", part * 4 * n + "a@b.com"):
+            began = time.process_time()
+            pii.all_spans(text, weights)
+            took.append(time.process_time() - began)
+        assert took[1] < 8 * took[0] + 0.5, (part, took)
+    began = time.process_time()
+    pii.all_spans("a." * 4000 + "a@b.com", weights)
+    assert time.process_time() - began < 0.5
+
+
 def test_viterbi_and_marginals_equal_enumeration():
     segments = [(0, 2, "a", []), (1, 3, "b", []), (2, 4, "c", []), (0, 4, "d", [])]
     scores = [1.0, 2.5, 1.2, 2.0]
