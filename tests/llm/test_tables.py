@@ -38,6 +38,42 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark, odd):
     assert licenses.license_scan(files.limit(0)).count() == 0
 
 
+GNU_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os"""
+
+
+def test_wrapped_notices_and_identifier_lines_are_found(spark):
+    texts = {
+        "gpl3.py": GNU_HEADER,
+        "gpl2.py": GNU_HEADER.replace("version 3", "version 2"),
+        "lgpl.py": GNU_HEADER.replace("program", "library").replace("General Public", "Lesser General Public"),
+        "agpl.py": GNU_HEADER.replace("General Public", "Affero General Public"),
+        "isc.c": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted",
+        "un.txt": "This is free and unencumbered software released into the public domain.",
+        "sa.txt": "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License",
+        "mit.js": "// SPDX-License-Identifier: MIT\ncode of the file",
+        "ap.rs": "// SPDX-License-Identifier: Apache-2.0",
+        "gp.c": "/* SPDX-License-Identifier: GPL-2.0-or-later */",
+        "eupl.c": "// SPDX-License-Identifier: EUPL",
+        "none.c": "we modify the terms of the general plan and publish it, either version of it",
+    }
+    want = ["GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "ISC", "Unlicense", "CC-BY-SA-4.0", "MIT", "Apache-2.0", "GPL-2.0", None, None]
+    rows = [(f"d{i}/{name}", text) for i, (name, text) in enumerate(texts.items())] + [(f"e{i}/{i}.txt", "just words of a file") for i in range(60)]
+    got = {r["path"].split("/")[1]: r["own_license"] for r in licenses.license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert [got[name] for name in texts] == want
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
+    rows = [("a.txt", "Released under the MIT License by Acme"), ("b.txt", "Released under the MIT License")] + [(f"{i}.txt", f"words of file {i}") for i in range(198)]
+    one = spark.createDataFrame(rows, "path string, text string")
+    many = one.crossJoin(spark.range(40)).select(F.concat(F.col("id").cast("string"), F.lit("/"), "path").alias("path"), "text")
+    verdict = lambda df: {(r["path"].split("/")[-1], r["own_license"], r["own_score"]) for r in licenses.license_scan(df).collect()}
+    assert verdict(one) == verdict(many)
+
+
 def test_mixing_meets_its_weights_and_handles_odd_rows(spark, odd, none):
     docs = spark.range(6000).select(
         F.col("id").alias("doc_id"), F.lit("x" * 9).alias("text"), F.when(F.col("id") % 6 == 0, "s").otherwise("t").alias("source")
