@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import stored
 
 
+#: A node with more than this share of all edges is a hub; there are at most twice its inverse.
+HUB_SHARE = 1 / 1000
+
+
+def _meet(rows: DataFrame, info: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with one row ``key, ..., n`` per key; ``n`` is the key's number of rows.
+
+    The rows of hubs are not gathered by their key: hubs are few, whatever the size of
+    the table, and go to all tasks; every other key has a bounded share of the rows.
+    """
+    hub = F.col("n") > HUB_SHARE * total
+    hubs = F.broadcast(info.where(hub).drop("n"))
+    return rows.join(hubs, key).union(rows.join(hubs.select(key), key, "left_anti").join(info.where(~hub).drop("n"), key))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """``id, component`` for every node of ``edges(a, b)``; a component is named by its smallest node.
 
@@ -21,11 +36,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     now = stored(edges.where("a <> b").select(hi.alias("hi"), lo.alias("lo")).distinct(), f"{name}-edges")
     mark = _mark(now)
     while mark[0]:
+        total = 2 * mark[0]
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        roots = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        small = large.join(roots, "hi").where("lo > root").select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = _meet(both.where("v > u"), least, "u", total).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = stored(large, f"{name}-large")
+        roots = stored(large.groupBy("hi").agg(F.min("lo").alias("root"), F.count(F.lit(1)).alias("n")), f"{name}-roots")
+        small = _meet(large, roots, "hi", total).where("lo > root").select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
         now = stored(small.union(roots.select("hi", F.col("root").alias("lo"))).distinct(), f"{name}-round")
         before, mark = mark, _mark(now)
         if mark == before:

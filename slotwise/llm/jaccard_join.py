@@ -6,19 +6,24 @@ punctuation read as space). Texts with equal words are one *node* and are never
 1. Each node gets a sketch of ``COORDS`` minimum hashes: a set of that many
    tokens (coordinate, value), of which two sets share about their Jaccard part.
    Only the low ``SKETCH_BITS`` of a value travel (b-bit minwise hashing): equal
-   values stay equal, and unequal ones meet by chance once in 65,536.
+   values stay equal, and unequal ones meet by chance once in 256.
 2. Chosen paths: the root samples ``ROOTS`` coordinates and puts every node into
-   the bucket of its token at each; the runs of the method are these independent
+   the bucket of its whole token at each; the runs of the method are these independent
    samples. A bucket that is too large samples ``FAN`` more coordinates, the same
    for all its nodes, and splits again. Two sets of similarity s meet in a given
    run with probability p = 1 - (1 - s p)^FAN or more, 0.94 at s = 0.8, so all
    runs miss such a pair with probability (1 - 0.8 * 0.94)^ROOTS, about 1e-6.
 3. Small buckets are compared by brute force on the sketches, with a threshold
-   four deviations below 0.8. A bucket that keeps at least half of its parent's nodes
-   is dense; its nodes go on together.
-4. The candidates' connected components are compared exactly on whole shingle
-   sets, in blocks, where every pair of a component meets once. Only each node's
-   link count and one edge per node leave a block, never the pairs.
+   five deviations below 0.8 (missed at 0.8: 3e-7). A bucket that keeps at least ``DENSE``
+   of its parent's nodes holds mostly similar sets, which no path takes apart: its sketches
+   are compared in blocks of pairs of parts. Texts that share less, a common
+   passage say, are split on until they stand apart.
+4. Only nodes whose sketches agree are joined to candidates. Their connected components are
+   compared exactly on whole shingle sets, in blocks, where every pair of a component meets
+   once. Only each node's link count and one edge per node leave a block, never the pairs.
+5. Audit: the links of a sample of rows are found by comparing them with every text, in the pass that makes
+   the sketches. Runs are repeated with other samples until the recall of
+   these links reaches ``TARGET``.
 
 Links are exact pairs with Jaccard >= 0.8; a class is a connected component of links.
 """
@@ -26,6 +31,8 @@ Links are exact pairs with Jaccard >= 0.8; a class is a connected component of l
 from __future__ import annotations
 
 import hashlib
+import logging
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +45,22 @@ from slotwise.llm.graph import components, copies_of, linked_rows
 WORDS = 5
 THRESHOLD = 0.8
 COORDS = 128
-SKETCH_BITS = 16
+SKETCH_BITS = 8
 ROOTS = 10
 FAN = 2
 LEAF = 128
-DENSE = 0.5
-#: Sketch share below which a pair is not a candidate: 0.8 less four deviations of a mean of 128.
-MAYBE = THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / COORDS) ** 0.5
-#: Nodes and shingles of a block in the exact comparison (sizes of work, not limits).
-BLOCK_NODES, BLOCK_SHINGLES = 200, 400_000
+DENSE = 0.75
+#: Levels of paths; buckets that are still large then are compared in blocks, like dense ones.
+LEVELS = 40
+#: Sketch share below which a pair is not a candidate: 0.8 less five deviations of a mean of 128.
+MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / COORDS) ** 0.5
+#: Nodes of a part of a dense bucket, nodes and shingles of a block in the exact comparison (sizes of work, not limits).
+PART_NODES, BLOCK_NODES, BLOCK_SHINGLES = 2000, 800, 400_000
+#: Recall wanted, rounds of runs at most, rows that are audited (about), and their shingles (at most).
+TARGET, ROUNDS = 0.95, 4
+AUDIT_ROWS, AUDIT_SHINGLES = 1000, 1_000_000
+#: Coordinates that make a root bucket of the later rounds, as sketches hold 8 bits of each.
+ROOT_WIDTH = 4
 #: Most candidate nodes that are broadcast to fetch their texts (8 MB).
 BROADCAST_MEMBERS = 200_000
 CACHE_WORDS = 300_000
@@ -125,27 +139,103 @@ def node_of(words: list[bytes]) -> int | None:
     return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """``id, node, n_shingles, sketch, roots`` of every row; ``node`` null without words or without an id."""
+@dataclass(frozen=True)
+class Audit:
+    """A sample of rows with their shingles, inverted: ``values`` sorted, their owners from ``start`` on."""
+
+    ids: list[int]
+    nodes: np.ndarray
+    sizes: np.ndarray
+    values: np.ndarray
+    start: np.ndarray
+    owners: np.ndarray
+
+    def linked(self, found: np.ndarray) -> np.ndarray:
+        """Sampled rows whose sets link with ``found`` (equal sets too)."""
+        at = np.searchsorted(self.values, found)
+        at = at[at < len(self.values)] if len(self.values) else at[:0]
+        at = at[self.values[at] == found[: len(at)]]
+        if not len(at):
+            return at
+        owners = np.concatenate([self.owners[a:b] for a, b in zip(self.start[at], self.start[at + 1])])
+        common = np.bincount(owners, minlength=len(self.ids))
+        return np.flatnonzero((common > 0) & (common >= THRESHOLD * (self.sizes + len(found) - common) - 1e-9))
+
+
+def audit_of(rows: list[tuple[int, str | None]]) -> Audit:
+    """The audit of rows ``(id, text)`` of distinct ids, as many as ``AUDIT_SHINGLES`` allow; texts without words are left out."""
+    ids, nodes, sets, total = [], [], [], 0
+    for id_, text in rows:
+        words = words_of(text)
+        found = shingles(words)
+        if len(found) and total + len(found) <= AUDIT_SHINGLES:
+            total += len(found)
+            ids.append(id_)
+            nodes.append(node_of(words))
+            sets.append(found)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    order = np.argsort(every, kind="stable")
+    values, start = np.unique(every[order], return_index=True)
+    owners = np.repeat(np.arange(len(sets)), sizes)[order]
+    return Audit(ids, np.array(nodes, dtype=np.int64), sizes, values, np.append(start, len(every)), owners)
+
+
+def _sampled(texts: DataFrame) -> list[tuple[int, str | None]]:
+    """About ``AUDIT_ROWS`` rows of lowest id hash, whose ids do not repeat; their number does not grow with the table."""
+    n = texts.count()
+    lowest = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(min(1.0, AUDIT_ROWS / max(n, 1)) * (1 << 40))
+    each = texts.where("id is not null").where(lowest).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    rows = each.where("n = 1").select("id", F.xxhash64("id").alias("h"), "text").collect()
+    return [(r["id"], r["text"]) for r in sorted(rows, key=lambda r: (r["h"], r["id"]))]
+
+
+def _signatures(docs: DataFrame, audit: Audit) -> DataFrame:
+    """``id, node, n_shingles, sketch, roots, audited`` of every row; ``node`` null without words or without an id.
+
+    ``audited`` lists the audit's rows that link with this one, null without any.
+    """
 
     def run(batches):
         for batch in batches:
-            rows = [], [], [], [], []
+            rows = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 words = words_of(batch.column(1)[i].as_py())
                 id_ = batch.column(0)[i].as_py()
                 node = None if id_ is None else node_of(words)
-                values = id_, node, 0, None, None
+                values = id_, node, 0, None, None, None
                 if node is not None:
                     found = shingles(words)
                     minima = sketch(found)
-                    values = id_, node, len(found), minima.astype("<u2").tobytes(), _root_buckets(minima)
+                    links = audit.linked(found)
+                    values = id_, node, len(found), minima.astype("<u1").tobytes(), _root_buckets(minima), links.tolist() or None
                 for column, value in zip(rows, values):
                     column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names=["id", "node", "n_shingles", "sketch", "roots"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.record_batch(
+                [pa.array(c, t) for c, t in zip(rows, types)], names=["id", "node", "n_shingles", "sketch", "roots", "audited"]
+            )
+
+    return docs.mapInArrow(run, "id long, node long, n_shingles long, sketch binary, roots array<long>, audited array<int>")
+
+
+def _later_roots(nodes: DataFrame, round_: int) -> DataFrame:
+    """``node, sketch, roots`` for a further round: root buckets of ``ROOT_WIDTH`` sampled coordinates each."""
+    chosen = np.random.default_rng(1000 + round_).integers(0, COORDS, (ROOTS, ROOT_WIDTH))
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            table = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u1").reshape(n, COORDS)
+            out = np.empty((n, ROOTS), np.int64)
+            for r in range(ROOTS):
+                code = np.full(n, round_ * 1000 + r, np.uint64)
+                for c in chosen[r]:
+                    code = mix(code * np.uint64(257) + table[:, c].astype(np.uint64))
+                out[:, r] = code.view(np.int64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(list(out), pa.list_(pa.int64()))], names=["node", "sketch", "roots"])
 
-    return docs.mapInArrow(run, "id long, node long, n_shingles long, sketch binary, roots array<long>")
+    return nodes.select("node", "sketch").mapInArrow(run, "node long, sketch binary, roots array<long>")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
@@ -162,7 +252,7 @@ def _buckets(rows: DataFrame) -> DataFrame:
             if not n:
                 continue
             bucket = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            table = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u2").reshape(n, COORDS)
+            table = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u1").reshape(n, COORDS)
             out = []
             for p in range(FAN):
                 coord = (mix(bucket + np.uint64(p + 1)) % np.uint64(COORDS)).astype(np.int64)
@@ -181,7 +271,7 @@ def _leaf_edges(leaves: DataFrame) -> DataFrame:
 
     def run(batches):
         for _, nodes, sketches in runs_of(batches, 1):
-            table = np.frombuffer(b"".join(sketches), "<u2").reshape(len(nodes), COORDS)
+            table = np.frombuffer(b"".join(sketches), "<u1").reshape(len(nodes), COORDS)
             a, b = forest(len(nodes), lambda i: (table[i + 1 :] == table[i]).mean(1) >= MAYBE)
             if a:
                 ids = np.array(nodes)
@@ -196,45 +286,76 @@ def forest(n: int, row) -> tuple[list[int], list[int]]:
     root = np.arange(n)
     a, b = [], []
     for i in range(n - 1):
-        for j in np.flatnonzero(row(i)) + i + 1:
-            if root[i] != root[j]:
-                a.append(i)
-                b.append(int(j))
-                root[root == root[j]] = root[i]
+        others = np.flatnonzero(row(i)) + i + 1
+        while len(others := others[root[others] != root[i]]):
+            j = int(others[0])
+            a.append(i)
+            b.append(j)
+            root[root == root[j]] = root[i]
     return a, b
 
 
+def _dense_edges(rows: DataFrame) -> DataFrame:
+    """Candidate edges ``a, b`` of large buckets (``bucket, node, size, sketch``): sketches compared part by part.
+
+    Nodes are dealt to parts of about ``PART_NODES``; each pair of parts is one group, so a
+    bucket of any size is spread over tasks.
+    """
+
+    def run(batches):
+        for _, x, y, nodes, part, sketches in runs_of(batches, 3):
+            table = np.frombuffer(b"".join(sketches), "<u1").reshape(len(nodes), COORDS)
+            side, across = np.array(part), x[0] != y[0]
+
+            def row(i):
+                near = (table[i + 1 :] == table[i]).mean(1) >= MAYBE
+                return near & (side[i + 1 :] != side[i]) if across else near
+
+            a, b = forest(len(nodes), row)
+            if a:
+                ids = np.array(nodes)
+                yield pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+    parts = F.ceil(F.col("size") / F.lit(PART_NODES))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    dealt = dealt.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")})
+    ordered = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    return ordered.select("bucket", "x", "y", "node", "part", "sketch").mapInArrow(run, "a long, b long")
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Candidate edges ``a, b`` among ``node, sketch, roots``: the chosen paths down to small or dense buckets."""
+    """Candidate edges ``a, b`` among ``node, sketch, roots``: the chosen paths down to small or dense buckets.
+
+    Each level is stored with its bucket sizes; small and dense buckets fetch their
+    sketches once, after the last level.
+    """
     total = nodes.count()
     made = nodes.select(F.explode("roots").alias("bucket"), "node", F.lit(total).cast("long").alias("within"))
     nodes = nodes.select("node", "sketch")
-    edges, level, root = None, 0, True
-    while True:
-        if not root:
-            made = stored(_buckets(rows), f"jaccard-level{level}")
-        sizes = made.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("within").alias("within")).where("size > 1")
-        sizes = stored(sizes, "jaccard-sizes")
-        if root:  # from here on only nodes that share a bucket matter, so only their sketches move again
-            live = made.join(sizes.select("bucket"), "bucket").select("node").distinct()
-            nodes = stored(nodes.join(live, "node"), "jaccard-live")
-        # buckets over LEAF nodes that did not lose half: their nodes stay together
-        dense = F.col("size") >= F.lit(DENSE) * F.col("within")
-        small = made.join(sizes.where(F.col("size") <= LEAF).select("bucket"), "bucket")
-        lists = small.groupBy("bucket").agg(F.sort_array(F.collect_set("node")).alias("nodes"))  # at most LEAF long
-        lists = lists.select("nodes").distinct().select(F.xxhash64("nodes").alias("leaf"), "nodes")
-        leaves = lists.select("leaf", F.explode("nodes").alias("node")).join(nodes, "node")
-        found = _leaf_edges(leaves)
-        thick = made.join(sizes.where((F.col("size") > LEAF) & dense).select("bucket"), "bucket")
-        first = thick.groupBy("bucket").agg(F.min("node").alias("a"))
-        found = found.union(thick.join(first, "bucket").where("a <> node").select("a", F.col("node").alias("b")).distinct())
-        found = stored(found, "jaccard-edges")
-        edges = found if edges is None else edges.union(found)
-        large = sizes.where((F.col("size") > LEAF) & ~dense)
+    small, thick = [], []
+    for level in range(LEVELS):
+        sizes = made.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        level_rows = stored(made.join(sizes, "bucket"), f"jaccard-level{level}")
+        if not level:  # from here on only nodes that share a bucket matter, so only their sketches move again
+            nodes = stored(nodes.join(level_rows.select("node").distinct(), "node"), "jaccard-live")
+        # buckets over LEAF nodes that lost few: their nodes stay together
+        dense = (F.col("size") >= F.lit(DENSE) * F.col("within")) if level < LEVELS - 1 else F.lit(True)
+        small.append(level_rows.where(F.col("size") <= LEAF).groupBy("bucket").agg(F.sort_array(F.collect_set("node")).alias("nodes")).select("nodes"))
+        thick.append(level_rows.where((F.col("size") > LEAF) & dense).select("bucket", "node", "size"))
+        large = level_rows.where((F.col("size") > LEAF) & ~dense)
         if large.isEmpty():
-            return edges
-        rows = made.drop("within").join(large.select("bucket", F.col("size").alias("within")), "bucket").join(nodes, "node")
-        level, root = level + 1, False
+            break
+        rows = large.select("bucket", "node", F.col("size").alias("within")).join(nodes, "node")
+        made = stored(_buckets(rows), f"jaccard-split{level}")
+    lists, rest = small[0], thick[0]
+    for more in small[1:]:
+        lists = lists.union(more)  # lists are at most LEAF long
+    for more in thick[1:]:
+        rest = rest.union(more)
+    lists = lists.distinct().select(F.xxhash64("nodes").alias("leaf"), "nodes")
+    leaves = lists.select("leaf", F.explode("nodes").alias("node")).join(nodes, "node")
+    return stored(_leaf_edges(leaves).union(_dense_edges(rest.join(nodes, "node"))), "jaccard-edges")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -317,15 +438,42 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     included. Texts without a word (null, empty, punctuation) and rows with a
     null id link with nothing; a text of fewer than five words is one shingle.
     Rows that repeat an id are one document, so their texts share a class. Other
-    columns are ignored; an empty table gives an empty one.
+    columns are ignored; an empty table gives an empty one. The recall that the audit measured is logged.
     """
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
-    seen = stored(_signatures(texts), "jaccard-signatures")
-    known = seen.where("node is not null")
-    copies = copies_of(seen)
-    nodes = stored(known.select("node", "sketch", "roots").dropDuplicates(["node"]), "jaccard-nodes")  # equal nodes, equal sketches
-    near = components(candidates(nodes), "jaccard-candidates").withColumnRenamed("id", "node")
-
+    audit = audit_of(_sampled(texts))
+    seen = stored(_signatures(texts, audit), "jaccard-signatures")
+    nodes = seen.where("node is not null").select("node", "sketch", "roots").dropDuplicates(["node"])  # equal nodes, equal sketches
+    nodes = stored(nodes, "jaccard-nodes")
+    edges = candidates(nodes)
+    for round_ in range(1, ROUNDS + 1):
+        found = stored(_linked(texts, seen, edges), "jaccard-linked")
+        recall, n = _recall(seen, found, audit)
+        logging.getLogger(__name__).info("round %d: recall %.4f of %d audited rows with links", round_, recall, n)
+        if recall >= TARGET or round_ == ROUNDS:
+            break
+        edges = edges.union(candidates(_later_roots(nodes, round_)))
+    return found.select(F.col("id").alias(id_col), "class_id", "n_links", (F.col("class_id") == F.col("id")).alias("kept"))
+
+
+def _recall(seen: DataFrame, found: DataFrame, audit: Audit) -> tuple[float, int]:
+    """Mean share of their links to other texts that the audited rows have in ``found``, and how many have any."""
+    if not audit.ids:
+        return 1.0, 0
+    spark = seen.sparkSession
+    # one row per audited row and kind of link reaches the driver
+    hits = seen.where("audited is not null").select("node", F.explode("audited").alias("i"))
+    own = spark.createDataFrame([(i, id_, int(node)) for i, (id_, node) in enumerate(zip(audit.ids, audit.nodes))], "i int, id long, own long")
+    true = hits.join(F.broadcast(own), "i").groupBy("i", "id").agg(F.count(F.lit(1)).alias("every"), F.count_if(F.col("node") != F.col("own")).alias("others"))
+    got = true.where("others > 0").join(found.select("id", "n_links"), "id").select("every", "others", "n_links").collect()
+    shares = [1 - max(r["every"] - 1 - r["n_links"], 0) / r["others"] for r in got]
+    return (sum(shares) / len(shares), len(shares)) if shares else (1.0, 0)
+
+
+def _linked(texts: DataFrame, seen: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id, node, class_id, n_links`` of every row, from candidate edges, by exact comparison."""
+    known, copies = seen.where("node is not null"), copies_of(seen)
+    near = components(edges, "jaccard-candidates").withColumnRenamed("id", "node")
     sizes = known.select("node", "n_shingles").dropDuplicates(["node"])
     member = near.join(copies, "node").join(sizes, "node")
     load = member.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
@@ -340,10 +488,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     paired = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     paired = paired.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     links = stored(_block_links(paired), "jaccard-links")
-
     edges = links.where("node <> a").select("a", F.col("node").alias("b"))
-    out = linked_rows(seen.select("id", "node"), links, edges, "jaccard-classes")
-    return out.select(F.col("id").alias(id_col), "class_id", "n_links", (F.col("class_id") == F.col("id")).alias("kept"))
+    return linked_rows(seen.select("id", "node"), links, edges, "jaccard-classes")
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
