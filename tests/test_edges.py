@@ -19,7 +19,7 @@ def _mart(spark, rows, **kw):
 def test_quartile_only_key_present_with_zeros_and_absent_when_active_only(spark):
     rows = [{"event_type": "ad_quartile", "quartile": 25, "campaign_id": "cmp_q"}]
     full = _mart(spark, rows)
-    r = full[("cmp_q", "IN")]
+    r = full[("cmp_q", "GB")]
     assert (r["requests"], r["impressions"], r["completions"], r["revenue_micros"]) == (0, 0, 0, 0)
     assert r["fill_rate"] is None and r["ctr"] is None and r["ecpm"] is None
     assert _mart(spark, rows, active_only=True) == {}
@@ -27,41 +27,41 @@ def test_quartile_only_key_present_with_zeros_and_absent_when_active_only(spark)
 
 def test_impressions_without_requests(spark):
     rows = [{"event_type": "ad_impression", "clearing_price_micros": 1_500_000} for _ in range(2)]
-    r = _mart(spark, rows)[("cmp_a", "IN")]
+    r = _mart(spark, rows)[("spring", "GB")]
     assert r["fill_rate"] is None
     assert r["ecpm"] == pytest.approx(1500.0)
     assert r["revenue"] == pytest.approx(3.0)
 
 
 def test_requests_only(spark):
-    r = _mart(spark, [{} for _ in range(3)])[("cmp_a", "IN")]
+    r = _mart(spark, [{} for _ in range(3)])[("spring", "GB")]
     assert r["fill_rate"] == 0.0
     assert r["ctr"] is None and r["completion_rate"] is None and r["ecpm"] is None
 
 
 def test_null_clearing_price_counts_as_impression_with_zero_revenue(spark):
-    r = _mart(spark, [{"event_type": "ad_impression"}])[("cmp_a", "IN")]
+    r = _mart(spark, [{"event_type": "ad_impression"}])[("spring", "GB")]
     assert r["impressions"] == 1 and r["revenue_micros"] == 0 and r["ecpm"] == 0.0
 
 
 def test_rounding_tie_is_half_up(spark):
     rows = [{}] * 128 + [{"event_type": "ad_impression", "clearing_price_micros": 1}]
-    r = _mart(spark, rows)[("cmp_a", "IN")]
+    r = _mart(spark, rows)[("spring", "GB")]
     assert r["fill_rate"] == 0.007813
 
 
 def test_ecpm_tie_single_division(spark):
     prices = [511_456] * 15 + [8_183_300 - 511_456 * 15]
     rows = [{"event_type": "ad_impression", "clearing_price_micros": p} for p in prices]
-    r = _mart(spark, rows)[("cmp_a", "IN")]
+    r = _mart(spark, rows)[("spring", "GB")]
     assert r["revenue_micros"] == 8_183_300
     assert r["ecpm"] == 511.4563
 
 
 def test_latest_copy_with_bad_type_drops_the_event(spark):
     rows = [
-        {"event_id": "dup-00000001", "event_type": "ad_impression", "ingest_ts": "2026-09-18T10:00:00Z"},
-        {"event_id": "dup-00000001", "event_type": "ad_unknown", "ingest_ts": "2026-09-18T11:00:00Z"},
+        {"event_id": "dup-00000001", "event_type": "ad_impression", "ingest_ts": "2031-05-18T10:00:00Z"},
+        {"event_id": "dup-00000001", "event_type": "ad_unknown", "ingest_ts": "2031-05-18T11:00:00Z"},
     ]
     out = silver.silver(beacons_df(spark, rows), by=("event_id",)).collect()
     assert out == []
@@ -69,7 +69,7 @@ def test_latest_copy_with_bad_type_drops_the_event(spark):
 
 @pytest.mark.parametrize("method", ["window", "max"])
 def test_equal_ingest_tie_has_one_winner_in_any_input_order(spark, method):
-    a = {"event_id": "dup-00000002", "event_type": "ad_impression", "ingest_ts": "2026-09-18T10:00:00Z",
+    a = {"event_id": "dup-00000002", "event_type": "ad_impression", "ingest_ts": "2031-05-18T10:00:00Z",
          "clearing_price_micros": 100}
     b = {**a, "clearing_price_micros": 200, "is_late": True}
     one = silver.silver(beacons_df(spark, [a, b]), by=("event_id",), method=method).collect()
@@ -82,8 +82,8 @@ def test_mixed_offsets_compare_as_instants(spark):
     from slotwise.functions.contract import BRONZE_TEXT_SCHEMA
 
     rows = [
-        ("dup-00000003", "ad_impression", "2026-09-18T09:00:00Z", "2026-09-18T10:00:00+05:30", 10),
-        ("dup-00000003", "ad_impression", "2026-09-18T09:00:00Z", "2026-09-18T06:00:00Z", 20),
+        ("dup-00000003", "ad_impression", "2031-05-18T09:00:00Z", "2031-05-18T10:00:00+05:30", 10),
+        ("dup-00000003", "ad_impression", "2031-05-18T09:00:00Z", "2031-05-18T06:00:00Z", 20),
     ]
     base = {f.name: None for f in BRONZE_TEXT_SCHEMA.fields}
     data = []
@@ -98,16 +98,16 @@ def test_mixed_offsets_compare_as_instants(spark):
 
 
 def test_event_date_is_the_utc_date(spark):
-    rows = [{"event_ts": "2026-09-18T23:30:00-05:00"}]
+    rows = [{"event_ts": "2031-05-18T23:30:00-05:00"}]
     out = silver.silver(beacons_df(spark, rows), by=("event_id",)).collect()
-    assert out[0]["event_date"] == dt.date(2026, 9, 19)
+    assert out[0]["event_date"] == dt.date(2031, 5, 19)
 
 
 def test_late_copy_in_next_partition_counted_once_across_partitions(spark):
-    orig = {"event_id": "dup-00000004", "event_type": "ad_impression", "ingest_ts": "2026-09-18T23:00:00Z",
-            "event_ts": "2026-09-18T23:00:00Z", "clearing_price_micros": 100, "dt": "2026-09-18"}
-    late = {**orig, "ingest_ts": "2026-09-19T11:00:00Z", "clearing_price_micros": 600, "is_late": True,
-            "dt": "2026-09-19"}
+    orig = {"event_id": "dup-00000004", "event_type": "ad_impression", "ingest_ts": "2031-05-18T23:00:00Z",
+            "event_ts": "2031-05-18T23:00:00Z", "clearing_price_micros": 100, "dt": "2031-05-18"}
+    late = {**orig, "ingest_ts": "2031-05-19T11:00:00Z", "clearing_price_micros": 600, "is_late": True,
+            "dt": "2031-05-19"}
     rows = beacons_df(spark, [orig, late])
     assert silver.silver(rows, by=("dt", "event_id")).count() == 2  # per-partition dedup keeps both
     across = silver.silver(rows, by=("event_id",)).collect()
@@ -160,14 +160,14 @@ def test_pod_and_campaign_totals_agree(spark):
 
 
 def test_ts_helper():
-    assert ts("2026-09-18T10:00:00+05:30") == dt.datetime(2026, 9, 18, 4, 30)
+    assert ts("2031-05-18T10:00:00+05:30") == dt.datetime(2031, 5, 18, 4, 30)
 
 
 def test_decimal_tie_rounds_half_up_on_the_exact_ratio(spark):
     # 50,086,900 micros over 80 impressions = 626.08625 exactly; the binary double sits just below
     prices = [626_086] * 79 + [50_086_900 - 626_086 * 79]
     rows = [{"event_type": "ad_impression", "clearing_price_micros": p} for p in prices]
-    r = _mart(spark, rows)[("cmp_a", "IN")]
+    r = _mart(spark, rows)[("spring", "GB")]
     assert r["ecpm"] == 626.0863
     from slotwise.operators import reads
 
@@ -185,12 +185,12 @@ def test_sql_route_reads_bronze_json_and_equals_dataframe_route(spark):
     from slotwise.session import scratch_path
 
     rows = [
-        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2026-09-18T09:00:00Z",
-         "ingest_ts": "2026-09-18T10:00:00+05:30", "clearing_price_micros": 10},
-        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2026-09-18T09:00:00Z",
-         "ingest_ts": "2026-09-18T06:00:00Z", "clearing_price_micros": 20},
-        {"event_id": "evt-00000008", "event_type": "ad_request", "event_ts": "2026-09-18T23:30:00-05:00"},
-        {"event_id": "evt-00000009", "event_type": "ad_unknown", "event_ts": "2026-09-18T01:00:00Z"},
+        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2031-05-18T09:00:00Z",
+         "ingest_ts": "2031-05-18T10:00:00+05:30", "clearing_price_micros": 10},
+        {"event_id": "dup-00000007", "event_type": "ad_impression", "event_ts": "2031-05-18T09:00:00Z",
+         "ingest_ts": "2031-05-18T06:00:00Z", "clearing_price_micros": 20},
+        {"event_id": "evt-00000008", "event_type": "ad_request", "event_ts": "2031-05-18T23:30:00-05:00"},
+        {"event_id": "evt-00000009", "event_type": "ad_unknown", "event_ts": "2031-05-18T01:00:00Z"},
     ]
     common = {"session_id": "s", "content_id": "c", "pod_id": "p", "break_type": "preroll", "platform": "web",
               "market": "IN", "campaign_id": "cmp"}
@@ -209,7 +209,7 @@ def test_sql_route_reads_bronze_json_and_equals_dataframe_route(spark):
     by_id = {r["event_id"]: r for r in got.collect()}
     assert set(by_id) == {"dup-00000007", "evt-00000008"}
     assert by_id["dup-00000007"]["clearing_price_micros"] == 20
-    assert by_id["evt-00000008"]["event_date"] == dt.date(2026, 9, 19)
+    assert by_id["evt-00000008"]["event_date"] == dt.date(2031, 5, 19)
 
 
 def test_json_records_keep_nulls(spark):

@@ -92,7 +92,7 @@ CASES = [
 def classified(spark):
     rows = [(i, text) for i, (text, _) in enumerate(CASES)] + [(len(CASES), "   ")]
     df = spark.createDataFrame(rows, "i int, value string")
-    stamp = dt.datetime(2026, 9, 18, 12, 0, tzinfo=dt.timezone.utc)
+    stamp = dt.datetime(2031, 5, 18, 12, 0, tzinfo=dt.timezone.utc)
     return {r["i"]: r for r in landing.classify(df, landed_at=stamp).collect()}
 
 
@@ -114,7 +114,7 @@ def test_blank_line_is_in_neither_class(classified):
 
 def test_missing_ingest_is_stamped_and_fields_are_typed(classified):
     i = next(k for k, (t, _) in enumerate(CASES) if '"ingest_ts"' not in t and t.startswith("{"))
-    assert classified[i]["ingest_ts"].startswith("2026-09-18T12:00:00")
+    assert classified[i]["ingest_ts"].startswith("2031-05-18T12:00:00")
     ok = classified[next(k for k, (t, _) in enumerate(CASES) if '"slot_index":2.0' in t)]
     assert ok["slot_index"] == 2 and ok["bid_floor_micros"] == 91000 and ok["is_late"] is False
 
@@ -131,7 +131,7 @@ def test_relanding_a_corrected_drop_clears_its_quarantine(spark):
 
     def land(values, src):
         df = spark.createDataFrame([(v,) for v in values], "value string").select(
-            "value", F.lit("2026-09-18").cast("date").alias("dt"), F.lit(src).alias("src")
+            "value", F.lit("2031-05-18").cast("date").alias("dt"), F.lit(src).alias("src")
         )
         return landing.land(df, path)
 
@@ -148,6 +148,6 @@ def test_read_drop_keeps_file_stem(spark):
     os.makedirs(root, exist_ok=True)
     with open(f"{root}/evening-batch.jsonl", "w") as f:
         f.write(TEXT + "\n\n  " + TEXT + "  \n")
-    lines = landing.read_drop(spark, root, dt="2026-09-18")
+    lines = landing.read_drop(spark, root, dt="2031-05-18")
     out = landing.classify(lines).select("src", "status").collect()
     assert [(r["src"], r["status"]) for r in out] == [("evening-batch", "ok")] * 2

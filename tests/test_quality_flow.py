@@ -31,54 +31,54 @@ def _verdict(spark, rows, mart_rows=None, built=True):
 
 def test_healthy_day_passes(spark):
     report, v = _verdict(spark, _healthy_day())
-    assert v == {"2026-09-18": (True, None)}
-    quality.enforce(report, "2026-09-18")
+    assert v == {"2031-05-18": (True, None)}
+    quality.enforce(report, "2031-05-18")
 
 
 def test_too_small(spark):
     _, v = _verdict(spark, _healthy_day(29, 20))
-    assert v["2026-09-18"] == (False, "only 49 silver rows arrived on 2026-09-18")
+    assert v["2031-05-18"] == (False, "only 49 silver rows arrived on 2031-05-18")
 
 
 def test_no_requests(spark):
     _, v = _verdict(spark, [{"event_type": "ad_click"}] * 60)
-    assert v["2026-09-18"][1] == "day holds no ad requests"
+    assert v["2031-05-18"][1] == "day holds no ad requests"
 
 
 def test_impressions_far_above_requests(spark):
     _, v = _verdict(spark, _healthy_day(50, 58))
-    assert v["2026-09-18"][1] == "58 impressions against 50 requests"
+    assert v["2031-05-18"][1] == "58 impressions against 50 requests"
 
 
 def test_no_gold_rows_and_no_silver(spark):
     b = beacons_df(spark, _healthy_day())
     other_day = gold.campaign_daily(silver.silver(b, by=("event_id",))).withColumn(
-        "event_date", F.lit("2026-09-17").cast("date")
+        "event_date", F.lit("2031-05-17").cast("date")
     )
     report = quality.gate_report(silver.silver(b, by=("dt", "event_id")), other_day)
     v = {str(r["ds"]): r["message"] for r in quality.gate_verdicts(report).collect()}
-    assert v["2026-09-18"] == "campaign mart has no rows dated 2026-09-18"
-    assert v["2026-09-17"] == "no silver rows arrived on 2026-09-17"  # first rule wins
+    assert v["2031-05-18"] == "campaign mart has no rows dated 2031-05-18"
+    assert v["2031-05-17"] == "no silver rows arrived on 2031-05-17"  # first rule wins
 
 
 def test_negative_revenue(spark):
     b = beacons_df(spark, _healthy_day())
     mart = gold.campaign_daily(silver.silver(b, by=("event_id",))).withColumn("revenue_micros", F.lit(-1).cast("bigint"))
     _, v = _verdict(spark, _healthy_day(), mart_rows=mart)
-    assert v["2026-09-18"][1] == "campaign mart holds negative revenue"
+    assert v["2031-05-18"][1] == "campaign mart holds negative revenue"
 
 
 @pytest.mark.parametrize("n_imp,shown", [(6, "0.100"), (60, "1.000")])
 def test_fill_rate_band(spark, n_imp, shown):
     _, v = _verdict(spark, _healthy_day(60, n_imp))
-    assert v["2026-09-18"] == (False, f"mean fill rate out of bounds: {shown}")
+    assert v["2031-05-18"] == (False, f"mean fill rate out of bounds: {shown}")
     with pytest.raises(quality.GateFailed, match="mean fill rate"):
-        quality.enforce(_verdict(spark, _healthy_day(60, n_imp))[0], "2026-09-18")
+        quality.enforce(_verdict(spark, _healthy_day(60, n_imp))[0], "2031-05-18")
 
 
 def test_mart_not_built_skips_gold_rules(spark):
     _, v = _verdict(spark, _healthy_day(60, 6), built=False)
-    assert v["2026-09-18"] == (True, None)
+    assert v["2031-05-18"] == (True, None)
 
 
 def test_table_checks_pass_on_fixture(spark):
@@ -119,19 +119,19 @@ def test_day_by_day_equals_backfill_equals_rebuild(spark, fixture_rows):
 
 
 def test_event_date_other_than_dt_rerun_twice_is_stable(spark):
-    rows = beacons_df(spark, [{"event_ts": "2026-09-17T23:00:00Z", "dt": "2026-09-18"}, {"dt": "2026-09-18"}])
+    rows = beacons_df(spark, [{"event_ts": "2031-05-17T23:00:00Z", "dt": "2031-05-18"}, {"dt": "2031-05-18"}])
     lake = flow.Lake.fresh(spark, "d8")
     for _ in range(2):
-        flow.run_day(spark, lake, rows, "2026-09-18", gate=False)
+        flow.run_day(spark, lake, rows, "2031-05-18", gate=False)
     mart = flow.read_table(spark, lake.campaign_daily).collect()
-    assert sorted((str(r["event_date"]), r["requests"]) for r in mart) == [("2026-09-17", 1), ("2026-09-18", 1)]
+    assert sorted((str(r["event_date"]), r["requests"]) for r in mart) == [("2031-05-17", 1), ("2031-05-18", 1)]
 
 
 def test_run_day_enforces_gate(spark):
     rows = beacons_df(spark, _healthy_day(10, 5))
     lake = flow.Lake.fresh(spark, "gate")
     with pytest.raises(quality.GateFailed, match="silver rows arrived"):
-        flow.run_day(spark, lake, rows, "2026-09-18")
+        flow.run_day(spark, lake, rows, "2031-05-18")
 
 
 def test_mart_not_built(spark):
@@ -192,8 +192,8 @@ def test_repair_batch_replay_is_harmless(spark):
 
     root = scratch_path(spark, "replay")
     orig = {"event_id": "dup-00000009", "event_type": "ad_impression", "clearing_price_micros": 100,
-            "ingest_ts": "2026-09-18T10:00:00Z"}
-    late = {**orig, "clearing_price_micros": 600, "ingest_ts": "2026-09-18T22:00:00Z", "is_late": True}
+            "ingest_ts": "2031-05-18T10:00:00Z"}
+    late = {**orig, "clearing_price_micros": 600, "ingest_ts": "2031-05-18T22:00:00Z", "is_late": True}
     step = _rebuild(spark, f"{root}/raw", f"{root}/silver")
     step(beacons_df(spark, [orig, {}]), 0)
     step(beacons_df(spark, [late]), 1)
@@ -232,46 +232,46 @@ def test_end_to_end_from_drop_lines(spark):
 
 def test_rerun_day_that_lost_all_rows_clears_its_partitions(spark):
     lake = flow.Lake.fresh(spark, "cleared")
-    flow.run_day(spark, lake, beacons_df(spark, [{}, {"event_type": "ad_impression"}]), "2026-09-18", gate=False)
+    flow.run_day(spark, lake, beacons_df(spark, [{}, {"event_type": "ad_impression"}]), "2031-05-18", gate=False)
     assert flow.read_table(spark, lake.campaign_daily).count() == 1
-    touched = flow.run_day(spark, lake, beacons_df(spark, [{"event_type": "ad_gone"}]), "2026-09-18", gate=False)
-    assert touched == ["2026-09-18"]
+    touched = flow.run_day(spark, lake, beacons_df(spark, [{"event_type": "ad_gone"}]), "2031-05-18", gate=False)
+    assert touched == ["2031-05-18"]
     for table, part in ((lake.silver, "dt"), (lake.campaign_daily, "event_date"), (lake.pod_fill, "event_date")):
-        assert not flow.table_exists(spark, f"{table}/{part}=2026-09-18")
+        assert not flow.table_exists(spark, f"{table}/{part}=2031-05-18")
 
 
 def test_withdrawn_late_copy_restores_the_original(spark):
     """Day 19 carried a late copy of an event of the 18th; delivered again without it, the 18th goes back."""
     seen = {"event_id": "evt-late-0001", "event_type": "ad_impression", "clearing_price_micros": 100}
-    late = {**seen, "clearing_price_micros": 600, "is_late": True, "ingest_ts": "2026-09-19T01:00:00Z", "dt": "2026-09-19"}
-    other = {"event_id": "evt-other-001", "event_ts": "2026-09-19T10:00:00Z", "dt": "2026-09-19"}
+    late = {**seen, "clearing_price_micros": 600, "is_late": True, "ingest_ts": "2031-05-19T01:00:00Z", "dt": "2031-05-19"}
+    other = {"event_id": "evt-other-001", "event_ts": "2031-05-19T10:00:00Z", "dt": "2031-05-19"}
     lake = flow.Lake.fresh(spark, "withdrawn")
     flow.run_range(spark, lake, beacons_df(spark, [seen, late, other]))
     revenue = lambda: {str(r["event_date"]): r["revenue_micros"] for r in flow.read_table(spark, lake.campaign_daily).collect()}
-    assert revenue() == {"2026-09-18": 600, "2026-09-19": 0}
-    assert flow.run_day(spark, lake, beacons_df(spark, [other]), "2026-09-19", gate=False) == ["2026-09-18", "2026-09-19"]
-    assert revenue() == {"2026-09-18": 100, "2026-09-19": 0}
+    assert revenue() == {"2031-05-18": 600, "2031-05-19": 0}
+    assert flow.run_day(spark, lake, beacons_df(spark, [other]), "2031-05-19", gate=False) == ["2031-05-18", "2031-05-19"]
+    assert revenue() == {"2031-05-18": 100, "2031-05-19": 0}
 
 
 def test_copy_under_another_event_date_counts_once(spark):
     seen = {"event_id": "evt-moved-001", "event_type": "ad_impression", "clearing_price_micros": 100}
-    moved = {**seen, "event_ts": "2026-09-19T10:00:00Z", "ingest_ts": "2026-09-19T11:00:00Z", "clearing_price_micros": 600, "dt": "2026-09-19"}
-    more = {"event_id": "evt-more-0001", "ingest_ts": "2026-09-20T01:00:00Z", "dt": "2026-09-20"}
+    moved = {**seen, "event_ts": "2031-05-19T10:00:00Z", "ingest_ts": "2031-05-19T11:00:00Z", "clearing_price_micros": 600, "dt": "2031-05-19"}
+    more = {"event_id": "evt-more-0001", "ingest_ts": "2031-05-20T01:00:00Z", "dt": "2031-05-20"}
     lake = flow.Lake.fresh(spark, "moved")
-    for day, rows in (("2026-09-18", [seen]), ("2026-09-19", [moved]), ("2026-09-20", [more])):
+    for day, rows in (("2031-05-18", [seen]), ("2031-05-19", [moved]), ("2031-05-20", [more])):
         flow.run_day(spark, lake, beacons_df(spark, rows), day, gate=False)
     got = {str(r["event_date"]): (r["impressions"], r["revenue_micros"]) for r in flow.read_table(spark, lake.campaign_daily).collect()}
-    assert got == {"2026-09-18": (0, 0), "2026-09-19": (1, 600)}
+    assert got == {"2031-05-18": (0, 0), "2031-05-19": (1, 600)}
 
 
 def test_missing_input_raises_and_a_missing_day_fails_the_gate(spark):
     lake = flow.Lake.fresh(spark, "missing")
     rows = beacons_df(spark, [{}])
-    flow.run_day(spark, lake, rows, "2026-09-18", gate=False)
+    flow.run_day(spark, lake, rows, "2031-05-18", gate=False)
     with pytest.raises(ValueError, match="no input rows"):
-        flow.run_day(spark, lake, rows, "2026-09-21", gate=False)
-    verdict = quality.gate_verdicts(flow.gate_report(spark, lake, ["2026-09-21"])).collect()
-    assert [(r["passed"], r["message"]) for r in verdict] == [(False, "no silver rows arrived on 2026-09-21")]
+        flow.run_day(spark, lake, rows, "2031-05-21", gate=False)
+    verdict = quality.gate_verdicts(flow.gate_report(spark, lake, ["2031-05-21"])).collect()
+    assert [(r["passed"], r["message"]) for r in verdict] == [(False, "no silver rows arrived on 2031-05-21")]
 
 
 def test_chunked_backfill_equals_rebuild(spark, fixture_rows):

@@ -62,27 +62,27 @@ def test_state_settles_moved_late_and_foreign_copies(spark):
     first = {"event_type": "ad_impression", "clearing_price_micros": 100}
     at = lambda i, **kw: {**first, "event_id": f"evt-state-{i:04d}", **kw}
     days = [
-        [at(1), at(2), at(3), at(4, is_late=True, ingest_ts="2026-09-18T12:00:00Z")],
+        [at(1), at(2), at(3), at(4, is_late=True, ingest_ts="2031-05-18T12:00:00Z")],
         [  # moved to the next date; replaced; latest copy of a foreign type; an older copy that arrives later
-            at(1, event_ts="2026-09-19T01:00:00Z", ingest_ts="2026-09-19T02:00:00Z", clearing_price_micros=500),
-            at(2, ingest_ts="2026-09-19T01:00:00Z", clearing_price_micros=600),
-            at(3, ingest_ts="2026-09-19T01:00:00Z", event_type="ad_other"),
-            at(4, ingest_ts="2026-09-18T11:00:00Z", clearing_price_micros=1),
+            at(1, event_ts="2031-05-19T01:00:00Z", ingest_ts="2031-05-19T02:00:00Z", clearing_price_micros=500),
+            at(2, ingest_ts="2031-05-19T01:00:00Z", clearing_price_micros=600),
+            at(3, ingest_ts="2031-05-19T01:00:00Z", event_type="ad_other"),
+            at(4, ingest_ts="2031-05-18T11:00:00Z", clearing_price_micros=1),
         ],
-        [at(2, ingest_ts="2026-09-21T09:00:00Z", clearing_price_micros=700, is_late=True)],  # 71 hours late: no shared state window
+        [at(2, ingest_ts="2031-05-21T09:00:00Z", clearing_price_micros=700, is_late=True)],  # 71 hours late: no shared state window
     ]
     root = scratch_path(spark, "state")
     for i, day in enumerate(days):
-        jobs.arrive(beacons_df(spark, day, f"2026-09-{18 + i}"), f"{root}/bronze", [f"2026-09-{18 + i}"])
+        jobs.arrive(beacons_df(spark, day, f"2031-05-{18 + i}"), f"{root}/bronze", [f"2031-05-{18 + i}"])
         stateful.lww_stream(spark, f"{root}/bronze", root, f"{root}/_checkpoint")
     got = {(r["event_id"][-1], str(r["event_date"])): (r["clearing_price_micros"], r["too_late"]) for r in spark.read.parquet(f"{root}/silver").collect()}
-    assert got == {("1", "2026-09-19"): (500, False), ("2", "2026-09-18"): (700, True), ("4", "2026-09-18"): (100, False)}
+    assert got == {("1", "2031-05-19"): (500, False), ("2", "2031-05-18"): (700, True), ("4", "2031-05-18"): (100, False)}
 
 
 def test_state_keeps_a_hot_event_as_one_row(spark):
     root = scratch_path(spark, "hot-state")
-    hot = [{"event_id": "evt-hot-000001", "bid_floor_micros": i, "ingest_ts": f"2026-09-18T10:{i % 60:02d}:{i // 60:02d}Z"} for i in range(300)]
-    jobs.arrive(beacons_df(spark, hot + [{}] * 20), f"{root}/bronze", ["2026-09-18"])
+    hot = [{"event_id": "evt-hot-000001", "bid_floor_micros": i, "ingest_ts": f"2031-05-18T10:{i % 60:02d}:{i // 60:02d}Z"} for i in range(300)]
+    jobs.arrive(beacons_df(spark, hot + [{}] * 20), f"{root}/bronze", ["2031-05-18"])
     query = stateful.lww_stream(spark, f"{root}/bronze", root, f"{root}/_checkpoint")
     assert sum(op.numRowsTotal for op in query.lastProgress.stateOperators) <= 2 * 21
     out = spark.read.parquet(f"{root}/silver").where("event_id = 'evt-hot-000001'").collect()
@@ -96,22 +96,22 @@ def test_closed_days_stay_and_open_days_are_absent(spark):
     root = scratch_path(spark, "closed")
     feeds = [
         [{"event_id": "evt-open-0001"}, {"event_id": "evt-open-0001", "is_late": True}, {"event_id": "evt-open-0002"}],
-        [{"event_id": "evt-open-0003", "event_ts": "2026-09-20T11:00:00Z"}],  # 35 hours after the end of the 18th: not closed
-        [{"event_id": "evt-open-0004", "event_ts": "2026-09-20T12:00:01Z"}],
-        [{"event_id": "evt-open-0005", "event_ts": "2026-09-18T09:00:00Z"}],  # the 18th is closed
+        [{"event_id": "evt-open-0003", "event_ts": "2031-05-20T11:00:00Z"}],  # 35 hours after the end of the 18th: not closed
+        [{"event_id": "evt-open-0004", "event_ts": "2031-05-20T12:00:01Z"}],
+        [{"event_id": "evt-open-0005", "event_ts": "2031-05-18T09:00:00Z"}],  # the 18th is closed
     ]
     seen = []
     for i, feed in enumerate(feeds):
-        jobs.arrive(beacons_df(spark, feed, f"2026-10-0{i + 1}"), f"{root}/bronze", [f"2026-10-0{i + 1}"])
+        jobs.arrive(beacons_df(spark, feed, f"2031-06-0{i + 1}"), f"{root}/bronze", [f"2031-06-0{i + 1}"])
         stateful.closed_days_stream(spark, f"{root}/bronze", f"{root}/out", f"{root}/_checkpoint")
         seen.append({str(r["event_date"]): r["requests"] for r in spark.read.schema("event_date date, requests long").parquet(f"{root}/out").collect()})
-    assert seen == [{}, {}, {"2026-09-18": 2}, {"2026-09-18": 2}]
+    assert seen == [{}, {}, {"2031-05-18": 2}, {"2031-05-18": 2}]
 
 
 def test_lateness_split_has_its_border_on_time(spark):
     root = scratch_path(spark, "split")
-    feed = [{"ingest_ts": None}, {"ingest_ts": "2026-09-19T22:00:00Z"}, {"ingest_ts": "2026-09-19T22:00:01Z"}]
-    jobs.arrive(beacons_df(spark, feed), f"{root}/bronze", ["2026-09-18"])
+    feed = [{"ingest_ts": None}, {"ingest_ts": "2031-05-19T22:00:00Z"}, {"ingest_ts": "2031-05-19T22:00:01Z"}]
+    jobs.arrive(beacons_df(spark, feed), f"{root}/bronze", ["2031-05-18"])
     for _ in range(2):  # a second run has nothing to add
         stateful.lateness_split_stream(spark, f"{root}/bronze", f"{root}/received", f"{root}/_checkpoint")
     sides = {s: stateful.side_of(spark, f"{root}/received", s) for s in (stateful.ON_TIME, stateful.TOO_LATE)}
@@ -256,11 +256,11 @@ def test_unmatched_slots_of_null_repeated_and_hot_keys(spark):
     shown = {"event_type": "ad_impression", "clearing_price_micros": 1}
     ended = {"event_type": "ad_quartile", "quartile": 100}
     hot = [{**shown, "session_id": "hot", "slot_index": 1}] * 200
-    feed = [{**shown, "pod_id": None}, {**ended, "pod_id": None}, {**shown, "slot_index": 2}, {**ended, "slot_index": 3}, {**ended, "slot_index": 3, "event_ts": "2026-09-17T10:00:00Z"}]
+    feed = [{**shown, "pod_id": None}, {**ended, "pod_id": None}, {**shown, "slot_index": 2}, {**ended, "slot_index": 3}, {**ended, "slot_index": 3, "event_ts": "2031-05-17T10:00:00Z"}]
     feed += [{"event_type": "ad_quartile", "quartile": 75, "slot_index": 9}, *hot]
     found = reads.unmatched_slots(silver.silver(beacons_df(spark, feed), by=("event_id",)))
     got = {(r["session_id"], r["slot_index"]): (r["side"], str(r["event_date"]), r["beacons"]) for r in found.collect()}
-    assert got == {("s1", 2): ("impression_only", "2026-09-18", 1), ("s1", 3): ("completion_only", "2026-09-17", 2), ("hot", 1): ("impression_only", "2026-09-18", 200)}
+    assert got == {("s1", 2): ("impression_only", "2031-05-18", 1), ("s1", 3): ("completion_only", "2031-05-17", 2), ("hot", 1): ("impression_only", "2031-05-18", 200)}
     plan = _plan(found)
     assert "FullOuter" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
