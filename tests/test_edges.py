@@ -118,7 +118,7 @@ def test_null_pod_key_is_its_own_group(spark):
     rows = [{"content_id": None}, {"content_id": None, "event_type": "ad_impression"}, {}]
     s = silver.silver(beacons_df(spark, rows), by=("event_id",))
     pods = {r["content_id"]: r for r in gold.pod_fill(s).collect()}
-    assert set(pods) == {None, "c1"}
+    assert set(pods) == {None, "film-7"}
     assert (pods[None]["requests"], pods[None]["impressions"], pods[None]["filled"]) == (1, 1, 1)
 
 
