@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import random
 import re
 import zlib
@@ -63,6 +64,63 @@ def test_rule_quality_keeps_clean_and_rejects_junk(spark, odd, none):
     assert quality_rules.rule_quality(odd).count() == odd.count() and quality_rules.rule_quality(none).count() == 0
 
 
+def plain_em(counts: dict, rounds: int = 500):
+    """The same estimation text class by text class, rule by rule."""
+    blame, praise = len(quality_rules.BLAME), len(quality_rules.PRAISE)
+    belief = [[0.5] * blame + [0.3] * praise, [0.005] * blame + [0.95] * praise]
+    rates, shares, total = [list(x) for x in belief], [0.2, 0.8], sum(counts.values())
+    weight = quality_rules.BELIEF * total + 1
+    for _ in range(rounds):
+        post = {}
+        for pattern in counts:
+            value = []
+            for k in (0, 1):
+                v = shares[k]
+                for c, r in zip(pattern, rates[k]):
+                    v *= r if c != "0" else 1 - r
+                value.append(v)
+            post[pattern] = value[1] / sum(value)
+        for k in (0, 1):
+            mass = {p: n * (post[p] if k else 1 - post[p]) for p, n in counts.items()}
+            shares[k] = (sum(mass.values()) + 1) / (total + 2)
+            rates[k] = [(sum(m for p, m in mass.items() if p[i] != "0") + weight * belief[k][i]) / (sum(mass.values()) + weight) for i in range(blame + praise)]
+    return post, rates
+
+
+def test_posteriors_equal_a_plain_estimation(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    figures = {i: quality_rules.text_figures(t) for i, t in texts.items()}
+    patterns = {i: quality_rules.votes(t, figures[i]) for i, t in texts.items()}
+    want, _ = plain_em(collections.Counter(patterns.values()))
+    rows = quality_rules.rule_quality(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    for r in rows:
+        assert r["pattern"] == patterns[r["doc_id"]] and r["posterior"] == pytest.approx(want[r["pattern"]], abs=1e-6)
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["kept"] == (not failed and want[r["pattern"]] >= 0.5)
+
+
+def test_a_rule_that_is_wrong_on_a_source_loses_its_weight():
+    names = [name for name, _ in quality_rules.BLAME]
+    wrong, praise = names.index("digit_share"), "+" * len(quality_rules.PRAISE)
+
+    def pattern(*blamed, praised=praise):
+        return "".join("-" if i in blamed else "0" for i in range(len(names))) + praised
+
+    # a third of the good texts hold many numbers; bad ones break several other rules
+    counts = {pattern(): 600, pattern(wrong, praised="0" + praise[1:]): 300, pattern(0, 1, praised="000"): 60, pattern(0, 1, 3, praised="000"): 40}
+    posterior, rate, share = quality_rules.estimate(sorted(counts.items()))
+    assert 0.28 < rate[1, wrong] < 0.36 and rate[0, wrong] < rate[1, wrong] and 0.08 < share[0] < 0.13
+    assert posterior[pattern(wrong, praised="0" + praise[1:])] > 0.9 and posterior[pattern(0, 1, praised="000")] < 0.1
+    few, _, _ = quality_rules.estimate([(pattern(wrong, praised="000"), 3), (pattern(), 900)])
+    assert few[pattern(wrong, praised="000")] < 0.5  # where few texts trip it, the rule is believed
+
+
+def test_texts_without_spaces_are_not_blamed_for_their_words():
+    text = "这是一个很长的句子没有空格" * 20 + " " + "日本語の文章です" * 20
+    figures = quality_rules.text_figures(text)
+    assert "-" not in quality_rules.votes(text, figures)
+
+
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 
