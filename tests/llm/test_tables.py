@@ -219,3 +219,50 @@ def test_pipeline_stages_keep_their_columns_and_take_effect(spark):
         assert before.count() > 0
     packed = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert check_packing(packed) > 0
+
+
+#: Queries that SQL cannot express, and where they are compared with brute force, a round trip or held-out labels.
+WITHOUT_SQL = {
+    "op1_embedding_links": "test_links.py",
+    "op2_jaccard_groups": "test_links.py",
+    "op5_quality_score": "test_texts.py",
+    "op6_rule_quality": "test_texts.py",
+    "op7_packed_sequences": "test_tables.py",
+    "op8_personal_data": "test_texts.py",
+    "op9_main_text": "test_texts.py",
+    "op10_byte_shards": "test_tables.py",
+    "op11_embedding_whitening": "test_whitening_fingerprints_spelling.py",
+    "op12_document_fingerprints": "test_whitening_fingerprints_spelling.py",
+    "op13_spelling_variants": "test_whitening_fingerprints_spelling.py",
+}
+
+
+def test_every_query_has_sql_or_a_brute_force_test():
+    assert set(queries.queries()) - set(queries.oracle_sql()) == set(WITHOUT_SQL)
+
+
+def test_null_and_empty_texts_share_a_shard(spark, odd):
+    import os
+
+    from slotwise.session import scratch_path
+
+    folder = scratch_path(spark, "shard-docs")
+    docs = spark.createDataFrame([(i, None if i % 2 else "", "s") for i in range(30)] + [(100 + i, f"text {i}", "s") for i in range(300)], "doc_id long, text string, shard string")
+    docs.write.parquet(os.path.join(folder, "documents.parquet"))
+    out = queries.op10_byte_shards(spark, folder).collect()
+    assert len(out) == 330 and {r["text_crc32"] for r in out if r["doc_id"] < 100} == {0}
+
+
+def test_pipeline_stages_handle_odd_rows(spark, odd, none):
+    """Nulls, empty and very long texts, repeated rows, clashing columns and an empty table through every stage."""
+    for docs in (odd, none):
+        at = docs
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, at, SF_SMALL)
+            if name != "best-fit packing":
+                assert out.columns == docs.columns, name
+                rows = out.collect()
+                assert len(rows) <= 20 * docs.count(), name
+                at = spark.createDataFrame(rows, docs.schema)  # what the next stage reads
+            else:
+                assert check_packing(out.collect()) >= (1 if at.count() else 0)
