@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import free_names, quoted, runs_of, stored
+from slotwise.llm.common import bounded_batches, free_names, quoted, runs_of, stored
 from slotwise.llm.graph import components, copies_of, linked_rows
 
 WORDS = 5
@@ -55,10 +55,10 @@ LEVELS = 40
 #: Sketch share below which a pair is not a candidate: 0.8 less five deviations of a mean of 128.
 MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / COORDS) ** 0.5
 #: Nodes of a part of a dense bucket, nodes and shingles of a block in the exact comparison (sizes of work, not limits).
-PART_NODES, BLOCK_NODES, BLOCK_SHINGLES = 2000, 800, 400_000
+PART_NODES, BLOCK_NODES, BLOCK_SHINGLES = 2000, 400, 400_000
 #: Recall wanted, rounds of runs at most, rows that are audited (about), and their shingles (at most).
 TARGET, ROUNDS = 0.95, 4
-AUDIT_ROWS, AUDIT_SHINGLES = 1000, 1_000_000
+AUDIT_ROWS, AUDIT_SHINGLES = 1000, 400_000
 #: Coordinates that make a root bucket of the later rounds, as sketches hold 8 bits of each.
 ROOT_WIDTH = 4
 #: Most candidate nodes that are broadcast to fetch their texts (8 MB).
@@ -440,6 +440,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that repeat an id are one document, so their texts share a class. Other
     columns are ignored; an empty table gives an empty one. The recall that the audit measured is logged.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
     audit = audit_of(_sampled(texts))
     seen = stored(_signatures(texts, audit), "jaccard-signatures")
