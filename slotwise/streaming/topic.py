@@ -20,6 +20,9 @@ from slotwise.session import configure
 from slotwise.streaming.jobs import finish
 
 RECORD_SCHEMA = "key string, value string, timestamp timestamp"
+#: Tasks that a day's records of one batch are dealt to, and so the files it lands in at most.
+TASKS_PER_DAY = 32
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 
 def kafka_options(servers: str, topic: str, records_per_batch: int) -> dict[str, str]:
@@ -34,8 +37,8 @@ def kafka_options(servers: str, topic: str, records_per_batch: int) -> dict[str,
 
 
 def publish(records: DataFrame, topic: str) -> None:
-    """Append records ``key, value, timestamp`` to a topic folder."""
-    records.select("key", "value", "timestamp").write.mode("append").parquet(topic)
+    """Append records ``key, value, timestamp`` to a topic folder, in row groups that the readers of a large file can share."""
+    records.select("key", "value", "timestamp").write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(topic)
 
 
 def records(spark: SparkSession, topic: str = "", files_per_batch: int = 1, source: str = "parquet", options: dict[str, str] | None = None) -> DataFrame:
@@ -55,12 +58,15 @@ def land_topic(
     A record lands under the UTC day of its timestamp and ``src = batch-<id>``, so a
     batch that is replayed, because a run ended between its write and its commit,
     replaces its own partitions: nothing is lost and nothing repeats. ``after_write`` is called
-    between the two.
+    between the two. A batch may come as one file or one topic partition, so its
+    records are dealt by day and value before the contract reads them.
     """
     configure(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         lines = batch.select(F.col("value"), F.to_date("timestamp").alias("dt"), F.lit(f"batch-{batch_id}").alias("src"))
+        lines = lines.repartition(tasks, "dt", F.pmod(F.xxhash64("value"), F.lit(TASKS_PER_DAY)))
         landed = landing.classify(lines, landed_at=F.date_format(F.current_timestamp(), landing.TS_TEXT))
         landing.replace_drops(landed, landed_path)
         if after_write:

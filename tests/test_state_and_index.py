@@ -147,6 +147,16 @@ def test_topic_resumes_without_loss_or_repeat(spark):
     assert options["maxOffsetsPerTrigger"] == "5000" and options["startingOffsets"] == "earliest"
 
 
+def test_a_batch_of_one_file_and_one_day_is_landed_by_many_tasks(spark):
+    root = scratch_path(spark, "topic")
+    lines = fixtures.drop_lines(spark, SF_SMALL).where("e < 200").withColumn("dt", F.lit("2031-05-18").cast("date"))
+    records = lines.select(F.col("e").cast("string").alias("key"), "value", F.col("dt").cast("timestamp").alias("timestamp"))
+    topic.publish(records.repartition(1), f"{root}/topic")
+    topic.land_topic(spark, topic.records(spark, f"{root}/topic"), f"{root}/landed", f"{root}/_c")
+    landed = spark.read.parquet(f"{root}/landed")
+    assert landed.count() == 195 and len(landed.inputFiles()) > 1  # 5 of 200 lines are blank
+
+
 # --- D8 / G2: the event index --------------------------------------------------------------
 
 
