@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.functions.contract import BEACON_SCHEMA, LATE_WINDOW_HOURS, SILVER_COLUMNS
 from slotwise.operators import landing, silver
-from slotwise.plans.flow import drop_partition
+from slotwise.plans.flow import drop_folder, drop_partition, table_exists
 from slotwise.session import configure
 
 DT_FROM_PATH = r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})"
@@ -92,8 +92,9 @@ def _receive(spark: SparkSession, raw_path: str, batch: DataFrame, batch_id: int
     """Write a batch to ``raw`` (``event_date, batch_id``); returns every event date it can change.
 
     These are the batch's own dates and the dates of other copies of its events:
-    a copy under another date competes with them. The ids of such events are
-    appended to ``<raw>_moved``.
+    a copy under another date competes with them. The copies of such events are
+    appended to ``<raw>_moved``. One hash aggregate over the received ids finds the events;
+    their copies are looked up only if there are any.
     """
     typed = lateness(silver.conform(batch))
     seen = Observation(f"batch_{batch_id}")
@@ -109,21 +110,39 @@ def _receive(spark: SparkSession, raw_path: str, batch: DataFrame, batch_id: int
     if not own:
         return []
     raw = spark.read.parquet(raw_path)
-    ids = raw.where(F.col("batch_id") == batch_id).select("event_id").distinct()
-    copies = raw.select("event_id", "event_date").join(ids, "event_id", "left_semi").distinct()
-    twice = copies.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("event_id")
-    moved = Observation(f"moved_{batch_id}")
-    found = copies.join(twice, "event_id").observe(moved, F.collect_set("event_date").alias("dates"))
-    found.write.mode("append").parquet(f"{raw_path}_moved")
-    return sorted(own | {str(d) for d in (moved.get.get("dates") or [])})
+    spread, moved = Observation(f"spread_{batch_id}"), Observation(f"moved_{batch_id}")
+    path = f"{raw_path}_spread-{batch_id}"
+    events = spread_events(raw, batch_id).observe(spread, F.count(F.lit(1)).alias("n"))
+    events.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    dates: set[str] = set()
+    if spread.get.get("n"):
+        copies = raw.select("event_id", "event_date").join(spark.read.schema("event_id string").parquet(path), "event_id", "left_semi")
+        found = copies.distinct().observe(moved, F.collect_set("event_date").alias("dates"))
+        found.write.mode("append").parquet(f"{raw_path}_moved")
+        dates = {str(d) for d in (moved.get.get("dates") or [])}
+    drop_folder(spark, path)
+    return sorted(own | dates)
+
+
+def spread_events(raw: DataFrame, batch_id: int) -> DataFrame:
+    """``event_id`` of the batch's events whose received copies carry different event dates (none counts as one)."""
+    each = raw.groupBy("event_id").agg(
+        F.min("event_date").alias("lo"),
+        F.max("event_date").alias("hi"),
+        F.count_if(F.col("event_date").isNull()).alias("undated"),
+        F.count_if(F.col("batch_id") == batch_id).alias("own"),
+    )
+    return each.where("event_id IS NOT NULL AND own > 0 AND (lo <> hi OR (undated > 0 AND lo IS NOT NULL))").select("event_id")
 
 
 def _current(spark: SparkSession, raw_path: str, dates: list[str]) -> DataFrame:
     """The winning copies whose event date is one of ``dates``, out of all copies received."""
     wanted = F.col("event_date").isin([F.lit(d).cast("date") for d in dates])
     raw = spark.read.parquet(raw_path)
-    moved = spark.read.schema("event_id string, event_date date").parquet(f"{raw_path}_moved").select("event_id").distinct()
-    scope = raw.where(wanted).unionByName(raw.where(~wanted).join(moved, "event_id", "left_semi").select(*raw.columns))
+    scope = raw.where(wanted)
+    if table_exists(spark, f"{raw_path}_moved"):
+        moved = spark.read.schema("event_id string, event_date date").parquet(f"{raw_path}_moved").select("event_id").distinct()
+        scope = scope.unionByName(raw.where(~wanted).join(moved, "event_id", "left_semi").select(*raw.columns))
     best = silver.keep_contract_types(silver.dedup_window(scope, by=("event_id",)))
     return best.where(wanted)
 

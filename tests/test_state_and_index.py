@@ -157,6 +157,29 @@ def test_a_batch_of_one_file_and_one_day_is_landed_by_many_tasks(spark):
     assert landed.count() == 195 and len(landed.inputFiles()) > 1  # 5 of 200 lines are blank
 
 
+# --- ST3: events whose copies carry different dates --------------------------------------
+
+
+def test_spread_events_of_a_batch(spark):
+    import datetime as dt
+
+    day = dt.date(2031, 5, 18)
+    rows = [("two", day, 0), ("two", day + dt.timedelta(days=1), 1), ("one", day, 0), ("one", day, 1), ("old", day, 0)]
+    rows += [("old", day + dt.timedelta(days=1), 0), ("half", None, 0), ("half", day, 1), ("none", None, 1), (None, day, 0), (None, day + dt.timedelta(days=1), 1)]
+    raw = spark.createDataFrame(rows, "event_id string, event_date date, batch_id long")
+    found = jobs.spread_events(raw, 1)
+    assert sorted(r[0] for r in found.collect()) == ["half", "two"]
+    assert "Join" not in _plan(found) and "ObjectHashAggregate" not in _plan(found)
+
+
+def test_batches_without_moved_events_look_up_no_copies(spark):
+    root = scratch_path(spark, "still")
+    jobs.arrive(beacons_df(spark, [{}, {}]), f"{root}/bronze", ["2031-05-18"])
+    jobs.repair_stream(spark, f"{root}/bronze", f"{root}/raw", f"{root}/silver", f"{root}/_c")
+    assert spark.read.parquet(f"{root}/silver").count() == 2
+    assert not flow.table_exists(spark, f"{root}/raw_moved") and not flow.table_exists(spark, f"{root}/raw_spread-0")
+
+
 # --- D8 / G2: the event index --------------------------------------------------------------
 
 
