@@ -197,6 +197,15 @@ def test_finding_moved_events_never_moves_the_index(spark, lake, broadcast):
     assert "ReadSchema: struct<event_id:string,event_date:date>" in plan
 
 
+def test_spread_events_of_the_whole_index_are_found_in_place(spark, lake):
+    index = flow.read_index(spark, lake)
+    found = flow.spread_events(index)
+    plan = _plan(found)
+    assert not any(x in plan for x in ("Exchange", "Join", "ObjectHashAggregate", "SortAggregate"))
+    every = flow.moved_copies(index, index.select("event_id"))
+    assert _frame(found) == _frame(every.select("event_id").distinct())
+
+
 def test_index_follows_silver(spark, rows, lake):
     columns = ["event_id", "event_date", "dt"]
     stored = lambda: _frame(flow.read_index(spark, lake).select(*columns))
