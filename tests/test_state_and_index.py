@@ -157,6 +157,16 @@ def test_a_batch_of_one_file_and_one_day_is_landed_by_many_tasks(spark):
     assert landed.count() == 195 and len(landed.inputFiles()) > 1  # 5 of 200 lines are blank
 
 
+# --- reading: rows are dealt without a sort ------------------------------------------------
+
+
+def test_tables_are_dealt_without_sorting_each_split(spark):
+    events = fixtures.read_table(spark, SF_SMALL, "events")
+    assert "RoundRobinPartitioning" not in _plan(events) and "hashpartitioning(event_id" in _plan(events)
+    sizes = events.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * min(r["count"] for r in sizes)
+
+
 # --- ST3: events whose copies carry different dates --------------------------------------
 
 
