@@ -69,3 +69,17 @@ def test_index_has_fewer_buckets_than_shuffle_partitions(spark):
     flow.write_silver(spark, lake, _feed(spark))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert flow.open_index(spark, lake)[1] == -(-partitions // flow.PARTITIONS_PER_BUCKET) < partitions
+
+
+def test_input_is_read_once_and_empty_input_leaves_nothing(spark, monkeypatch):
+    rows, lake = _feed(spark), flow.Lake.fresh(spark, "none")
+    for run in (lambda: flow.run_day(spark, lake, rows, "2031-06-01"), lambda: flow.run_range(spark, lake, rows, "2031-06-01"), lambda: flow.run_range_gated(spark, lake, rows, "2031-06-01")):
+        with pytest.raises(ValueError, match="no input rows"):
+            run()
+        assert not flow.table_exists(spark, lake.silver)
+    monkeypatch.setattr(type(rows), "isEmpty", None)  # the write itself tells
+    flow.run_range(spark, lake, rows)
+    held = _frame(flow.read_table(spark, lake.silver))
+    with pytest.raises(ValueError, match="no input rows"):
+        flow.run_day(spark, lake, rows, "2031-06-01")
+    assert _frame(flow.read_table(spark, lake.silver)) == held
